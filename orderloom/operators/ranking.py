@@ -44,19 +44,16 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order_col: str, n: int,
     return ranked(df, order_col, kind, group, tie_break, name).filter(F.col(name) <= n)
 
 
-def extremes(df: DataFrame, col: str, k: int = 2, group: Sequence[str] = ()) -> DataFrame:
-    """Largest and smallest ``k`` distinct values, as rows ``(kind, pos, value)``.
+def extremes(df: DataFrame, col: str, k: int = 2) -> DataFrame:
+    """Largest and smallest ``k`` distinct values as rows ``(kind, pos, value)``.
 
-    Distinct values first (partial aggregation), then two bounded top-k
-    rankings; nothing larger than k values per task is kept.
+    Distinct values first (partial aggregation), then two rankings filtered to
+    ``<= k`` (partial window-group limits keep k values per task).
     """
-    vals = df.select(*group, col).filter(F.col(col).isNotNull()).distinct()
-    hi = (top_n_per_group(vals, group or [F.lit(1)], col, k, "row_number", name="pos")
-          if group else ranked(vals, col, "row_number", name="pos").filter(F.col("pos") <= k))
-    w_lo = Window.orderBy(F.col(col).asc())
-    if group:
-        w_lo = Window.partitionBy(*group).orderBy(F.col(col).asc())
-    lo = vals.withColumn("pos", F.row_number().over(w_lo)).filter(F.col("pos") <= k)
-    return (hi.select(*group, F.lit("max").alias("kind"), "pos", F.col(col).alias("value"))
-            .unionByName(lo.select(*group, F.lit("min").alias("kind"), "pos",
-                                   F.col(col).alias("value"))))
+    vals = df.select(col).filter(F.col(col).isNotNull()).distinct()
+    parts = []
+    for kind, order in (("max", F.col(col).desc()), ("min", F.col(col).asc())):
+        pos = F.row_number().over(Window.orderBy(order))
+        parts.append(vals.select(F.lit(kind).alias("kind"), pos.alias("pos"),
+                                 F.col(col).alias("value")).filter(F.col("pos") <= k))
+    return parts[0].unionByName(parts[1])

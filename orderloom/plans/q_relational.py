@@ -1,2 +1,365 @@
-QUERIES = {}
-ORACLES = {}
+"""Relational queries from the notes: filters, aggregates, ranking, joins.
+
+Tables stand in for the notes' examples: ``customer`` is the employee table
+(salary = ``c_acctbal``), ``nation`` the department table, ``orders`` /
+``lineitem`` the fact tables.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orderloom.operators import dedupe, joins, ranking
+from orderloom.sources import events as ev
+from orderloom.sources.tables import load
+
+
+def q_filter_rows(spark, sf):
+    o = load(spark, sf, "orders")
+    return o.filter(F.col("o_orderstatus") != "P").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+def q_last_six_months(spark, sf):
+    """Rows within six months of the newest date (anchor = data, not now).
+
+    The anchor is a scalar subquery: one small aggregate job whose result
+    is inlined into the filter.
+    """
+    o = load(spark, sf, "orders")
+    anchor = o.agg(F.max("o_orderdate")).scalar()
+    return (o.filter(F.col("o_orderdate") >= F.add_months(anchor, -6))
+            .select("o_orderkey", "o_orderdate", "o_totalprice"))
+
+
+def q_sql_over_view(spark, sf):
+    load(spark, sf, "orders").createOrReplaceTempView("orders_view")
+    return spark.sql("""
+        SELECT o_orderpriority, count(*) AS order_count,
+               sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total_price
+        FROM orders_view GROUP BY o_orderpriority""")
+
+
+def q_column_sum(spark, sf):
+    l = load(spark, sf, "lineitem")
+    price = F.col("l_extendedprice").cast("decimal(15,2)")
+    row_total = price + price * F.col("l_tax").cast("decimal(15,2)")
+    return l.groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum(price).alias("sum_price"), F.sum(row_total).alias("sum_price_with_tax"))
+
+
+def q_conditional_status(spark, sf):
+    o = load(spark, sf, "orders")
+    state = (F.when(F.col("o_orderstatus") == "F", "fulfilled")
+             .when(F.col("o_orderstatus") == "O", "open").otherwise("partial"))
+    size = (F.when(F.col("o_totalprice") >= 300000, "large")
+            .when(F.col("o_totalprice") >= 100000, "medium").otherwise("small"))
+    return o.select("o_orderkey", state.alias("order_state"), size.alias("size_class"))
+
+
+def q_limit_preview(spark, sf):
+    return (load(spark, sf, "orders")
+            .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+            .orderBy("o_orderkey").limit(5))
+
+
+def q_global_sort(spark, sf):
+    return (load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+            .orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey")))
+
+
+def q_row_count(spark, sf):
+    parts = [load(spark, sf, t).agg(F.count(F.lit(1)).alias("row_count"))
+             .select(F.lit(t).alias("table_name"), "row_count")
+             for t in ("orders", "lineitem", "customer")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_distinct_count(spark, sf):
+    return (load(spark, sf, "orders").select("o_custkey").distinct()
+            .agg(F.count(F.lit(1)).alias("distinct_customers")))
+
+
+def q_group_count_distinct(spark, sf):
+    return (load(spark, sf, "orders").groupBy("o_orderpriority")
+            .agg(F.count_distinct("o_custkey").alias("ids")).orderBy(F.desc("ids")))
+
+
+def q_group_having(spark, sf):
+    return (load(spark, sf, "orders").groupBy("o_custkey")
+            .agg(F.count(F.lit(1)).alias("order_count")).filter(F.col("order_count") > 15))
+
+
+def q_show_duplicates(spark, sf):
+    return dedupe.duplicate_keys(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_remove_duplicates(spark, sf):
+    l = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                          "l_quantity")
+    return dedupe.remove_duplicates(l, ["l_orderkey", "l_linenumber"])
+
+
+def q_merge_multimap(spark, sf):
+    """Two key->value maps merged into key->sorted distinct values.
+
+    Map 1: customer -> market segment; map 2: customer -> highest order
+    priority.  Each key holds at most one value per map, so the collected set
+    is bounded by the number of maps.
+    """
+    m1 = load(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("v"))
+    m2 = (load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k"))
+          .agg(F.max("o_orderpriority").alias("v")))
+    return (m1.unionByName(m2).groupBy("k")
+            .agg(F.array_join(F.array_sort(F.collect_set("v")), ",").alias("vals"),
+                 F.count_distinct("v").alias("n_values")))
+
+
+def q_reduce_by_key(spark, sf):
+    return load(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.sum("l_quantity").alias("total_quantity"), F.count(F.lit(1)).alias("line_count"))
+
+
+def q_second_extremes(spark, sf):
+    return ranking.extremes(load(spark, sf, "customer"), "c_acctbal", 2)
+
+
+def q_reconcile_counts(spark, sf):
+    """Orders per status (source) against statuses derived from the lines.
+
+    An order is F when all its lines are F, O when all are O, else P.  Both
+    sides are grouped counts; a full outer join lines them up with the
+    difference.
+    """
+    src = load(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count(F.lit(1)).alias("source_orders"))
+    per_order = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.min("l_linestatus").alias("lo"), F.max("l_linestatus").alias("hi"))
+    derived = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit("P"))
+    tgt = per_order.groupBy(derived.alias("status")).agg(F.count(F.lit(1)).alias("target_orders"))
+    j = src.join(tgt, "status", "full_outer").na.fill(0, ["source_orders", "target_orders"])
+    return j.select("status", "source_orders", "target_orders",
+                    (F.col("source_orders") - F.col("target_orders")).alias("difference"))
+
+
+def _employees(spark, sf):
+    c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey",
+                                           F.col("c_acctbal").alias("salary"))
+    n = load(spark, sf, "nation").select("n_nationkey", "n_name")
+    return c, n
+
+
+def q_join_filter_dimension(spark, sf):
+    c, n = _employees(spark, sf)
+    hr = n.filter(F.col("n_name") == "NATION_7")
+    return joins.join_dimension(c, hr, c.c_nationkey == hr.n_nationkey).select(
+        "c_custkey", "c_name", "salary", "n_name")
+
+
+def q_cte_join_nth_highest(spark, sf):
+    c, n = _employees(spark, sf)
+    j = joins.join_dimension(c, n, c.c_nationkey == n.n_nationkey)
+    return ranking.nth_highest(j, "salary", 10, "rank").select("salary")
+
+
+def q_nth_highest_rank(spark, sf):
+    c, _ = _employees(spark, sf)
+    return ranking.nth_highest(c, "salary", 3, "rank").select("salary")
+
+
+def q_nth_row_number(spark, sf):
+    c, _ = _employees(spark, sf)
+    return ranking.nth_highest(c, "salary", 10, "row_number", tie_break=["c_custkey"]).select(
+        "c_custkey", "salary")
+
+
+def q_top3_per_group(spark, sf):
+    c, _ = _employees(spark, sf)
+    return ranking.top_n_per_group(c, ["c_nationkey"], "salary", 3, "dense_rank").select(
+        "c_nationkey", "c_custkey", "salary", "rnk")
+
+
+def _region_nodes(spark, sf, table, key):
+    n = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    t = load(spark, sf, table).select(F.col(key).alias("n_nationkey"))
+    return joins.join_dimension(t, n, "n_nationkey").select("n_regionkey", "n_nationkey")
+
+
+def q_pair_connections(spark, sf):
+    return joins.connection_counts(load(spark, sf, "nation"), "n_regionkey", "n_nationkey")
+
+
+def q_pair_connections_delta(spark, sf):
+    """Known nodes: nations with suppliers; added: nations of customers."""
+    known = _region_nodes(spark, sf, "supplier", "s_nationkey")
+    added = _region_nodes(spark, sf, "customer", "c_nationkey")
+    return joins.added_connection_counts(known, added, "n_regionkey", "n_nationkey")
+
+
+# The price-version years and the yearly price step (percent).
+VERSION_YEARS = (1990, 2005)
+VERSION_STEP_PCT = 1
+
+
+def price_versions(part):
+    """Yearly price versions per part: ``[Jan 1, next Jan 1)``."""
+    y = F.explode(F.sequence(F.lit(VERSION_YEARS[0]), F.lit(VERSION_YEARS[1]))).alias("yr")
+    p = part.select("p_partkey", "p_retailprice", y)
+    factor = (F.lit(100) + (F.col("yr") - VERSION_YEARS[0]) * VERSION_STEP_PCT).cast("decimal(5,0)") / 100
+    return p.select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.make_date("yr", F.lit(1), F.lit(1)).alias("effective_start_date"),
+        F.make_date(F.col("yr") + 1, F.lit(1), F.lit(1)).alias("effective_end_date"),
+        (F.col("p_retailprice").cast("decimal(12,2)") * factor.cast("decimal(5,2)")).alias("unit_price"))
+
+
+def q_effective_dated_join(spark, sf):
+    l = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                          F.col("l_shipdate").cast("date").alias("ship_date"))
+    v = price_versions(load(spark, sf, "part"))
+    return joins.effective_dated_join(l, v, "l_partkey", "ship_date").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "effective_start_date", "unit_price")
+
+
+def _items(spark, sf):
+    e = ev.release_events(load(spark, sf, "orders"), load(spark, sf, "lineitem"))
+    items = F.col("data.releaseEventDetails.releaseItems")
+    return e.filter(F.size(items) > 0).select(
+        F.col("data.releaseEventDetails.id").alias("release_id"), items.alias("items"))
+
+
+def q_array_transform(spark, sf):
+    r = _items(spark, sf)
+    doubled = F.transform("items", lambda x: x["quantity"] * 2)
+    return r.select("release_id",
+                    F.aggregate(doubled, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("doubled_quantity"),
+                    F.size(F.filter("items", lambda x: x["quantity"] > 20)).alias("large_lines"))
+
+
+def q_array_flatten_distinct(spark, sf):
+    from orderloom.operators.explode import flatten_distinct
+    r = _items(spark, sf)
+    nested = F.transform("items", lambda x: F.array(x["quantity"], x["orderLineNumber"].cast("int")))
+    return r.select("release_id", F.array_join(flatten_distinct(nested), ",").alias("values"))
+
+
+QUERIES = {
+    "filter_rows": q_filter_rows,
+    "last_six_months": q_last_six_months,
+    "sql_over_view": q_sql_over_view,
+    "column_sum": q_column_sum,
+    "conditional_status": q_conditional_status,
+    "limit_preview": q_limit_preview,
+    "global_sort": q_global_sort,
+    "row_count": q_row_count,
+    "distinct_count": q_distinct_count,
+    "group_count_distinct": q_group_count_distinct,
+    "group_having": q_group_having,
+    "show_duplicates": q_show_duplicates,
+    "remove_duplicates": q_remove_duplicates,
+    "merge_multimap": q_merge_multimap,
+    "reduce_by_key": q_reduce_by_key,
+    "second_extremes": q_second_extremes,
+    "reconcile_counts": q_reconcile_counts,
+    "join_filter_dimension": q_join_filter_dimension,
+    "cte_join_nth_highest": q_cte_join_nth_highest,
+    "nth_highest_rank": q_nth_highest_rank,
+    "nth_row_number": q_nth_row_number,
+    "top3_per_group": q_top3_per_group,
+    "pair_connections": q_pair_connections,
+    "pair_connections_delta": q_pair_connections_delta,
+    "effective_dated_join": q_effective_dated_join,
+    "array_transform": q_array_transform,
+    "array_flatten_distinct": q_array_flatten_distinct,
+}
+
+_NODES = """
+WITH known AS (SELECT DISTINCT n_regionkey AS g, n_nationkey AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+added AS (SELECT DISTINCT n_regionkey AS g, n_nationkey AS k FROM customer JOIN nation ON c_nationkey = n_nationkey),
+fresh AS (SELECT * FROM added a WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.g = a.g AND k.k = a.k)),
+nk AS (SELECT g, count(*) AS n FROM known GROUP BY g),
+nf AS (SELECT g, count(*) AS k FROM fresh GROUP BY g)"""
+
+ORACLES = {
+    "filter_rows": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
+    "last_six_months": """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 6 MONTH""",
+    "sql_over_view": """SELECT o_orderpriority, count(*) AS order_count,
+  sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total_price FROM orders GROUP BY o_orderpriority""",
+    "column_sum": """SELECT l_returnflag, l_linestatus, sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS sum_price,
+  sum(CAST(l_extendedprice AS DECIMAL(15,2)) + CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_tax AS DECIMAL(15,2)))
+    AS sum_price_with_tax
+FROM lineitem GROUP BY l_returnflag, l_linestatus""",
+    "conditional_status": """SELECT o_orderkey,
+  CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'O' THEN 'open' ELSE 'partial' END AS order_state,
+  CASE WHEN o_totalprice >= 300000 THEN 'large' WHEN o_totalprice >= 100000 THEN 'medium' ELSE 'small' END
+    AS size_class
+FROM orders""",
+    "limit_preview": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate
+FROM orders ORDER BY o_orderkey LIMIT 5""",
+    "global_sort": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey",
+    "row_count": """SELECT 'orders' AS table_name, count(*) AS row_count FROM orders
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customer', count(*) FROM customer""",
+    "distinct_count": "SELECT count(DISTINCT o_custkey) AS distinct_customers FROM orders",
+    "group_count_distinct": """SELECT o_orderpriority, count(DISTINCT o_custkey) AS ids FROM orders
+GROUP BY o_orderpriority ORDER BY ids DESC""",
+    "group_having": """SELECT o_custkey, count(*) AS order_count FROM orders GROUP BY o_custkey
+HAVING count(*) > 15""",
+    "show_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS dup_count FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "remove_duplicates": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_partkey, l_suppkey, l_quantity) AS rn FROM lineitem)
+WHERE rn = 1""",
+    "merge_multimap": """WITH u AS (SELECT c_custkey AS k, c_mktsegment AS v FROM customer
+  UNION ALL SELECT o_custkey, max(o_orderpriority) FROM orders GROUP BY o_custkey)
+SELECT k, array_to_string(list_sort(list(DISTINCT v)), ',') AS vals, count(DISTINCT v) AS n_values
+FROM u GROUP BY k""",
+    "reduce_by_key": """SELECT l_suppkey, sum(l_quantity) AS total_quantity, count(*) AS line_count
+FROM lineitem GROUP BY l_suppkey""",
+    "second_extremes": """WITH v AS (SELECT DISTINCT c_acctbal FROM customer WHERE c_acctbal IS NOT NULL)
+SELECT 'max' AS kind, pos, value FROM (SELECT c_acctbal AS value,
+  row_number() OVER (ORDER BY c_acctbal DESC) AS pos FROM v) WHERE pos <= 2
+UNION ALL
+SELECT 'min', pos, value FROM (SELECT c_acctbal AS value,
+  row_number() OVER (ORDER BY c_acctbal ASC) AS pos FROM v) WHERE pos <= 2""",
+    "reconcile_counts": """WITH src AS (SELECT o_orderstatus AS status, count(*) AS source_orders FROM orders GROUP BY 1),
+per AS (SELECT l_orderkey, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS status
+        FROM lineitem GROUP BY l_orderkey),
+tgt AS (SELECT status, count(*) AS target_orders FROM per GROUP BY status)
+SELECT COALESCE(src.status, tgt.status) AS status, COALESCE(source_orders, 0) AS source_orders,
+  COALESCE(target_orders, 0) AS target_orders,
+  COALESCE(source_orders, 0) - COALESCE(target_orders, 0) AS difference
+FROM src FULL OUTER JOIN tgt ON src.status = tgt.status""",
+    "join_filter_dimension": """SELECT c_custkey, c_name, c_acctbal AS salary, n_name FROM customer e
+JOIN nation d ON e.c_nationkey = d.n_nationkey WHERE d.n_name = 'NATION_7'""",
+    "cte_join_nth_highest": """WITH ranked AS (SELECT e.c_acctbal AS salary,
+  rank() OVER (ORDER BY e.c_acctbal DESC) AS salary_rank
+  FROM customer e JOIN nation d ON e.c_nationkey = d.n_nationkey)
+SELECT salary FROM ranked WHERE salary_rank = 10""",
+    "nth_highest_rank": """SELECT salary FROM (SELECT c_acctbal AS salary,
+  rank() OVER (ORDER BY c_acctbal DESC) AS rnk FROM customer) WHERE rnk = 3""",
+    "nth_row_number": """SELECT c_custkey, salary FROM (SELECT c_custkey, c_acctbal AS salary,
+  row_number() OVER (ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer) WHERE rn = 10""",
+    "top3_per_group": """SELECT * FROM (SELECT c_nationkey, c_custkey, c_acctbal AS salary,
+  dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS rnk FROM customer)
+WHERE rnk <= 3""",
+    "pair_connections": """SELECT n_regionkey, count(DISTINCT n_nationkey) AS node_count,
+  CAST(count(DISTINCT n_nationkey) * (count(DISTINCT n_nationkey) - 1) / 2 AS BIGINT) AS connections
+FROM nation GROUP BY n_regionkey""",
+    "pair_connections_delta": f"""{_NODES}
+SELECT COALESCE(nk.g, nf.g) AS n_regionkey, COALESCE(n, 0) AS known_nodes, COALESCE(k, 0) AS new_nodes,
+  CAST(COALESCE(k, 0) * COALESCE(n, 0) + COALESCE(k, 0) * (COALESCE(k, 0) - 1) / 2 AS BIGINT) AS new_connections
+FROM nk FULL OUTER JOIN nf ON nk.g = nf.g""",
+    "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_partkey, make_date(yr, 1, 1) AS effective_start_date,
+  CAST(p_retailprice AS DECIMAL(12,2)) * CAST((100 + (yr - 1990)) / 100 AS DECIMAL(5,2)) AS unit_price
+FROM lineitem JOIN part ON l_partkey = p_partkey
+JOIN range(1990, 2006) AS r(yr) ON CAST(l_shipdate AS DATE) >= make_date(yr, 1, 1)
+  AND CAST(l_shipdate AS DATE) < make_date(yr + 1, 1, 1)""",
+    "array_transform": """SELECT 'R' || l_orderkey || '-0' AS release_id,
+  sum(CAST(l_quantity AS INTEGER) * 2) AS doubled_quantity,
+  count(*) FILTER (WHERE CAST(l_quantity AS INTEGER) > 20) AS large_lines
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey""",
+    "array_flatten_distinct": """SELECT 'R' || l_orderkey || '-0' AS release_id,
+  array_to_string(list_sort(list_distinct(flatten(list([CAST(l_quantity AS INTEGER), l_linenumber])))), ',') AS "values"
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey""",
+}

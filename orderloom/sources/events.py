@@ -36,29 +36,36 @@ def _dec_text(c: Column, scale: int = 2) -> Column:
     return c.cast(T.DecimalType(15, scale))
 
 
-def nest_children(children: DataFrame, key: str, item: Column, items_name: str,
+def nest_children(children: DataFrame, key: str, items_name: str,
                   max_items: int = MAX_ITEMS_PER_EVENT) -> DataFrame:
     """``children`` grouped into ``(key, piece, items_name)`` arrays.
 
-    Arrays are sorted (deterministic) and hold at most about ``max_items``
-    elements: the rare parents above the bound are spread over
-    ``ceil(n / max_items)`` pieces by a hash of the whole child row.  Counting
-    children per key is a partial (map-side combined) aggregation, so a hot
-    key costs one row per map task, not a hot reducer.
+    Each array element is a struct of the child's remaining (raw) columns,
+    sorted, so arrays are deterministic; callers shape the elements with
+    ``transform`` afterwards (collecting narrow primitive structs is several
+    times cheaper than collecting the final nested ones).  Arrays hold at
+    most about ``max_items`` elements: the rare parents above the bound are
+    spread over ``ceil(n / max_items)`` pieces by a hash of the whole child
+    row.  Counting children per key is a partial (map-side combined)
+    aggregation, so a hot key costs one row per map task, not a hot reducer.
+    Without oversized parents the grouping is on ``key`` alone, so a later
+    join on ``key`` reuses its partitioning.
     """
+    fields = [c for c in children.columns if c != key]
+    item = F.struct(*[F.col(c) for c in fields])
     sizes = children.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = (sizes.filter(F.col("_n") > max_items)
            .select(key, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_pieces")))
     n_hot = hot.count()
-    row_hash = F.xxhash64(*[F.col(c) for c in children.columns])
     if n_hot == 0:
-        tagged = children.withColumn("_piece", F.lit(0))
-    else:
-        side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_ROWS else hot
-        tagged = (children.join(side, key, "left")
-                  .withColumn("_piece", F.pmod(row_hash, F.coalesce(F.col("_pieces"), F.lit(1))).cast("int"))
-                  .drop("_pieces"))
-    return (tagged.groupBy(key, F.col("_piece").alias("piece"))
+        return (children.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias(items_name))
+                .withColumn("piece", F.lit(0)))
+    side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_ROWS else hot
+    row_hash = F.xxhash64(*[F.col(c) for c in children.columns])
+    tagged = (children.join(side, key, "left")
+              .withColumn("piece", F.pmod(row_hash, F.coalesce(F.col("_pieces"), F.lit(1))).cast("int"))
+              .drop("_pieces"))
+    return (tagged.groupBy(key, "piece")
             .agg(F.sort_array(F.collect_list(item)).alias(items_name)))
 
 
@@ -82,8 +89,10 @@ def _descriptions(*pairs: tuple[str, Column]) -> Column:
     return F.array(*[F.struct(F.lit(loc).alias("locale"), txt.alias("text")) for loc, txt in pairs])
 
 
-def release_item_struct() -> Column:
-    l = F.col
+def release_item_struct(r) -> Column:
+    """Release line built from one raw lineitem element ``r``."""
+    def l(name):
+        return r[name]
     return F.struct(
         l("l_linenumber").cast("string").alias("releaseLineNumber"),
         l("l_linenumber").cast("string").alias("orderLineNumber"),
@@ -120,11 +129,13 @@ def release_events(orders: DataFrame, lineitem: DataFrame,
 
     Orders without lines carry a null ``releaseItems`` (quirk K2 input).
     """
-    items = nest_children(
-        lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+    raw = nest_children(
+        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                         "l_shipdate"),
-        "l_orderkey", release_item_struct(), "releaseItems", max_items)
+        "l_orderkey", "lines", max_items)
+    items = raw.select("l_orderkey", "piece",
+                       F.transform("lines", release_item_struct).alias("releaseItems"))
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     ev = o.join(items, o.o_orderkey == items.l_orderkey, "left")
     piece = F.coalesce(F.col("piece"), F.lit(0))
@@ -170,8 +181,10 @@ def sku_dimension(part: DataFrame) -> DataFrame:
 # Invoice events (orders header + four preference sections from lineitem)
 # ---------------------------------------------------------------------------
 
-def _charge_item() -> Column:
-    l = F.col
+def _charge_item(r) -> Column:
+    """Charge + tax pair built from one raw lineitem element ``r``."""
+    def l(name):
+        return r[name]
     amount = _dec_text(l("l_extendedprice")) * _dec_text(l("l_discount"))
     tax = amount * _dec_text(l("l_tax"))
     return F.struct(
@@ -258,10 +271,11 @@ def invoice_events(orders: DataFrame, lineitem: DataFrame,
     at 23:30 the next day (so its local date and UTC instant disagree, K7),
     ``publishedTime`` five minutes later with milliseconds.
     """
-    lines = nest_children(
+    raw = nest_children(
         lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
                         "l_returnflag", "l_linestatus"),
-        "l_orderkey", _charge_item(), "lines", max_items)
+        "l_orderkey", "raw", max_items)
+    lines = raw.select("l_orderkey", "piece", F.transform("raw", _charge_item).alias("lines"))
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     ev = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     piece = F.coalesce(F.col("piece"), F.lit(0))

@@ -45,6 +45,30 @@ SECTIONS = {
 }
 
 
+def _tail() -> list:
+    mapping = [(f"{_D}.order.id", "order_id"), (f"{_D}.order.versionId", "order_version_id")]
+    for text, name in ((f"{_D}.orderDate", "order"), (f"{_D}.invoicedOn", "invoiced_on")):
+        date_c, text_c, utc_c = event_time_triplet(text, name)
+        mapping += [(date_c, f"{name}_date"), (text_c, f"{name}_datetime"),
+                    (utc_c, f"{name}_datetime_utc")]
+    return mapping + [("data.versionId", "version_id"),
+                      ("data.publishedTime", "published_time"),
+                      (utc_instant("data.publishedTime"), "published_time_utc")]
+
+
+def charge_sources_flatten(events: DataFrame) -> DataFrame:
+    """The four sections' charge arrays side by side, one row per invoice.
+
+    One projection of the invoice events feeds all four charge kinds of the
+    base+2 table (``charges.stacked_rows``) without scanning them four times.
+    """
+    mapping = [(f"{_D}.id", "invoice_id")]
+    for section, (prefix, _fields) in SECTIONS.items():
+        mapping.append((casts.charges(f"{_D}.{section}.convenienceCharges"),
+                        f"{prefix}convenience_charge"))
+    return flatten(events, mapping + _tail())
+
+
 def preference_flatten(events: DataFrame, section: str) -> DataFrame:
     """Base+1 table of one invoice section (names per ``SECTIONS``)."""
     prefix, fields = SECTIONS[section]
@@ -54,17 +78,8 @@ def preference_flatten(events: DataFrame, section: str) -> DataFrame:
     mapping += [(f"{s}.instruction.{f}", f"{prefix}instruction_{f}") for f in INSTRUCTION_FIELDS]
     mapping += [(casts.charges(f"{s}.convenienceCharges"), f"{prefix}convenience_charge"),
                 (casts.taxes(f"{s}.convenienceTaxes"), f"{prefix}convenience_charge_tax"),
-                (f"{_D}.order.id", "order_id"),
-                (f"{_D}.order.versionId", "order_version_id")]
-    order_text, invoiced_text = f"{_D}.orderDate", f"{_D}.invoicedOn"
-    for text, name in ((order_text, "order"), (invoiced_text, "invoiced_on")):
-        date_c, text_c, utc_c = event_time_triplet(text, name)
-        mapping += [(date_c, f"{name}_date"), (text_c, f"{name}_datetime"),
-                    (utc_c, f"{name}_datetime_utc")]
-    mapping += [("data.versionId", "version_id"),
-                ("data.publishedTime", "published_time"),
-                (utc_instant("data.publishedTime"), "published_time_utc")]
-    return flatten(events, mapping)
+                ]
+    return flatten(events, mapping + _tail())
 
 
 def gift_preference(events: DataFrame) -> DataFrame:

@@ -177,13 +177,6 @@ def q_audit_columns(spark, sf):
 # convenience charges
 # ---------------------------------------------------------------------------
 
-def _invoice_charge_sources(spark, sf):
-    events = _invoice_events(spark, sf)
-    base1 = {kind: invoice.preference_flatten(events, section)
-             for (kind, _), (section, _k, _b) in zip(CHARGE_KINDS, ev.INVOICE_SECTIONS)}
-    return ch.sources_from_invoices(base1)
-
-
 def _feed(spark, sf):
     return ev.charge_feed(load(spark, sf, "events"))
 
@@ -196,8 +189,11 @@ CHARGE_OUT = ["convenience_charge_type", "invoice_id", "convenience_charge_categ
 
 
 def q_convenience_charge_pipeline(spark, sf):
+    """Invoice events -> the four sections' charge arrays (one projection)
+    -> stacked charge rows -> left join to orders -> latest per key."""
     co = ev.customer_orders(load(spark, sf, "orders"))
-    out = ch.convenience_charges(co, _invoice_charge_sources(spark, sf), latest=True)
+    wide = invoice.charge_sources_flatten(_invoice_events(spark, sf))
+    out = ch.finish_charges(ch.stacked_rows(wide), co, latest=True)
     return out.select(*CHARGE_OUT)
 
 
@@ -238,8 +234,9 @@ def q_charge_order_left_join(spark, sf):
 
 
 def charges_from_feed(spark, sf) -> DataFrame:
+    """Base+2 charges from the ``events`` feed, read once (wide form)."""
     co = ev.customer_orders(load(spark, sf, "orders"))
-    return ch.convenience_charges(co, _feed(spark, sf))
+    return ch.finish_charges(ch.stacked_rows(ev.charge_feed_wide(load(spark, sf, "events"))), co)
 
 
 def q_charge_latest_per_key(spark, sf):

@@ -20,6 +20,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Inline a struct built in one projection into the field extractions of
+    # the next, so only the extracted leaves are computed (nested events built
+    # in-plan would otherwise be materialised whole for every row).
+    "spark.sql.optimizer.collapseProjectAlwaysInline": "true",
 }
 
 

@@ -311,14 +311,8 @@ def customer_orders(orders: DataFrame) -> DataFrame:
 # Charge feed from ``events``: many publications per charge key
 # ---------------------------------------------------------------------------
 
-def charge_feed(events: DataFrame) -> dict[str, DataFrame]:
-    """Four base+1 charge-source tables derived from ``events``.
-
-    Each event is one publication of an invoice's charges: invoice = user,
-    charge category = event type, two charges (a fee of ``value`` and a
-    handling fee of ``props.k``), kind = ``event_id mod 4``.  The same key is
-    published many times, so latest-wins has real work to do.
-    """
+def _charge_feed_base(events: DataFrame) -> DataFrame:
+    """One row per event: kind, housekeeping, invoice, ``_charges`` and tail."""
     ts = F.col("ts")
     handling = F.get_json_object("props", "$.k").cast("decimal(13,2)")
     charges = F.array(
@@ -331,7 +325,7 @@ def charge_feed(events: DataFrame) -> dict[str, DataFrame]:
                  handling.alias("amount"),
                  handling.cast("decimal(13,6)").alias("convenience_charge_amount")),
     )
-    base = events.select(
+    return events.select(
         F.pmod(F.col("event_id"), F.lit(4)).alias("_kind"),
         *_housekeeping(ts),
         F.concat(F.lit("INV"), F.col("user_id")).alias("invoice_id"),
@@ -345,9 +339,30 @@ def charge_feed(events: DataFrame) -> dict[str, DataFrame]:
         (ts + F.expr("INTERVAL 8 HOURS")).alias("invoiced_on_datetime_utc"),
         F.concat(F.date_format(ts, _TS_TEXT_MS), F.lit(FEED_OFFSET)).alias("published_time"),
     )
+
+
+def charge_feed(events: DataFrame) -> dict[str, DataFrame]:
+    """Four base+1 charge-source tables derived from ``events``.
+
+    Each event is one publication of an invoice's charges: invoice = user,
+    charge category = event type, two charges (a fee of ``value`` and a
+    handling fee of ``props.k``), kind = ``event_id mod 4``.  The same key is
+    published many times, so latest-wins has real work to do.
+    """
+    base = _charge_feed_base(events)
     out = {}
     for k, (kind, _label) in enumerate(CHARGE_KINDS):
         out[kind] = (base.filter(F.col("_kind") == k)
                      .withColumnRenamed("_charges", f"{kind}_convenience_charge")
                      .drop("_kind"))
     return out
+
+
+def charge_feed_wide(events: DataFrame) -> DataFrame:
+    """The same feed as one table: each event's charges sit in the column of
+    its kind (the other three are null), so a batch job reads ``events``
+    once instead of once per kind (see ``charges.stacked_rows``)."""
+    base = _charge_feed_base(events)
+    arrays = [F.when(F.col("_kind") == k, F.col("_charges")).alias(f"{kind}_convenience_charge")
+              for k, (kind, _label) in enumerate(CHARGE_KINDS)]
+    return base.select(*[c for c in base.columns if c not in ("_kind", "_charges")], *arrays)

@@ -13,21 +13,25 @@ Keys match null-safely (grouping treats nulls as equal, K17).
 Replay safety: re-applying the same batch yields the same table (latest-wins
 is idempotent and the batch id is part of the ordering), so a micro-batch
 retried after an executor or driver failure cannot duplicate or regress rows.
-The merged result is checkpointed (reliable checkpoint in the cluster's
-checkpoint dir) before the overwrite, so the write never reads the folders it
-replaces.
+A lost executor only costs task retries: the batch is persisted for its two
+uses and recomputes from the micro-batch's fixed input if blocks are lost;
+the write goes through Spark's staging folder, and only the job commit swaps
+the bucket folders, so the folders being replaced are read only before they
+change.  The commit itself swaps folder by folder (not atomically across
+buckets); a table format with transactional MERGE closes that window where
+one is installed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import latest_per_key
-from orderloom.session import shared_dir
 
 BATCH_COL = "_batch_id"
 BUCKET_COL = "_bucket"
@@ -51,21 +55,24 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
            batch_id: int, tie_break: Sequence[str] = (),
            buckets: int = DEFAULT_BUCKETS) -> None:
     spark = batch.sparkSession
-    shared_dir(spark)  # make sure checkpoint() has a reliable home
     b = (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
          .withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
-    b = b.checkpoint()  # the batch is used twice (bucket list + merge)
-    touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # <= buckets ints
-    if not touched:
-        return
-    stored = read_table(spark, path)
-    merged = b
-    if stored is not None:
-        merged = stored.filter(F.col(BUCKET_COL).isin(touched)).unionByName(b)
-    latest = latest_per_key(merged, keys, sort_col, [BATCH_COL, *tie_break])
-    latest = latest.checkpoint()
-    (latest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(path))
+    b = b.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: bucket list + merge
+    try:
+        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # <= buckets ints
+        if not touched:
+            return
+        stored = read_table(spark, path)
+        merged = b
+        if stored is not None:
+            merged = stored.filter(F.col(BUCKET_COL).isin(touched)).unionByName(b)
+        latest = latest_per_key(merged, keys, sort_col, [BATCH_COL, *tie_break])
+        # one task (one file) per bucket folder; buckets are balanced because
+        # latest-wins has already collapsed every key to one row
+        (latest.repartition(BUCKET_COL).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
+    finally:
+        b.unpersist()
 
 
 def upsert_writer(path: str, keys: Sequence[str], sort_col: str,

@@ -23,7 +23,8 @@ from orderloom.plans import invoice, release
 from orderloom.schemas import CHARGE_KINDS, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN
 from orderloom.sources.tables import read_table
 from orderloom.streaming import upsert as up
-from orderloom.streaming.jobs import JobConfig, append_stream, foreach_batch_stream
+from orderloom.streaming.jobs import (JobConfig, append_stream, foreach_batch_stream,
+                                      split_quarantine_stream)
 from orderloom.streaming.metrics import observe_counts
 
 
@@ -54,9 +55,15 @@ def _finish(df: DataFrame, cfg: JobConfig) -> DataFrame:
     return observe_counts(df, f"{cfg.name}_metrics")
 
 
-def release_job(spark: SparkSession, cfg: JobConfig) -> StreamingQuery:
+def release_job(spark: SparkSession, cfg: JobConfig, split_bad_rows: bool = False) -> StreamingQuery:
+    """Release header job.  Rows are tagged, not dropped (every curated table
+    carries the DQ columns); ``split_bad_rows`` sends failing rows to
+    ``bad_records_location`` instead."""
     tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules())
-    return append_stream(_finish(release.release_flatten(tagged), cfg), cfg)
+    out = _finish(release.release_flatten(tagged), cfg)
+    if split_bad_rows and cfg.bad_records_location:
+        return split_quarantine_stream(out, cfg)
+    return append_stream(out, cfg)
 
 
 def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None = None

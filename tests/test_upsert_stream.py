@@ -92,3 +92,18 @@ def test_stream_upsert_equals_batch_latest(spark, tmp_dir):
     expect = sorted((r.k, r.ts, r.v) for r in
                     latest_per_key(spark.createDataFrame(rows, SCHEMA), KEYS, "ts", ["v"]).collect())
     assert _rows(spark, table) == expect
+
+
+def test_stream_quarantine_split_is_exactly_once(spark, tmp_dir):
+    from orderloom.operators import quality as dq
+    from orderloom.streaming.jobs import split_quarantine_stream
+    rows = [(str(i) if i % 3 else None, _t(i % 24), i) for i in range(30)]
+    src = _stage(spark, tmp_dir, "src", rows, 3)
+    cfg = JobConfig("q", (src,), os.path.join(tmp_dir, "good"), os.path.join(tmp_dir, "ckpt"),
+                    bad_records_location=os.path.join(tmp_dir, "bad"))
+    s = read_table(spark, src, stream=True, max_files_per_trigger=1)
+    run_to_end(split_quarantine_stream(dq.tag_rows(s, [dq.not_null("k")]), cfg))
+    good = spark.read.parquet(cfg.output_path)
+    bad = spark.read.parquet(cfg.bad_records_location)
+    assert good.count() == 20 and bad.count() == 10
+    assert bad.filter(F.col("k").isNotNull()).count() == 0

@@ -70,7 +70,7 @@ def q_array_field_project(spark, sf):
     e = _release_events(spark, sf)
     skus = F.col("data.releaseEventDetails.releaseItems.product.skuNumber")
     return e.select(F.col("data.releaseEventDetails.id").alias("release_id"),
-                    F.coalesce(F.size(skus), F.lit(0)).alias("line_count"),
+                    F.coalesce(F.size(skus), F.lit(0)).cast("bigint").alias("line_count"),
                     F.array_join(F.array_sort(skus), ",").alias("sku_numbers"))
 
 
@@ -138,8 +138,8 @@ def _section_query(spark, sf, section):
     arr_c, arr_t = f"{prefix}convenience_charge", f"{prefix}convenience_charge_tax"
     keep = [c for c in out.columns if c not in HOUSEKEEPING_COLUMNS + [arr_c, arr_t]]
     return out.select(*keep,
-                      F.coalesce(F.size(arr_c), F.lit(0)).alias("charge_count"),
-                      F.coalesce(F.size(arr_t), F.lit(0)).alias("tax_count"))
+                      F.coalesce(F.size(arr_c), F.lit(0)).cast("bigint").alias("charge_count"),
+                      F.coalesce(F.size(arr_t), F.lit(0)).cast("bigint").alias("tax_count"))
 
 
 def q_gift_preference_flatten(spark, sf):

@@ -120,7 +120,8 @@ def q_reduce_by_key(spark, sf):
 
 
 def q_second_extremes(spark, sf):
-    return ranking.extremes(load(spark, sf, "customer"), "c_acctbal", 2)
+    e = ranking.extremes(load(spark, sf, "customer"), "c_acctbal", 2)
+    return e.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def q_reconcile_counts(spark, sf):
@@ -175,7 +176,7 @@ def q_nth_row_number(spark, sf):
 def q_top3_per_group(spark, sf):
     c, _ = _employees(spark, sf)
     return ranking.top_n_per_group(c, ["c_nationkey"], "salary", 3, "dense_rank").select(
-        "c_nationkey", "c_custkey", "salary", "rnk")
+        "c_nationkey", "c_custkey", "salary", F.col("rnk").cast("bigint").alias("rnk"))
 
 
 def _region_nodes(spark, sf, table, key):
@@ -232,7 +233,7 @@ def q_array_transform(spark, sf):
     doubled = F.transform("items", lambda x: x["quantity"] * 2)
     return r.select("release_id",
                     F.aggregate(doubled, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("doubled_quantity"),
-                    F.size(F.filter("items", lambda x: x["quantity"] > 20)).alias("large_lines"))
+                    F.size(F.filter("items", lambda x: x["quantity"] > 20)).cast("bigint").alias("large_lines"))
 
 
 def q_array_flatten_distinct(spark, sf):
@@ -284,8 +285,10 @@ ORACLES = {
     "last_six_months": """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
 WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 6 MONTH""",
     "sql_over_view": """SELECT o_orderpriority, count(*) AS order_count,
-  sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total_price FROM orders GROUP BY o_orderpriority""",
-    "column_sum": """SELECT l_returnflag, l_linestatus, sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS sum_price,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DECIMAL(25,2)) AS total_price
+FROM orders GROUP BY o_orderpriority""",
+    "column_sum": """SELECT l_returnflag, l_linestatus,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(25,2)) AS sum_price,
   sum(CAST(l_extendedprice AS DECIMAL(15,2)) + CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_tax AS DECIMAL(15,2)))
     AS sum_price_with_tax
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",
@@ -351,12 +354,13 @@ SELECT COALESCE(nk.g, nf.g) AS n_regionkey, COALESCE(n, 0) AS known_nodes, COALE
   CAST(COALESCE(k, 0) * COALESCE(n, 0) + COALESCE(k, 0) * (COALESCE(k, 0) - 1) / 2 AS BIGINT) AS new_connections
 FROM nk FULL OUTER JOIN nf ON nk.g = nf.g""",
     "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_partkey, make_date(yr, 1, 1) AS effective_start_date,
-  CAST(p_retailprice AS DECIMAL(12,2)) * CAST((100 + (yr - 1990)) / 100 AS DECIMAL(5,2)) AS unit_price
+  CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST((100 + (yr - 1990)) / 100 AS DECIMAL(5,2))
+    AS DECIMAL(18,4)) AS unit_price
 FROM lineitem JOIN part ON l_partkey = p_partkey
 JOIN range(1990, 2006) AS r(yr) ON CAST(l_shipdate AS DATE) >= make_date(yr, 1, 1)
   AND CAST(l_shipdate AS DATE) < make_date(yr + 1, 1, 1)""",
     "array_transform": """SELECT 'R' || l_orderkey || '-0' AS release_id,
-  sum(CAST(l_quantity AS INTEGER) * 2) AS doubled_quantity,
+  CAST(sum(CAST(l_quantity AS INTEGER) * 2) AS BIGINT) AS doubled_quantity,
   count(*) FILTER (WHERE CAST(l_quantity AS INTEGER) > 20) AS large_lines
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey""",
     "array_flatten_distinct": """SELECT 'R' || l_orderkey || '-0' AS release_id,

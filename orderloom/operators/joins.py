@@ -1,7 +1,7 @@
 """Joins with a size-checked broadcast, range joins and pairings.
 
-Broadcast is only ever applied behind a check: ``sized_broadcast`` estimates
-the side's size from its row count and schema width and returns a plain
+Broadcast is only ever applied behind a check: ``sized_broadcast`` measures
+the side's size (fixed widths plus actual value bytes) and returns a plain
 (shuffle-joinable) DataFrame beyond the bound.  AQE can still turn a shuffle
 join into a broadcast at run time when the measured shuffle size is small.
 """
@@ -15,28 +15,43 @@ from pyspark.sql import types as T
 # Broadcast bound for a dimension side (bytes, estimated).
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
-_WIDTH = {T.StringType: 32, T.BinaryType: 32, T.DecimalType: 16, T.LongType: 8,
-          T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8, T.DateType: 4,
-          T.IntegerType: 4, T.FloatType: 4, T.BooleanType: 1}
+_FIXED = {T.DecimalType: 16, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DateType: 4, T.IntegerType: 4, T.FloatType: 4,
+          T.ShortType: 2, T.ByteType: 1, T.BooleanType: 1}
+_ROW_OVERHEAD = 16
 
 
-def _row_width(schema: T.StructType) -> int:
-    width = 16
-    for f in schema.fields:
-        width += _WIDTH.get(type(f.dataType), 64)
-    return width
+def measured_bytes(df: DataFrame, limit_bytes: int | None = None) -> int:
+    """Size of ``df`` as broadcast rows: fixed widths plus the actual byte
+    length of every variable-width value (nested values via their JSON text).
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Row count (one distributed count) x schema width."""
-    return df.count() * _row_width(df.schema)
+    With ``limit_bytes``, a row-count probe first stops reading as soon as the
+    row count alone proves the side too large (a huge table is never fully
+    scanned just to be rejected).
+    """
+    fixed = _ROW_OVERHEAD + sum(_FIXED.get(type(f.dataType), 0) for f in df.schema.fields)
+    if limit_bytes is not None:
+        cap_rows = limit_bytes // fixed
+        if df.limit(cap_rows + 1).count() > cap_rows:
+            return limit_bytes + 1
+    var = []
+    for f in df.schema.fields:
+        if type(f.dataType) in _FIXED:
+            continue
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            var.append(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)))
+        else:
+            var.append(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(c)))), F.lit(0)))
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[v.alias(f"v{i}") for i, v in enumerate(var)]).first()
+    return row["n"] * fixed + sum(row[f"v{i}"] for i in range(len(var)))
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """``broadcast(df)`` if its estimated size is within ``max_bytes``."""
+    """``broadcast(df)`` only if its measured size is within ``max_bytes``."""
     if df.isStreaming:
         return df
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    return F.broadcast(df) if measured_bytes(df, max_bytes) <= max_bytes else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, condition, how: str = "inner",

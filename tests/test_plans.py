@@ -65,3 +65,9 @@ def test_connection_counts_do_not_pair_rows(spark):
     out = joins.connection_counts(load(spark, SF, "nation"), "n_regionkey", "n_nationkey")
     plan = _formatted(out)
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_measured_bytes_counts_actual_text(spark):
+    df = spark.createDataFrame([("x" * 100, 1), ("y" * 50, 2)], "s string, i int")
+    assert joins.measured_bytes(df) == 2 * (16 + 4) + 150
+    assert joins.measured_bytes(df, limit_bytes=30) == 31   # rejected by the row probe

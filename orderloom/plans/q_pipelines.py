@@ -36,6 +36,13 @@ def _sku(spark: SparkSession, sf: str) -> DataFrame:
     return ev.sku_dimension(load(spark, sf, "part"))
 
 
+def _count(arr) -> F.Column:
+    """Element count, 0 for a null array (whatever ``size(NULL)`` returns
+    under the session's ANSI setting)."""
+    a = F.col(arr) if isinstance(arr, str) else arr
+    return F.when(a.isNull(), F.lit(0)).otherwise(F.size(a)).cast("bigint")
+
+
 def describe_text(c) -> F.Column:
     """``locale:description`` pairs joined with ``|`` (array order kept)."""
     return F.array_join(F.transform(c, lambda x: F.concat(x["locale_code"], F.lit(":"),
@@ -70,7 +77,7 @@ def q_array_field_project(spark, sf):
     e = _release_events(spark, sf)
     skus = F.col("data.releaseEventDetails.releaseItems.product.skuNumber")
     return e.select(F.col("data.releaseEventDetails.id").alias("release_id"),
-                    F.coalesce(F.size(skus), F.lit(0)).cast("bigint").alias("line_count"),
+                    _count(skus).alias("line_count"),
                     F.array_join(F.array_sort(skus), ",").alias("sku_numbers"))
 
 
@@ -138,8 +145,8 @@ def _section_query(spark, sf, section):
     arr_c, arr_t = f"{prefix}convenience_charge", f"{prefix}convenience_charge_tax"
     keep = [c for c in out.columns if c not in HOUSEKEEPING_COLUMNS + [arr_c, arr_t]]
     return out.select(*keep,
-                      F.coalesce(F.size(arr_c), F.lit(0)).cast("bigint").alias("charge_count"),
-                      F.coalesce(F.size(arr_t), F.lit(0)).cast("bigint").alias("tax_count"))
+                      _count(arr_c).alias("charge_count"),
+                      _count(arr_t).alias("tax_count"))
 
 
 def q_gift_preference_flatten(spark, sf):

@@ -51,7 +51,7 @@ def _stream(spark: SparkSession, cfg: JobConfig, i: int) -> DataFrame:
 
 
 def _finish(df: DataFrame, cfg: JobConfig) -> DataFrame:
-    df = stamp_audit(df, cfg.name, published_utc=None)
+    df = stamp_audit(df, cfg.processed_by, published_utc=None)
     return observe_counts(df, f"{cfg.name}_metrics")
 
 

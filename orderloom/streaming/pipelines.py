@@ -10,8 +10,6 @@ itself after the available input.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -109,6 +107,3 @@ PIPELINES = {
     "convenience_charge": convenience_charge_job,
 }
 
-
-def source_paths(*paths: Sequence[str]) -> tuple[str, ...]:
-    return tuple(paths)

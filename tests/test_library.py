@@ -76,3 +76,32 @@ def test_dq_split(spark):
     tagged = dq.tag_rows(df, [dq.not_null("t")])
     assert [r.id for r in dq.passed(tagged).collect()] == [1]
     assert [r.failed_rule_id for r in dq.quarantined(tagged).collect()] == [["not_null_t"]]
+
+
+def test_release_items_stream_stream_bounded(spark, tmp_dir):
+    from orderloom.plans import release
+    item = "struct<releaseLineNumber:string,orderLineNumber:string,quantity:int,shipNode:string," \
+           "isBackOrder:boolean,releaseAdjustStatus:struct<releaseAdjustType:string,releaseAdjustDate:string>," \
+           "product:struct<skuNumber:string,productTypeName:string,itemStyleNumber:string,skuBrand:string," \
+           "itemStyleDescriptions:array<struct<locale:string,text:string>>," \
+           "itemDescriptions:array<struct<locale:string,text:string>>," \
+           "itemSizeDescriptions:array<struct<locale:string,text:string>>," \
+           "itemColorDescriptions:array<struct<locale:string,text:string>>," \
+           "price:struct<currentPrice:double,paidPrice:double,listPrice:double,retailPrice:double>>>"
+    schema = ("processed_timestamp timestamp, processed_by string, epoch_id bigint, latency double, "
+              f"data struct<versionId:string,publishedTime:string,releaseEventDetails:struct<id:string,"
+              f"releaseItems:array<{item}>>>, failed_rule_id array<string>, dq_processed_timestamp timestamp")
+
+    def line(sku):
+        return ("1", "1", 1, "S", False, ("A", "2024-01-01"), (sku, "T", "s", "b", [], [], [], [], (1.0, 1.0, 1.0, 1.0)))
+    ev_rows = [(None, "x", 0, 0.0, ("v1", "2024-01-01T12:00:00Z", ("R1", [line("A"), line("B")])), [], None)]
+    t0 = dt.datetime(2024, 1, 1, 12)
+    sku_rows = [(t0 + dt.timedelta(minutes=10), "A", "SKU-A"), (t0 + dt.timedelta(hours=5), "B", "SKU-B")]
+    ep, sp = os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "sku")
+    spark.createDataFrame(ev_rows, schema).write.parquet(ep)
+    spark.createDataFrame(sku_rows, "processed_timestamp timestamp, sku_number string, sku_id string").write.parquet(sp)
+    out = release.release_items_bounded(read_table(spark, ep, stream=True), read_table(spark, sp, stream=True),
+                                        delay="1 hour", before="1 hour", after="1 hour")
+    cfg = JobConfig("rb", (ep, sp), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    run_to_end(append_stream(out, cfg))
+    assert [r.sku_id for r in spark.read.parquet(cfg.output_path).collect()] == ["SKU-A"]

@@ -75,8 +75,9 @@ def q_fill_missing(spark, sf):
     return j.na.fill(-1, ["quality", "toxic"])
 
 
-# Document rules (id, description in the predicate below).
+# Document rules (not null, domain, consistency, minimum size).
 LANGS = ["en", "fr", "de", "es"]
+MIN_TEXT_CHARS = 50
 
 
 def document_rules():
@@ -85,8 +86,8 @@ def document_rules():
         ("text_present", t.isNotNull() & (F.length(t) > 0)),
         ("lang_known", F.col("lang").isin(LANGS)),
         ("length_matches", F.col("n_chars") == F.length(t)),
-        ("no_mail_address", ~t.rlike(tx.MAIL)),
-        ("no_card_number", ~t.rlike("[0-9]{16}")),
+        ("source_present", F.col("source").isNotNull() & (F.col("source") != "")),
+        ("min_text_length", F.length(t) >= MIN_TEXT_CHARS),
     ]
 
 
@@ -144,15 +145,15 @@ QUERIES = {
 _WS = r"'[ \t\n\r]+'"
 _MAIL = r"'[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}'"
 _PHONE = r"'[+]?[0-9][0-9 ()-]{8,}[0-9]'"
-_RULES = f"""
+_RULES = """
   (text IS NOT NULL AND length(text) > 0) AS r1, lang IN ('en', 'fr', 'de', 'es') AS r2,
-  n_chars = length(text) AS r3, NOT regexp_matches(text, {_MAIL}) AS r4,
-  NOT regexp_matches(text, '[0-9]{{16}}') AS r5"""
+  n_chars = length(text) AS r3, (source IS NOT NULL AND source <> '') AS r4,
+  length(text) >= 50 AS r5"""
 _TAGS = """concat_ws(',', CASE WHEN COALESCE(r1, false) THEN NULL ELSE 'text_present' END,
   CASE WHEN COALESCE(r2, false) THEN NULL ELSE 'lang_known' END,
   CASE WHEN COALESCE(r3, false) THEN NULL ELSE 'length_matches' END,
-  CASE WHEN COALESCE(r4, false) THEN NULL ELSE 'no_mail_address' END,
-  CASE WHEN COALESCE(r5, false) THEN NULL ELSE 'no_card_number' END)"""
+  CASE WHEN COALESCE(r4, false) THEN NULL ELSE 'source_present' END,
+  CASE WHEN COALESCE(r5, false) THEN NULL ELSE 'min_text_length' END)"""
 
 ORACLES = {
     "flatmap_words": f"""SELECT word, count(*) AS occurrences FROM (
@@ -187,8 +188,8 @@ WHERE failed_rules <> ''""",
   sum(COALESCE(r4, false)::INT) AS p4, sum(COALESCE(r5, false)::INT) AS p5 FROM r)
 SELECT rule_id, n AS total_rows, passed_rows::BIGINT AS passed_rows, round(passed_rows / n, 6) AS pass_rate FROM (
   SELECT 'text_present' AS rule_id, n, p1 AS passed_rows FROM t UNION ALL SELECT 'lang_known', n, p2 FROM t
-  UNION ALL SELECT 'length_matches', n, p3 FROM t UNION ALL SELECT 'no_mail_address', n, p4 FROM t
-  UNION ALL SELECT 'no_card_number', n, p5 FROM t)""",
+  UNION ALL SELECT 'length_matches', n, p3 FROM t UNION ALL SELECT 'source_present', n, p4 FROM t
+  UNION ALL SELECT 'min_text_length', n, p5 FROM t)""",
     "dq_constraints": """SELECT 'unique_conversation_turn' AS constraint_name, count(*) AS violations FROM (
   SELECT conv_id, turn FROM conversations GROUP BY conv_id, turn HAVING count(*) > 1)
 UNION ALL SELECT 'labels_doc_fk', count(*) FROM labels l

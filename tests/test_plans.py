@@ -71,3 +71,15 @@ def test_measured_bytes_counts_actual_text(spark):
     df = spark.createDataFrame([("x" * 100, 1), ("y" * 50, 2)], "s string, i int")
     assert joins.measured_bytes(df) == 2 * (16 + 4) + 150
     assert joins.measured_bytes(df, limit_bytes=30) == 31   # rejected by the row probe
+
+
+def test_no_python_udf_or_pairing_join_in_any_query(spark):
+    import __spark_entry__ as entry
+    banned = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
+              "BroadcastNestedLoopJoin")
+    for name, q in entry.queries().items():
+        if name.startswith("stream_") or name == "charge_upsert":
+            continue  # these run a job and return a plain read of its output
+        plan = _formatted(q(spark, SF))
+        found = [b for b in banned if b in plan]
+        assert not found, (name, found)

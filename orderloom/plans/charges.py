@@ -107,6 +107,13 @@ def finish_charges(u: DataFrame, customer_order: DataFrame | None, strict_time:
     return out
 
 
+def storage_clusters() -> dict:
+    """Folder levels of the stored charge table above the key-hash bucket:
+    the order month, fixed for an invoice (so for every charge key); new
+    charges and re-publications concentrate on recent months."""
+    return {"order_month": F.trunc(F.col("order_date"), "month")}
+
+
 def latest_charges(df: DataFrame) -> DataFrame:
     return latest_per_key(df, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN, CHARGE_TIE_BREAK)
 

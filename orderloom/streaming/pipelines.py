@@ -94,7 +94,8 @@ def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
                 .drop("cust_order_id"))
 
     writer = up.upsert_writer(cfg.output_path, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN,
-                              ch.CHARGE_TIE_BREAK, buckets, prepare=with_order_check)
+                              ch.CHARGE_TIE_BREAK, buckets, prepare=with_order_check,
+                              cluster_by=ch.storage_clusters())
     return foreach_batch_stream(charges, cfg, writer)
 
 

@@ -28,13 +28,14 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.operators.dedupe import latest_per_key
 
 BATCH_COL = "_batch_id"
 BUCKET_COL = "_bucket"
+PART_PREFIX = "_part_"
 DEFAULT_BUCKETS = 64
 
 
@@ -48,38 +49,62 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     """The table as users see it (internal columns removed)."""
     t = read_table(spark, path)
-    return None if t is None else t.drop(BATCH_COL, BUCKET_COL)
+    if t is None:
+        return None
+    return t.drop(BATCH_COL, BUCKET_COL, *[c for c in t.columns if c.startswith(PART_PREFIX)])
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
            batch_id: int, tie_break: Sequence[str] = (),
-           buckets: int = DEFAULT_BUCKETS) -> None:
+           buckets: int = DEFAULT_BUCKETS,
+           cluster_by: dict[str, Column] | None = None) -> None:
+    """Merge ``batch`` into the table at ``path`` (latest wins per key).
+
+    ``cluster_by`` adds folder levels above the hash bucket, e.g.
+    ``{"month": F.trunc("order_date", "month")}``.  Each expression must be
+    determined by the key (a key never moves between folders).  When changes
+    concentrate on recent data, a batch then rewrites only the recent
+    (month, bucket) folders instead of one folder per bucket across all time.
+    """
     spark = batch.sparkSession
-    b = (batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-         .withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
-    b = b.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: bucket list + merge
+    parts = {f"{PART_PREFIX}{n}": e for n, e in (cluster_by or {}).items()}
+    b = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+    for n, e in parts.items():
+        b = b.withColumn(n, e)
+    b = b.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+    layout = [*parts, BUCKET_COL]
+    b = b.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: folder list + merge
     try:
-        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]  # <= buckets ints
-        if not touched:
+        # touched folders: at most (folders per level) x buckets small rows
+        combos = b.select(*layout).distinct().collect()
+        if not combos:
             return
+        touched = {c: sorted({r[c] for r in combos}, key=repr) for c in layout}
         stored = read_table(spark, path)
         merged = b
         if stored is not None:
-            merged = stored.filter(F.col(BUCKET_COL).isin(touched)).unionByName(b)
+            cond = None
+            for c, vals in touched.items():
+                v = [x for x in vals if x is not None]
+                one = F.col(c).isin(v) if v else F.lit(False)
+                if len(v) < len(vals):
+                    one = one | F.col(c).isNull()
+                cond = one if cond is None else cond & one
+            merged = stored.filter(cond).unionByName(b)
         latest = latest_per_key(merged, keys, sort_col, [BATCH_COL, *tie_break])
-        # one task (one file) per bucket folder; buckets are balanced because
+        # one task (one file) per folder; folders are balanced because
         # latest-wins has already collapsed every key to one row
-        (latest.repartition(BUCKET_COL).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
+        (latest.repartition(*layout).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path))
     finally:
         b.unpersist()
 
 
 def upsert_writer(path: str, keys: Sequence[str], sort_col: str,
                   tie_break: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
-                  prepare=None):
+                  prepare=None, cluster_by: dict[str, Column] | None = None):
     """``foreachBatch`` callback; ``prepare(batch_df)`` runs first if given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         df = prepare(batch_df) if prepare is not None else batch_df
-        upsert(df, path, keys, sort_col, batch_id, tie_break, buckets)
+        upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, cluster_by)
     return write

@@ -107,3 +107,19 @@ def test_stream_quarantine_split_is_exactly_once(spark, tmp_dir):
     bad = spark.read.parquet(cfg.bad_records_location)
     assert good.count() == 20 and bad.count() == 10
     assert bad.filter(F.col("k").isNotNull()).count() == 0
+
+
+def test_clustered_upsert_rewrites_only_touched_months(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    month = {"month": F.trunc(F.col("ts").cast("date"), "month")}
+    old = [(f"k{i}", dt.datetime(2023, 1 + i % 6, 1, 1), i) for i in range(60)]
+    up.upsert(spark.createDataFrame(old, SCHEMA), p, KEYS, "ts", 0, buckets=4, cluster_by=month)
+    jan = os.path.join(p, "_part_month=2023-01-01")
+    before = {f for _, _, fs in os.walk(jan) for f in fs if f.endswith(".parquet")}
+    new = [("k1", dt.datetime(2023, 2, 1, 5), 100), ("k7", dt.datetime(2023, 2, 2, 5), 101)]
+    up.upsert(spark.createDataFrame(new, SCHEMA), p, KEYS, "ts", 1, buckets=4, cluster_by=month)
+    after = {f for _, _, fs in os.walk(jan) for f in fs if f.endswith(".parquet")}
+    assert before == after                      # January folders untouched
+    rows = {r.k: r.v for r in up.read_current(spark, p).collect()}
+    assert len(rows) == 60 and rows["k1"] == 100 and rows["k7"] == 101
+    assert "_part_month" not in up.read_current(spark, p).columns

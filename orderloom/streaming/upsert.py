@@ -57,7 +57,8 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
            batch_id: int, tie_break: Sequence[str] = (),
            buckets: int = DEFAULT_BUCKETS,
-           cluster_by: dict[str, Column] | None = None) -> None:
+           cluster_by: dict[str, Column] | None = None,
+           files_per_folder: int = 1) -> None:
     """Merge ``batch`` into the table at ``path`` (latest wins per key).
 
     ``cluster_by`` adds folder levels above the hash bucket, e.g.
@@ -65,6 +66,11 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
     determined by the key (a key never moves between folders).  When changes
     concentrate on recent data, a batch then rewrites only the recent
     (month, bucket) folders instead of one folder per bucket across all time.
+
+    The rewrite is clustered by folder; ``files_per_folder`` > 1 spreads each
+    folder over that many tasks (and files) by a hash of the key, for tables
+    whose folders are large (say a hot recent month at scale).  AQE merges
+    the small shuffle partitions back together.
     """
     spark = batch.sparkSession
     parts = {f"{PART_PREFIX}{n}": e for n, e in (cluster_by or {}).items()}
@@ -92,9 +98,11 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
                 cond = one if cond is None else cond & one
             merged = stored.filter(cond).unionByName(b)
         latest = latest_per_key(merged, keys, sort_col, [BATCH_COL, *tie_break])
-        # one task (one file) per folder; folders are balanced because
-        # latest-wins has already collapsed every key to one row
-        (latest.repartition(*layout).write.mode("overwrite")
+        spread = [F.col(c) for c in layout]
+        if files_per_folder > 1:
+            spread.append(F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(7)),
+                                 F.lit(files_per_folder)))
+        (latest.repartition(*spread).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path))
     finally:
         b.unpersist()
@@ -102,9 +110,11 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
 
 def upsert_writer(path: str, keys: Sequence[str], sort_col: str,
                   tie_break: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
-                  prepare=None, cluster_by: dict[str, Column] | None = None):
+                  prepare=None, cluster_by: dict[str, Column] | None = None,
+                  files_per_folder: int = 1):
     """``foreachBatch`` callback; ``prepare(batch_df)`` runs first if given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         df = prepare(batch_df) if prepare is not None else batch_df
-        upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, cluster_by)
+        upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, cluster_by,
+               files_per_folder)
     return write

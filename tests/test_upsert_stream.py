@@ -123,3 +123,21 @@ def test_clustered_upsert_rewrites_only_touched_months(spark, tmp_dir):
     rows = {r.k: r.v for r in up.read_current(spark, p).collect()}
     assert len(rows) == 60 and rows["k1"] == 100 and rows["k7"] == 101
     assert "_part_month" not in up.read_current(spark, p).columns
+
+
+def test_oversized_folder_is_split_over_tasks(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    rows = spark.range(200000).select(F.concat(F.lit("k"), F.col("id")).alias("k"),
+                                      F.lit(_t(1)).alias("ts"), F.col("id").cast("int").alias("v"))
+    confs = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        up.upsert(rows, p, KEYS, "ts", 0, buckets=1, files_per_folder=4)
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    files = [f for f in os.listdir(os.path.join(p, "_bucket=0")) if f.endswith(".parquet")]
+    assert len(files) > 1          # one folder, written by several tasks
+    assert up.read_current(spark, p).count() == 200000

@@ -141,8 +141,11 @@ def q_reconcile_counts(spark, sf):
     derived = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.lit("P"))
     tgt = per_order.groupBy(derived.alias("status")).agg(F.count(F.lit(1)).alias("target_orders"))
     j = src.join(tgt, "status", "full_outer").na.fill(0, ["source_orders", "target_orders"])
+    # scalar from a query as a scalar subquery (no collect to the driver)
+    total = load(spark, sf, "orders").agg(F.count(F.lit(1))).scalar()
     return j.select("status", "source_orders", "target_orders",
-                    (F.col("source_orders") - F.col("target_orders")).alias("difference"))
+                    (F.col("source_orders") - F.col("target_orders")).alias("difference"),
+                    total.alias("total_orders"))
 
 
 def _employees(spark, sf):
@@ -334,7 +337,8 @@ per AS (SELECT l_orderkey, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN
 tgt AS (SELECT status, count(*) AS target_orders FROM per GROUP BY status)
 SELECT COALESCE(src.status, tgt.status) AS status, COALESCE(source_orders, 0) AS source_orders,
   COALESCE(target_orders, 0) AS target_orders,
-  COALESCE(source_orders, 0) - COALESCE(target_orders, 0) AS difference
+  COALESCE(source_orders, 0) - COALESCE(target_orders, 0) AS difference,
+  (SELECT count(*) FROM orders) AS total_orders
 FROM src FULL OUTER JOIN tgt ON src.status = tgt.status""",
     "join_filter_dimension": """SELECT c_custkey, c_name, c_acctbal AS salary, n_name FROM customer e
 JOIN nation d ON e.c_nationkey = d.n_nationkey WHERE d.n_name = 'NATION_7'""",

@@ -141,3 +141,18 @@ def test_oversized_folder_is_split_over_tasks(spark, tmp_dir):
     files = [f for f in os.listdir(os.path.join(p, "_bucket=0")) if f.endswith(".parquet")]
     assert len(files) > 1          # one folder, written by several tasks
     assert up.read_current(spark, p).count() == 200000
+
+
+def test_processing_time_trigger_runs_continuously(spark, tmp_dir):
+    src = _stage(spark, tmp_dir, "src", [(str(i), _t(1), i) for i in range(10)], 2)
+    cfg = JobConfig("c", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"),
+                    trigger_once=False, trigger_interval="1 second")
+    q = append_stream(read_table(spark, src, stream=True), cfg)
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+        spark.createDataFrame([("x", _t(2), 99)], SCHEMA).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(cfg.output_path).count() == 11

@@ -202,29 +202,33 @@ def q_pair_connections_delta(spark, sf):
     return joins.added_connection_counts(known, added, "n_regionkey", "n_nationkey")
 
 
-# The price-version years and the yearly price step (percent).
-VERSION_YEARS = (1990, 2005)
+# The rate-version years and the yearly rate step (percent).
+VERSION_YEARS = (1992, 2002)
 VERSION_STEP_PCT = 1
 
 
-def price_versions(part):
-    """Yearly price versions per part: ``[Jan 1, next Jan 1)``."""
+def rate_versions(supplier):
+    """Yearly supplier rate versions: ``[Jan 1, next Jan 1)`` per supplier.
+
+    An effective-dated dimension (SCD2-style): a few versions per supplier,
+    so it stays a small fraction of the fact table.
+    """
     y = F.explode(F.sequence(F.lit(VERSION_YEARS[0]), F.lit(VERSION_YEARS[1]))).alias("yr")
-    p = part.select("p_partkey", "p_retailprice", y)
+    s = supplier.select("s_suppkey", "s_acctbal", y)
     factor = (F.lit(100) + (F.col("yr") - VERSION_YEARS[0]) * VERSION_STEP_PCT).cast("decimal(5,0)") / 100
-    return p.select(
-        F.col("p_partkey").alias("l_partkey"),
+    return s.select(
+        F.col("s_suppkey").alias("l_suppkey"),
         F.make_date("yr", F.lit(1), F.lit(1)).alias("effective_start_date"),
         F.make_date(F.col("yr") + 1, F.lit(1), F.lit(1)).alias("effective_end_date"),
-        (F.col("p_retailprice").cast("decimal(12,2)") * factor.cast("decimal(5,2)")).alias("unit_price"))
+        (F.col("s_acctbal").cast("decimal(12,2)") * factor.cast("decimal(5,2)")).alias("supplier_rate"))
 
 
 def q_effective_dated_join(spark, sf):
-    l = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+    l = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
                                           F.col("l_shipdate").cast("date").alias("ship_date"))
-    v = price_versions(load(spark, sf, "part"))
-    return joins.effective_dated_join(l, v, "l_partkey", "ship_date").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "effective_start_date", "unit_price")
+    v = rate_versions(load(spark, sf, "supplier"))
+    return joins.effective_dated_join(l, v, "l_suppkey", "ship_date").select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "effective_start_date", "supplier_rate")
 
 
 def _items(spark, sf):
@@ -360,11 +364,11 @@ FROM nation GROUP BY n_regionkey""",
 SELECT COALESCE(nk.g, nf.g) AS n_regionkey, COALESCE(n, 0) AS known_nodes, COALESCE(k, 0) AS new_nodes,
   CAST(COALESCE(k, 0) * COALESCE(n, 0) + COALESCE(k, 0) * (COALESCE(k, 0) - 1) / 2 AS BIGINT) AS new_connections
 FROM nk FULL OUTER JOIN nf ON nk.g = nf.g""",
-    "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_partkey, make_date(yr, 1, 1) AS effective_start_date,
-  CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST((100 + (yr - 1990)) / 100 AS DECIMAL(5,2))
-    AS DECIMAL(18,4)) AS unit_price
-FROM lineitem JOIN part ON l_partkey = p_partkey
-JOIN range(1990, 2006) AS r(yr) ON CAST(l_shipdate AS DATE) >= make_date(yr, 1, 1)
+    "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_suppkey, make_date(yr, 1, 1) AS effective_start_date,
+  CAST(CAST(s_acctbal AS DECIMAL(12,2)) * CAST((100 + (yr - 1992)) / 100 AS DECIMAL(5,2))
+    AS DECIMAL(18,4)) AS supplier_rate
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+JOIN range(1992, 2003) AS r(yr) ON CAST(l_shipdate AS DATE) >= make_date(yr, 1, 1)
   AND CAST(l_shipdate AS DATE) < make_date(yr + 1, 1, 1)""",
     "array_transform": """SELECT 'R' || l_orderkey || '-0' AS release_id,
   CAST(sum(CAST(l_quantity AS INTEGER) * 2) AS BIGINT) AS doubled_quantity,

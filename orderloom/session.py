@@ -19,6 +19,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what has been measured: no plan-time broadcast from
+    # estimated statistics; AQE may still turn a join into a broadcast from
+    # the measured size of a finished shuffle, and sized_broadcast() measures
+    # explicitly.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Inline a struct built in one projection into the field extractions of
     # the next, so only the extracted leaves are computed (nested events built

@@ -21,8 +21,8 @@ from orderloom.plans import invoice, release
 from orderloom.schemas import CHARGE_KINDS, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN
 from orderloom.sources.tables import read_table
 from orderloom.streaming import upsert as up
-from orderloom.streaming.jobs import (JobConfig, append_stream, foreach_batch_stream,
-                                      split_quarantine_stream)
+from orderloom.streaming.jobs import (JobConfig, append_stream, batch_folder_stream,
+                                      foreach_batch_stream, split_quarantine_stream)
 from orderloom.streaming.metrics import observe_counts
 
 
@@ -64,11 +64,24 @@ def release_job(spark: SparkSession, cfg: JobConfig, split_bad_rows: bool = Fals
     return append_stream(out, cfg)
 
 
-def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None = None
-                     ) -> StreamingQuery:
+def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None = None,
+                     fresh_sku: bool = False) -> StreamingQuery:
     """Release stream x SKU snapshot (``source_paths[1]`` read as a batch
-    table unless ``sku`` is given)."""
+    table unless ``sku`` is given).
+
+    A file-backed static side keeps the file list it had when the stream
+    started.  ``fresh_sku`` re-reads the catalogue in every micro-batch
+    instead (inside ``foreachBatch``), so SKUs added while a long-running
+    job is up are joined from the next batch on.
+    """
     tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules())
+    if fresh_sku and sku is None:
+        sku_path = cfg.source_paths[1]
+
+        def per_batch(batch: DataFrame, _batch_id: int):
+            items = release.release_items(batch, read_table(spark, sku_path))
+            return [(stamp_audit(items, cfg.processed_by), cfg.output_path)]
+        return batch_folder_stream(tagged, cfg, per_batch)
     dim = sku if sku is not None else read_table(spark, cfg.source_paths[1])
     return append_stream(_finish(release.release_items(tagged, dim), cfg), cfg)
 

@@ -96,3 +96,31 @@ def test_charge_job_restart_picks_up_only_new_files(spark, tmp_dir):
     cols = CHARGE_PRIMARY_KEY + [CHARGE_SORT_COLUMN, "convenience_charge_amount"]
     assert got.count() == batch.count()
     assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_fresh_sku_snapshot_sees_new_skus(spark, tmp_dir):
+    from orderloom.streaming import pipelines as jobs
+    from orderloom.streaming.jobs import JobConfig, run_to_end
+    events = ev.release_events(load(spark, SF, "orders"), load(spark, SF, "lineitem"))
+    src, sku = os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "sku")
+    events.filter(F.col("data.releaseEventDetails.orderId").cast("int") % 2 == 0).write.parquet(src)
+    part = load(spark, SF, "part")
+    ev.sku_dimension(part.filter(F.col("p_partkey") % 2 == 0)).write.parquet(sku)
+    cfg = JobConfig("ri", (src, sku), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"))
+    run_to_end(jobs.release_item_job(spark, cfg, fresh_sku=True))
+    first = spark.read.parquet(cfg.output_path).count()
+    # the catalogue grows, then new events arrive: they join against the new SKUs
+    ev.sku_dimension(part.filter(F.col("p_partkey") % 2 == 1)).write.mode("append").parquet(sku)
+    events.filter(F.col("data.releaseEventDetails.orderId").cast("int") % 2 == 1).write.mode("append").parquet(src)
+    run_to_end(jobs.release_item_job(spark, cfg, fresh_sku=True))
+    out = spark.read.parquet(cfg.output_path)
+    expect = release.release_items(events, ev.sku_dimension(part)).count()
+    second_half = release.release_items(
+        events.filter(F.col("data.releaseEventDetails.orderId").cast("int") % 2 == 1),
+        ev.sku_dimension(part)).count()
+    first_half = release.release_items(
+        events.filter(F.col("data.releaseEventDetails.orderId").cast("int") % 2 == 0),
+        ev.sku_dimension(part.filter(F.col("p_partkey") % 2 == 0))).count()
+    assert first == first_half                    # first run: catalogue as it was
+    assert out.count() == first + second_half     # new events joined the new SKUs
+    assert second_half > 0 and out.count() < expect

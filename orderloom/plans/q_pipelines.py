@@ -315,7 +315,7 @@ _TSMS = "'%Y-%m-%dT%H:%M:%S.%g'"
 _RELEASE_SQL = f"""
 SELECT 'R' || o_orderkey || '-0' AS release_id, 'v' || o_custkey AS event_version_id,
   'ReleaseCreated' AS event_name, strftime(o_orderdate, {_TSMS}) || '-0800' AS event_published_time,
-  strftime(o_orderdate, {_TS}) AS event_created_on, 'oms' AS event_created_by,
+  strftime(o_orderdate, {_TS}) AS event_created_on, 'order-service' AS event_created_by,
   strftime(o_orderdate, {_TS}) AS release_created_on, CAST(o_orderkey AS VARCHAR) AS order_id,
   strftime(o_orderdate, '%Y-%m-%d') AS order_date, 'INV' || o_orderkey AS invoice_id,
   o_orderpriority AS market, 'US' AS country_code, 'N' || o_custkey AS parent_ship_node,

@@ -145,7 +145,7 @@ def release_events(orders: DataFrame, lineitem: DataFrame,
         F.lit("ReleaseCreated").alias("eventName"),
         F.concat(F.date_format("o_orderdate", _TS_TEXT_MS), F.lit(FEED_OFFSET)).alias("publishedTime"),
         created.alias("createdOn"),
-        F.lit("oms").alias("createdBy"),
+        F.lit("order-service").alias("createdBy"),
         F.struct(
             F.concat(F.lit("R"), F.col("o_orderkey"), F.lit("-"), piece).alias("id"),
             created.alias("createdOn"),

@@ -2,7 +2,7 @@
 
 A plain dict of functions (``PIPELINES``) replaces a name-to-class registry.
 Each job takes an immutable ``JobConfig`` whose ``source_paths`` are read as
-streams (static where the reference reads a snapshot), tags rows with the DQ
+streams (static for the snapshot side), tags rows with the DQ
 rules, runs the same DataFrame function as the batch path and starts the
 sink.  Jobs return the ``StreamingQuery``; with ``trigger_once`` it stops by
 itself after the available input.
@@ -113,10 +113,10 @@ def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
 
 
 PIPELINES = {
-    "oms_release": release_job,
-    "oms_release_item": release_item_job,
-    "oms_gift_preference": lambda s, c: invoice_section_job(s, c, "giftPreference"),
-    "oms_shipment_preference_adjustment":
+    "release": release_job,
+    "release_item": release_item_job,
+    "gift_preference": lambda s, c: invoice_section_job(s, c, "giftPreference"),
+    "shipment_preference_adjustment":
         lambda s, c: invoice_section_job(s, c, "shipmentPreferenceAdjustment"),
     "convenience_charge": convenience_charge_job,
 }

@@ -21,6 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of the published normaliser: date/clock separator, clock/offset
+# separator, and the patterns taking the offset's first and last two digits.
+DATE_CLOCK_SEPARATOR = "T"
+CLOCK_OFFSET_SEPARATOR = "-"
+OFFSET_HOURS_PATTERN = r"(\d{2})"
+OFFSET_MINUTES_PATTERN = r"(\d{2}$)"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -49,14 +56,15 @@ def event_time_triplet(text, prefix: str) -> list[Column]:
 def published_time_strict_text(text) -> Column:
     """The normalised text ``yyyy-MM-ddTclock-hh:mm`` (null when unparseable)."""
     t = _col(text)
-    halves = F.split(t, "T")
+    halves = F.split(t, DATE_CLOCK_SEPARATOR)
     day = F.get(halves, 0).try_cast("date")
-    clock_parts = F.split(F.get(halves, 1), "-")
+    clock_parts = F.split(F.get(halves, 1), CLOCK_OFFSET_SEPARATOR)
     clock = F.get(clock_parts, 0)
     offset = F.get(clock_parts, 1)
-    offset_hhmm = F.concat(F.regexp_extract(offset, r"(\d{2})", 0), F.lit(":"),
-                           F.regexp_extract(offset, r"(\d{2}$)", 0))
-    return F.concat(day.cast("string"), F.lit("T"), clock, F.lit("-"), offset_hhmm)
+    offset_hhmm = F.concat(F.regexp_extract(offset, OFFSET_HOURS_PATTERN, 0), F.lit(":"),
+                           F.regexp_extract(offset, OFFSET_MINUTES_PATTERN, 0))
+    return F.concat(day.cast("string"), F.lit(DATE_CLOCK_SEPARATOR), clock,
+                    F.lit(CLOCK_OFFSET_SEPARATOR), offset_hhmm)
 
 
 def published_time_strict(text) -> Column:

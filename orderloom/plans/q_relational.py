@@ -185,21 +185,23 @@ def q_top3_per_group(spark, sf):
         "c_nationkey", "c_custkey", "salary", F.col("rnk").cast("bigint").alias("rnk"))
 
 
-def _region_nodes(spark, sf, table, key):
-    n = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    t = load(spark, sf, table).select(F.col(key).alias("n_nationkey"))
-    return joins.join_dimension(t, n, "n_nationkey").select("n_regionkey", "n_nationkey")
+def q_pair_connections(spark, sf):
+    """Connections among the customers of each nation: n(n-1)/2."""
+    return joins.connection_counts(load(spark, sf, "customer"), "c_nationkey", "c_custkey")
 
 
-def q_pair_connections(spark, sf):
-    return joins.connection_counts(load(spark, sf, "nation"), "n_regionkey", "n_nationkey")
+# Fixed value: the date splitting the known node set from the added one.
+DELTA_ANCHOR = "1998-01-01"
 
 
 def q_pair_connections_delta(spark, sf):
-    """Known nodes: nations with suppliers; added: nations of customers."""
-    known = _region_nodes(spark, sf, "supplier", "s_nationkey")
-    added = _region_nodes(spark, sf, "customer", "c_nationkey")
-    return joins.added_connection_counts(known, added, "n_regionkey", "n_nationkey")
+    """Per order priority: customers ordering before the anchor are the known
+    nodes, customers first seen from the anchor on are added; new
+    connections = k*n + k(k-1)/2."""
+    o = load(spark, sf, "orders").select("o_orderpriority", "o_custkey", "o_orderdate")
+    before = F.col("o_orderdate") < F.lit(DELTA_ANCHOR).cast("timestamp_ntz")
+    return joins.added_connection_counts(o.filter(before), o.filter(~before),
+                                         "o_orderpriority", "o_custkey")
 
 
 # The rate-version years and the yearly rate step (percent).
@@ -284,8 +286,8 @@ QUERIES = {
 }
 
 _NODES = """
-WITH known AS (SELECT DISTINCT n_regionkey AS g, n_nationkey AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-added AS (SELECT DISTINCT n_regionkey AS g, n_nationkey AS k FROM customer JOIN nation ON c_nationkey = n_nationkey),
+WITH known AS (SELECT DISTINCT o_orderpriority AS g, o_custkey AS k FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+added AS (SELECT DISTINCT o_orderpriority AS g, o_custkey AS k FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'),
 fresh AS (SELECT * FROM added a WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.g = a.g AND k.k = a.k)),
 nk AS (SELECT g, count(*) AS n FROM known GROUP BY g),
 nf AS (SELECT g, count(*) AS k FROM fresh GROUP BY g)"""
@@ -357,11 +359,11 @@ SELECT salary FROM ranked WHERE salary_rank = 10""",
     "top3_per_group": """SELECT * FROM (SELECT c_nationkey, c_custkey, c_acctbal AS salary,
   dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS rnk FROM customer)
 WHERE rnk <= 3""",
-    "pair_connections": """SELECT n_regionkey, count(DISTINCT n_nationkey) AS node_count,
-  CAST(count(DISTINCT n_nationkey) * (count(DISTINCT n_nationkey) - 1) / 2 AS BIGINT) AS connections
-FROM nation GROUP BY n_regionkey""",
+    "pair_connections": """SELECT c_nationkey, count(DISTINCT c_custkey) AS node_count,
+  CAST(count(DISTINCT c_custkey) * (count(DISTINCT c_custkey) - 1) / 2 AS BIGINT) AS connections
+FROM customer GROUP BY c_nationkey""",
     "pair_connections_delta": f"""{_NODES}
-SELECT COALESCE(nk.g, nf.g) AS n_regionkey, COALESCE(n, 0) AS known_nodes, COALESCE(k, 0) AS new_nodes,
+SELECT COALESCE(nk.g, nf.g) AS o_orderpriority, COALESCE(n, 0) AS known_nodes, COALESCE(k, 0) AS new_nodes,
   CAST(COALESCE(k, 0) * COALESCE(n, 0) + COALESCE(k, 0) * (COALESCE(k, 0) - 1) / 2 AS BIGINT) AS new_connections
 FROM nk FULL OUTER JOIN nf ON nk.g = nf.g""",
     "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_suppkey, make_date(yr, 1, 1) AS effective_start_date,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orderloom.functions.time import utc_instant
 from orderloom.operators import quality as dq
 from orderloom.operators.audit import stamp_audit
 from orderloom.plans import charges as ch
@@ -48,8 +49,10 @@ def _stream(spark: SparkSession, cfg: JobConfig, i: int) -> DataFrame:
                       max_files_per_trigger=cfg.max_files_per_trigger)
 
 
-def _finish(df: DataFrame, cfg: JobConfig) -> DataFrame:
-    df = stamp_audit(df, cfg.processed_by, published_utc=None)
+def _finish(df: DataFrame, cfg: JobConfig, published_utc=None) -> DataFrame:
+    """Audit stamp (latency from the published instant when there is one)
+    and observed row / failed-row counts."""
+    df = stamp_audit(df, cfg.processed_by, published_utc=published_utc)
     return observe_counts(df, f"{cfg.name}_metrics")
 
 
@@ -58,7 +61,7 @@ def release_job(spark: SparkSession, cfg: JobConfig, split_bad_rows: bool = Fals
     carries the DQ columns); ``split_bad_rows`` sends failing rows to
     ``bad_records_location`` instead."""
     tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules())
-    out = _finish(release.release_flatten(tagged), cfg)
+    out = _finish(release.release_flatten(tagged), cfg, utc_instant("event_published_time"))
     if split_bad_rows and cfg.bad_records_location:
         return split_quarantine_stream(out, cfg)
     return append_stream(out, cfg)
@@ -88,7 +91,8 @@ def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None
 
 def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str) -> StreamingQuery:
     tagged = dq.tag_rows(_stream(spark, cfg, 0), invoice_rules())
-    return append_stream(_finish(invoice.preference_flatten(tagged, section), cfg), cfg)
+    return append_stream(_finish(invoice.preference_flatten(tagged, section), cfg,
+                                 "published_time_utc"), cfg)
 
 
 def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
@@ -98,7 +102,7 @@ def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
     stale) -> latest-wins upsert into ``output_path``."""
     streams = {kind: dq.tag_rows(_stream(spark, cfg, i), charge_rules())
                for i, (kind, _label) in enumerate(CHARGE_KINDS)}
-    charges = _finish(ch.convenience_charges(None, streams), cfg)
+    charges = _finish(ch.convenience_charges(None, streams), cfg, "published_time_utc")
     orders_path = cfg.source_paths[4]
 
     def with_order_check(batch: DataFrame) -> DataFrame:

@@ -105,3 +105,17 @@ def test_release_items_stream_stream_bounded(spark, tmp_dir):
     cfg = JobConfig("rb", (ep, sp), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
     run_to_end(append_stream(out, cfg))
     assert [r.sku_id for r in spark.read.parquet(cfg.output_path).collect()] == ["SKU-A"]
+
+
+def test_release_job_stamps_latency(spark, tmp_dir):
+    from orderloom.sources import events as ev
+    from orderloom.sources.tables import load
+    from orderloom.streaming import pipelines as jobs
+    src = os.path.join(tmp_dir, "ev")
+    ev.release_events(load(spark, "/root/testdata/sf0.001", "orders"),
+                      load(spark, "/root/testdata/sf0.001", "lineitem")).write.parquet(src)
+    cfg = JobConfig("rel", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"), run_id="r42")
+    run_to_end(jobs.release_job(spark, cfg))
+    out = spark.read.parquet(cfg.output_path)
+    r = out.agg(F.min("latency").alias("lat"), F.first("processed_by").alias("by")).first()
+    assert r.lat > 0 and r.by == "rel:r42"

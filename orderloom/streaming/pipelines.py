@@ -122,6 +122,10 @@ PIPELINES = {
     "gift_preference": lambda s, c: invoice_section_job(s, c, "giftPreference"),
     "shipment_preference_adjustment":
         lambda s, c: invoice_section_job(s, c, "shipmentPreferenceAdjustment"),
+    # the two other sections feed the charge union through the same function
+    "shipment_preference": lambda s, c: invoice_section_job(s, c, "shipmentPreference"),
+    "gift_preference_adjustment":
+        lambda s, c: invoice_section_job(s, c, "giftPreferenceAdjustment"),
     "convenience_charge": convenience_charge_job,
 }
 

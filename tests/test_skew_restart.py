@@ -124,3 +124,39 @@ def test_fresh_sku_snapshot_sees_new_skus(spark, tmp_dir):
     assert first == first_half                    # first run: catalogue as it was
     assert out.count() == first + second_half     # new events joined the new SKUs
     assert second_half > 0 and out.count() < expect
+
+
+def test_layered_streams_equal_batch_pipeline(spark, tmp_dir):
+    """raw invoice events -> four base+1 section streams -> base+2 charge
+    upsert stream; the final table equals the one-pass batch pipeline."""
+    from orderloom.plans import charges as ch
+    from orderloom.plans import invoice
+    from orderloom.schemas import CHARGE_KINDS
+    from orderloom.streaming import pipelines as jobs
+    from orderloom.streaming import upsert as up
+    from orderloom.streaming.jobs import JobConfig, run_to_end
+    orders = load(spark, SF, "orders")
+    events = ev.invoice_events(orders, load(spark, SF, "lineitem"))
+    raw = os.path.join(tmp_dir, "raw")
+    events.repartition(3).write.parquet(raw)
+    base1 = []
+    for kind, _ in CHARGE_KINDS:
+        name = {"ship_preference": "shipment_preference", "gift_preference": "gift_preference",
+                "ship_preference_adjustment": "shipment_preference_adjustment",
+                "gift_preference_adjustment": "gift_preference_adjustment"}[kind]
+        out = os.path.join(tmp_dir, f"b1-{kind}")
+        cfg = JobConfig(name, (raw,), out, os.path.join(tmp_dir, f"ck-{kind}"), max_files_per_trigger=1)
+        run_to_end(jobs.PIPELINES[name](spark, cfg))
+        base1.append(out)
+    co = os.path.join(tmp_dir, "customer_order")
+    ev.customer_orders(orders).write.parquet(co)
+    table = os.path.join(tmp_dir, "charges")
+    cfg = JobConfig("convenience_charge", tuple(base1) + (co,), table, os.path.join(tmp_dir, "ck-cc"),
+                    max_files_per_trigger=1)
+    run_to_end(jobs.convenience_charge_job(spark, cfg, buckets=8))
+    got = up.read_current(spark, table)
+    batch = ch.finish_charges(ch.stacked_rows(invoice.charge_sources_flatten(events)), None, latest=True)
+    cols = ["convenience_charge_type", "invoice_id", "convenience_charge_category",
+            "convenience_charge_name", "convenience_charge_amount", "published_time_utc"]
+    assert got.count() == batch.count() > 0
+    assert got.select(cols).exceptAll(batch.select(cols)).count() == 0

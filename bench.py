@@ -49,10 +49,14 @@ def main() -> None:
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
     qs = catalog.queries()
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:
         fn = qs[name]
-        run_once(spark, fn, sf_dir)  # warm-up
-        times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeat)), 3)
+        try:
+            run_once(spark, fn, sf_dir)  # warm-up
+            times[name] = round(statistics.median(run_once(spark, fn, sf_dir) for _ in range(repeat)), 3)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "headline_total_median",
@@ -62,6 +66,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 

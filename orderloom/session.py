@@ -79,3 +79,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/orderloom/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int,
+                   target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the bytes read and the cores.
+
+    Scan splits and shuffle partitions target ``target_partition_bytes`` so a
+    task's data fits executor memory with room to spill; the initial shuffle
+    partition count is high (at least 2 waves of the cluster) and AQE merges
+    partitions back to the advisory size at run time and splits skewed ones
+    (capped at 50k: map-status metadata grows with maps x reducers).
+    Streaming state goes to RocksDB (off-heap, spills to local disk).
+    """
+    by_size = max(1, input_bytes // target_partition_bytes)
+    initial = int(min(max(by_size, 2 * total_cores), 50_000))
+    mb = target_partition_bytes // (1024 ** 2)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
+def configure_for_scale(spark: SparkSession, input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Apply ``scale_settings`` to a running session; returns what was set."""
+    apply_defaults(spark)
+    conf = scale_settings(input_bytes, total_cores)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

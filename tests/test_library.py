@@ -119,3 +119,12 @@ def test_release_job_stamps_latency(spark, tmp_dir):
     out = spark.read.parquet(cfg.output_path)
     r = out.agg(F.min("latency").alias("lat"), F.first("processed_by").alias("by")).first()
     assert r.lat > 0 and r.by == "rel:r42"
+
+
+def test_scale_settings_for_100tb():
+    from orderloom.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4, total_cores=8000)
+    assert s["spark.sql.shuffle.partitions"] == "50000"           # capped, AQE merges
+    assert s["spark.sql.files.maxPartitionBytes"] == "256m"
+    small = scale_settings(10 * 1024 ** 2, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"           # two waves minimum

@@ -65,7 +65,9 @@ def q_csv_quarantine_rows(spark, sf):
     path = scratch_path(spark, "customer-csv-bad")
     files.write_csv(raw, path, partitions=4)
     _good, bad = files.read_csv_checked(spark, path, c.schema)
-    return bad.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    quarantine = scratch_path(spark, "customer-csv-quarantine")
+    files.write_quarantine(bad, quarantine)          # error rows to their own files
+    return spark.read.parquet(quarantine).select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
 
 
 def q_fill_missing(spark, sf):

@@ -9,10 +9,12 @@ order / invoice / published times become date + text + UTC triplets.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderloom.functions import casts
 from orderloom.functions.time import event_time_triplet, utc_instant
 from orderloom.operators.shape import flatten
+from orderloom.schemas import CHARGE_ARRAY, TAX_ARRAY
 
 _D = "data.invoiceEventDetail"
 
@@ -82,6 +84,22 @@ def preference_flatten(events: DataFrame, section: str) -> DataFrame:
     return flatten(events, mapping + _tail())
 
 
+def cast_rules(events: DataFrame, section: str) -> list:
+    """DQ rules failing rows whose charge / tax values do not fit their target
+    decimals (K18): the safe cast nulls such a leaf, so a row fails when the
+    cast result has more null leaves than its source."""
+    detail = events.schema["data"].dataType["invoiceEventDetail"].dataType
+    sec = detail[section].dataType
+    base = f"{_D}.{section}"
+    out = []
+    for field, target, rid in (("convenienceCharges", CHARGE_ARRAY, "charge_values_fit"),
+                               ("convenienceTaxes", TAX_ARRAY, "tax_values_fit")):
+        src = F.col(f"{base}.{field}")
+        lost = casts.cast_lost(src, casts.typed(src, target), sec[field].dataType, target)
+        out.append((rid, ~lost))
+    return out
+
+
 def gift_preference(events: DataFrame) -> DataFrame:
     return preference_flatten(events, "giftPreference")
 

@@ -89,8 +89,16 @@ def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None
     return append_stream(_finish(release.release_items(tagged, dim), cfg), cfg)
 
 
-def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str) -> StreamingQuery:
-    tagged = dq.tag_rows(_stream(spark, cfg, 0), invoice_rules())
+def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str,
+                        split_bad_rows: bool = False) -> StreamingQuery:
+    """One invoice section to its base+1 table; rows whose charge or tax
+    values overflow their decimals fail ``charge_values_fit`` /
+    ``tax_values_fit`` (K18) and, with ``split_bad_rows``, go to quarantine."""
+    stream = _stream(spark, cfg, 0)
+    tagged = dq.tag_rows(stream, invoice_rules() + invoice.cast_rules(stream, section))
+    if split_bad_rows and cfg.bad_records_location:
+        out = _finish(invoice.preference_flatten(tagged, section), cfg, "published_time_utc")
+        return split_quarantine_stream(out, cfg)
     return append_stream(_finish(invoice.preference_flatten(tagged, section), cfg,
                                  "published_time_utc"), cfg)
 

@@ -156,3 +156,24 @@ def test_rank_kinds_with_three_way_tie(spark):
 def test_flatten_distinct(spark):
     df = spark.createDataFrame([([[1], [2], [2, 3], [4], [5], [5, 6]],)], "a array<array<int>>")
     assert df.select(flatten_distinct("a").alias("x")).first().x == [1, 2, 3, 4, 5, 6]
+
+
+def test_k18_invoice_overflow_row_fails_dq(spark):
+    from orderloom.operators import quality as dq
+    from orderloom.plans import invoice
+    from orderloom.sources import events as ev
+    from orderloom.sources.tables import load
+    sf = "/root/testdata/sf0.001"
+    events = ev.invoice_events(load(spark, sf, "orders"), load(spark, sf, "lineitem"))
+    path = "invoiceEventDetail.giftPreference.convenienceCharges"
+    target = (events.filter(F.size(f"data.{path}") > 0)
+              .select("data.invoiceEventDetail.id").first()[0])
+    first = F.col("data.invoiceEventDetail.id") == target
+    broken = events.withColumn("data", F.when(first, F.col("data").withField(
+        path, F.transform(F.col(f"data.{path}"),
+                          lambda x: x.withField("chargeAmount", F.lit("123456789012345")))))
+        .otherwise(F.col("data")))
+    tagged = dq.tag_rows(broken, invoice.cast_rules(broken, "giftPreference"))
+    bad = dq.quarantined(tagged)
+    assert bad.count() == 1
+    assert bad.first().failed_rule_id == ["charge_values_fit"]

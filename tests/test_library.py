@@ -128,3 +128,18 @@ def test_scale_settings_for_100tb():
     assert s["spark.sql.files.maxPartitionBytes"] == "256m"
     small = scale_settings(10 * 1024 ** 2, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"           # two waves minimum
+
+
+def test_stream_job_reports_observed_counts(spark, tmp_dir):
+    from orderloom.sources import events as ev
+    from orderloom.sources.tables import load
+    from orderloom.streaming import pipelines as jobs
+    src = os.path.join(tmp_dir, "ev")
+    ev.release_events(load(spark, "/root/testdata/sf0.001", "orders"),
+                      load(spark, "/root/testdata/sf0.001", "lineitem")).write.parquet(src)
+    cfg = JobConfig("relm", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    q = jobs.release_job(spark, cfg)
+    run_to_end(q)
+    rows = sum(p["observedMetrics"]["relm_metrics"]["rows"] for p in q.recentProgress
+               if "relm_metrics" in p.get("observedMetrics", {}))
+    assert rows == load(spark, "/root/testdata/sf0.001", "orders").count()

@@ -35,6 +35,7 @@ from orderloom.operators.dedupe import latest_per_key
 
 BATCH_COL = "_batch_id"
 BUCKET_COL = "_bucket"
+NBUCKETS_COL = "_n_buckets"
 PART_PREFIX = "_part_"
 DEFAULT_BUCKETS = 64
 
@@ -51,7 +52,8 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     t = read_table(spark, path)
     if t is None:
         return None
-    return t.drop(BATCH_COL, BUCKET_COL, *[c for c in t.columns if c.startswith(PART_PREFIX)])
+    return t.drop(BATCH_COL, BUCKET_COL, NBUCKETS_COL,
+                  *[c for c in t.columns if c.startswith(PART_PREFIX)])
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
@@ -78,6 +80,10 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
     for n, e in parts.items():
         b = b.withColumn(n, e)
     b = b.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+    # the bucket count travels with every row (one run-length-encoded int), so
+    # an upsert with another count -- which would place a key in a different
+    # folder and duplicate it -- is refused instead of corrupting the table
+    b = b.withColumn(NBUCKETS_COL, F.lit(buckets).cast("int"))
     layout = [*parts, BUCKET_COL]
     b = b.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: folder list + merge
     try:
@@ -89,6 +95,9 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
         stored = read_table(spark, path)
         merged = b
         if stored is not None:
+            seen = stored.select(NBUCKETS_COL).limit(1).collect()
+            if seen and seen[0][0] != buckets:
+                raise ValueError(f"table at {path} has {seen[0][0]} buckets, upsert asked for {buckets}")
             cond = None
             for c, vals in touched.items():
                 v = [x for x in vals if x is not None]

@@ -156,3 +156,12 @@ def test_processing_time_trigger_runs_continuously(spark, tmp_dir):
     finally:
         q.stop()
     assert spark.read.parquet(cfg.output_path).count() == 11
+
+
+def test_bucket_count_mismatch_is_refused(spark, tmp_dir):
+    import pytest
+    p = os.path.join(tmp_dir, "t")
+    up.upsert(spark.createDataFrame([("a", _t(1), 1)], SCHEMA), p, KEYS, "ts", 0, buckets=4)
+    with pytest.raises(ValueError):
+        up.upsert(spark.createDataFrame([("a", _t(2), 2)], SCHEMA), p, KEYS, "ts", 1, buckets=8)
+    assert _rows(spark, p) == [("a", _t(1), 1)]

@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions import casts
 from orderloom.functions.time import published_time_strict, utc_instant
 from orderloom.operators.dedupe import latest_per_key
-from orderloom.schemas import (AUDIT_COLUMNS, CHARGE_KINDS, CHARGE_PRIMARY_KEY,
+from orderloom.schemas import (AUDIT_COLUMNS, CHARGE_ARRAY, CHARGE_KINDS, CHARGE_PRIMARY_KEY,
                                CHARGE_SORT_COLUMN, CHARGE_SOURCE_TAIL, DQ_COLUMNS)
 
 # Tie-break after the sort column, so that equal publication times still pick
@@ -26,12 +27,20 @@ CHARGE_TIE_BREAK = ["convenience_charge_amount", "convenience_charge_amount_full
 
 
 def exploded_source(src: DataFrame, kind: str, label: str) -> DataFrame:
-    """One source aligned to the shared charge shape, one row per charge."""
+    """One source aligned to the shared charge shape, one row per charge.
+
+    The charge array is re-typed to the shared struct by position first
+    (K9), so a source whose producer names the fields differently still
+    lines up; for sources already in the shared type the cast is a no-op.
+    """
+    charges = F.col(f"{kind}_convenience_charge")
+    if src.schema[f"{kind}_convenience_charge"].dataType != CHARGE_ARRAY:
+        charges = casts.charges(charges)
     return src.select(
         *AUDIT_COLUMNS,
         F.lit(label).alias("convenience_charge_type"),
         "invoice_id",
-        F.explode(F.col(f"{kind}_convenience_charge")).alias("charge"),
+        F.explode(charges).alias("charge"),
         *CHARGE_SOURCE_TAIL,
         *DQ_COLUMNS,
     )

@@ -177,3 +177,16 @@ def test_k18_invoice_overflow_row_fails_dq(spark):
     bad = dq.quarantined(tagged)
     assert bad.count() == 1
     assert bad.first().failed_rule_id == ["charge_values_fit"]
+
+
+def test_k9_union_aligns_a_source_with_other_field_names(spark):
+    other = T.ArrayType(T.StructType([T.StructField(n, t) for n, t in (
+        ("name", T.StringType()), ("category", T.StringType()),
+        ("amt", T.DecimalType(13, 2)), ("amt_long", T.DecimalType(13, 6)))]))
+    c = [("fee", "cat", Decimal("1.00"), Decimal("1.000000"))]
+    a = _charge_source(spark, "ship_preference", [("I1", c, "O1", "2023-01-05T23:30:00.000-0800")])
+    b = _charge_source(spark, "gift_preference", [("I2", c, "O2", "2023-01-05T23:30:00.000-0800")])
+    b = b.withColumn("gift_preference_convenience_charge", F.col("gift_preference_convenience_charge").cast(other))
+    out = ch.convenience_charges(None, {"ship_preference": a, "gift_preference": b})
+    got = sorted((r.convenience_charge_type, r.convenience_charge_name) for r in out.collect())
+    assert got == [("GiftPreference", "fee"), ("ShipmentPreference", "fee")]

@@ -124,6 +124,8 @@ def upsert_writer(path: str, keys: Sequence[str], sort_col: str,
     """``foreachBatch`` callback; ``prepare(batch_df)`` runs first if given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         df = prepare(batch_df) if prepare is not None else batch_df
+        if "epoch_id" in df.columns:  # audit column: the micro-batch id
+            df = df.withColumn("epoch_id", F.lit(batch_id).cast("bigint"))
         upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, cluster_by,
                files_per_folder)
     return write

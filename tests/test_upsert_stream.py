@@ -194,3 +194,14 @@ def test_crash_after_write_then_restart_replays_cleanly(spark, tmp_dir):
     expect = sorted(((r.k, r.ts, r.v) for r in
                      latest_per_key(spark.createDataFrame(rows, SCHEMA), KEYS, "ts", ["v"]).collect()), key=repr)
     assert _rows(spark, table) == expect
+
+
+def test_foreach_batch_sinks_stamp_epoch_id(spark, tmp_dir):
+    rows = [("k%d" % i, _t(i % 24), i) for i in range(20)]
+    src = _stage(spark, tmp_dir, "src", rows, 4)
+    table = os.path.join(tmp_dir, "table")
+    cfg = JobConfig("e", (src,), table, os.path.join(tmp_dir, "ckpt"))
+    s = read_table(spark, src, stream=True, max_files_per_trigger=1).withColumn("epoch_id", F.lit(-1).cast("bigint"))
+    run_to_end(foreach_batch_stream(s, cfg, up.upsert_writer(table, KEYS, "ts")))
+    epochs = {r[0] for r in spark.read.parquet(table).select("epoch_id").distinct().collect()}
+    assert epochs == {0, 1, 2, 3}

@@ -47,15 +47,21 @@ SECTIONS = {
 }
 
 
+# The common tail of every section table.  Plain columns, then
+# time texts expanded to ``<name>_date`` / ``<name>_datetime`` /
+# ``<name>_datetime_utc``, then the event version and publication time.
+TAIL_COLUMNS = [(f"{_D}.order.id", "order_id"), (f"{_D}.order.versionId", "order_version_id")]
+TAIL_TIMES = [(f"{_D}.orderDate", "order"), (f"{_D}.invoicedOn", "invoiced_on")]
+TAIL_EVENT = [("data.versionId", "version_id"), ("data.publishedTime", "published_time")]
+
+
 def _tail() -> list:
-    mapping = [(f"{_D}.order.id", "order_id"), (f"{_D}.order.versionId", "order_version_id")]
-    for text, name in ((f"{_D}.orderDate", "order"), (f"{_D}.invoicedOn", "invoiced_on")):
+    mapping = list(TAIL_COLUMNS)
+    for text, name in TAIL_TIMES:
         date_c, text_c, utc_c = event_time_triplet(text, name)
         mapping += [(date_c, f"{name}_date"), (text_c, f"{name}_datetime"),
                     (utc_c, f"{name}_datetime_utc")]
-    return mapping + [("data.versionId", "version_id"),
-                      ("data.publishedTime", "published_time"),
-                      (utc_instant("data.publishedTime"), "published_time_utc")]
+    return mapping + TAIL_EVENT + [(utc_instant("data.publishedTime"), "published_time_utc")]
 
 
 def charge_sources_flatten(events: DataFrame) -> DataFrame:

@@ -205,3 +205,16 @@ def test_foreach_batch_sinks_stamp_epoch_id(spark, tmp_dir):
     run_to_end(foreach_batch_stream(s, cfg, up.upsert_writer(table, KEYS, "ts")))
     epochs = {r[0] for r in spark.read.parquet(table).select("epoch_id").distinct().collect()}
     assert epochs == {0, 1, 2, 3}
+
+
+def test_append_stream_partitions_by_date(spark, tmp_dir):
+    rows = [(str(i), dt.datetime(2024, 1, 1 + i % 3, 1), i) for i in range(30)]
+    src = _stage(spark, tmp_dir, "src", rows, 2)
+    cfg = JobConfig("p", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt"),
+                    partition_by=("d",))
+    s = read_table(spark, src, stream=True).withColumn("d", F.col("ts").cast("date"))
+    run_to_end(append_stream(s, cfg))
+    folders = sorted(f for f in os.listdir(cfg.output_path) if f.startswith("d="))
+    assert folders == ["d=2024-01-01", "d=2024-01-02", "d=2024-01-03"]
+    one_day = spark.read.parquet(cfg.output_path).filter(F.col("d") == "2024-01-02")
+    assert one_day.count() == 10

@@ -19,6 +19,8 @@ Rule = tuple[str, Column]
 
 
 def failed_rules(rules: Sequence[Rule]) -> Column:
+    if not rules:
+        return F.array().cast("array<string>")
     tags = F.array(*[F.when(F.coalesce(ok, F.lit(False)), F.lit(None).cast("string"))
                      .otherwise(F.lit(rid)) for rid, ok in rules])
     return F.filter(tags, lambda x: x.isNotNull())
@@ -49,6 +51,8 @@ def quarantined(df: DataFrame) -> DataFrame:
 
 def scorecard(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Share of rows passing each rule: one row per rule, one pass over data."""
+    if not rules:
+        raise ValueError("scorecard needs at least one rule")
     aggs = []
     for rid, ok in rules:
         aggs.append(F.sum(F.coalesce(ok, F.lit(False)).cast("int")).alias(f"p_{rid}"))

@@ -143,3 +143,9 @@ def test_stream_job_reports_observed_counts(spark, tmp_dir):
     rows = sum(p["observedMetrics"]["relm_metrics"]["rows"] for p in q.recentProgress
                if "relm_metrics" in p.get("observedMetrics", {}))
     assert rows == load(spark, "/root/testdata/sf0.001", "orders").count()
+
+
+def test_dq_with_no_rules_keeps_rows_clean(spark):
+    df = spark.createDataFrame([(1, ["old"]), (2, [])], "id int, failed_rule_id array<string>")
+    out = dq.tag_rows(df, [])
+    assert sorted((r.id, r.failed_rule_id) for r in out.collect()) == [(1, ["old"]), (2, [])]

@@ -1,6 +1,6 @@
-"""Relational queries from the notes: filters, aggregates, ranking, joins.
+"""Relational queries: filters, aggregates, ranking, joins, duplicates.
 
-Tables stand in for the notes' examples: ``customer`` is the employee table
+Tables stand in for the exercise data: ``customer`` is the employee table
 (salary = ``c_acctbal``), ``nation`` the department table, ``orders`` /
 ``lineitem`` the fact tables.
 """

@@ -23,7 +23,7 @@ sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from orderloom.operators import dedupe, ranking  # noqa: E402
+from orderloom.operators import dedupe, joins, ranking  # noqa: E402
 from orderloom.session import SESSION_DEFAULTS  # noqa: E402
 from orderloom.sources.events import nest_children  # noqa: E402
 
@@ -41,6 +41,10 @@ def main() -> None:
     # keep every reduce partition its own task, so one task's read is the
     # data that partitioning sent to it (AQE would merge small partitions)
     b = b.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # skew-join thresholds scaled to this data size (cluster defaults: 256 MB)
+    b = (b.config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1m")
+         .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     hot = n // 3
@@ -55,6 +59,9 @@ def main() -> None:
         "duplicate_keys": lambda: dedupe.duplicate_keys(df, ["k"]),
         "top_n_per_group": lambda: ranking.top_n_per_group(df, ["k"], "v", 3, "row_number"),
         "nest_children": lambda: nest_children(df.select("k", "line", "v"), "k", "items", 256),
+        "join_dimension (shuffle path)": lambda: joins.join_dimension(
+            df, spark.range(0, n, 1, 16).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("w")),
+            F.col("k") == F.col("dk"), "inner", max_bytes=1),
         # contrast: a whole-group window with no limit sends the hot key to one task
         "naive_window_latest (contrast)": lambda: df.withColumn(
             "rn", F.row_number().over(Window.partitionBy("k").orderBy(F.col("ts").desc()))),

@@ -36,9 +36,12 @@ def _dec_text(c: Column, scale: int = 2) -> Column:
     return c.cast(T.DecimalType(15, scale))
 
 
-def nest_children(children: DataFrame, key: str, items_name: str,
-                  max_items: int = MAX_ITEMS_PER_EVENT) -> DataFrame:
-    """``children`` grouped into ``(key, piece, items_name)`` arrays.
+def nest_children_split(children: DataFrame, key: str, items_name: str,
+                        max_items: int = MAX_ITEMS_PER_EVENT
+                        ) -> tuple[DataFrame, DataFrame | None, int]:
+    """``children`` grouped into ``(key, piece, items_name)`` arrays, plus the
+    hot parents ``(key, _pieces)`` that were split (``None`` if none) and
+    their number.
 
     Each array element is a struct of the child's remaining (raw) columns,
     sorted, so arrays are deterministic; callers shape the elements with
@@ -58,15 +61,49 @@ def nest_children(children: DataFrame, key: str, items_name: str,
            .select(key, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_pieces")))
     n_hot = hot.count()
     if n_hot == 0:
-        return (children.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias(items_name))
-                .withColumn("piece", F.lit(0)))
+        nested = (children.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias(items_name))
+                  .withColumn("piece", F.lit(0)))
+        return nested, None, 0
     side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_ROWS else hot
     row_hash = F.xxhash64(*[F.col(c) for c in children.columns])
     tagged = (children.join(side, key, "left")
               .withColumn("piece", F.pmod(row_hash, F.coalesce(F.col("_pieces"), F.lit(1))).cast("int"))
               .drop("_pieces"))
-    return (tagged.groupBy(key, "piece")
-            .agg(F.sort_array(F.collect_list(item)).alias(items_name)))
+    nested = (tagged.groupBy(key, "piece")
+              .agg(F.sort_array(F.collect_list(item)).alias(items_name)))
+    return nested, hot, n_hot
+
+
+def nest_children(children: DataFrame, key: str, items_name: str,
+                  max_items: int = MAX_ITEMS_PER_EVENT) -> DataFrame:
+    """``nest_children_split`` without the hot-parent details."""
+    return nest_children_split(children, key, items_name, max_items)[0]
+
+
+def attach_to_parents(parents: DataFrame, parent_key: str,
+                      split: tuple[DataFrame, DataFrame | None, int],
+                      child_key: str) -> DataFrame:
+    """Left join of parent rows to their nested children, with a ``piece``.
+
+    Parents without oversized children join on the key alone (reusing the
+    nesting's partitioning).  A hot parent's single row is repeated once per
+    piece and the join runs on (key, piece), so its pieces are spread over as
+    many tasks as there are pieces instead of meeting in one task (AQE cannot
+    split the child side of a left outer join).
+    """
+    nested, hot, n_hot = split
+    if hot is None:
+        j = parents.join(nested, parents[parent_key] == nested[child_key], "left")
+        return j.withColumn("piece", F.coalesce(F.col("piece"), F.lit(0)))
+    side = hot.select(F.col(child_key).alias("_hot_key"), "_pieces")
+    side = F.broadcast(side) if n_hot <= HOT_KEYS_BROADCAST_ROWS else side
+    last = F.coalesce(F.col("_pieces"), F.lit(1)) - 1
+    per_piece = (parents.join(side, parents[parent_key] == F.col("_hot_key"), "left")
+                 .withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
+                 .drop("_hot_key", "_pieces"))
+    kids = nested.withColumnRenamed("piece", "_child_piece")
+    cond = (per_piece[parent_key] == kids[child_key]) & (F.col("piece") == F.col("_child_piece"))
+    return per_piece.join(kids, cond, "left").drop("_child_piece")
 
 
 def _housekeeping(ts: Column) -> list[Column]:
@@ -129,7 +166,7 @@ def release_events(orders: DataFrame, lineitem: DataFrame,
 
     Orders without lines carry a null ``releaseItems`` (quirk K2 input).
     """
-    raw = nest_children(
+    raw, hot, n_hot = nest_children_split(
         lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
                         "l_shipdate"),
@@ -137,8 +174,8 @@ def release_events(orders: DataFrame, lineitem: DataFrame,
     items = raw.select("l_orderkey", "piece",
                        F.transform("lines", release_item_struct).alias("releaseItems"))
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    ev = o.join(items, o.o_orderkey == items.l_orderkey, "left")
-    piece = F.coalesce(F.col("piece"), F.lit(0))
+    ev = attach_to_parents(o, "o_orderkey", (items, hot, n_hot), "l_orderkey")
+    piece = F.col("piece")
     created = F.date_format("o_orderdate", _TS_TEXT)
     data = F.struct(
         F.concat(F.lit("v"), F.col("o_custkey")).alias("versionId"),
@@ -271,14 +308,14 @@ def invoice_events(orders: DataFrame, lineitem: DataFrame,
     at 23:30 the next day (so its local date and UTC instant disagree, K7),
     ``publishedTime`` five minutes later with milliseconds.
     """
-    raw = nest_children(
+    raw, hot, n_hot = nest_children_split(
         lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
                         "l_returnflag", "l_linestatus"),
         "l_orderkey", "raw", max_items)
     lines = raw.select("l_orderkey", "piece", F.transform("raw", _charge_item).alias("lines"))
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    ev = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
-    piece = F.coalesce(F.col("piece"), F.lit(0))
+    ev = attach_to_parents(o, "o_orderkey", (lines, hot, n_hot), "l_orderkey")
+    piece = F.col("piece")
     invoiced = F.col("o_orderdate") + F.expr("INTERVAL 47 HOURS 30 MINUTES")
     published = invoiced + F.expr("INTERVAL 5 MINUTES")
     detail = F.struct(

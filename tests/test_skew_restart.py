@@ -160,3 +160,25 @@ def test_layered_streams_equal_batch_pipeline(spark, tmp_dir):
             "convenience_charge_name", "convenience_charge_amount", "published_time_utc"]
     assert got.count() == batch.count() > 0
     assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
+
+
+def test_hot_order_pieces_become_separate_events(spark):
+    """An order with more lines than the bound becomes several release events
+    (one per piece), each with the order's header, all lines kept."""
+    lines = load(spark, SF, "lineitem")
+    orders = load(spark, SF, "orders")
+    hot_key = lines.groupBy("l_orderkey").count().orderBy(F.desc("count")).first()["l_orderkey"]
+    # make one order hot: give it 600 extra copies of its lines
+    extra = (lines.filter(F.col("l_orderkey") == hot_key)
+             .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(599))))
+             .withColumn("l_partkey", F.col("l_partkey") + F.col("_copy") * 100000).drop("_copy"))
+    big = lines.unionByName(extra)
+    n_hot_lines = big.filter(F.col("l_orderkey") == hot_key).count()
+    events = ev.release_events(orders, big, max_items=256)
+    d = F.col("data.releaseEventDetails")
+    hot = events.filter(d["orderId"] == str(hot_key)).select(d["id"].alias("id"), F.size(d["releaseItems"]).alias("n"))
+    rows = hot.collect()
+    assert len(rows) == -(-n_hot_lines // 256)           # ceil(n / 256) events
+    assert sum(r.n for r in rows) == n_hot_lines
+    assert len({r.id for r in rows}) == len(rows)
+    assert events.count() == orders.count() - 1 + len(rows)

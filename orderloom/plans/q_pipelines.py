@@ -18,8 +18,7 @@ from orderloom.operators.explode import explode_items
 from orderloom.operators.shape import drop_columns, rename
 from orderloom.plans import charges as ch
 from orderloom.plans import invoice, release
-from orderloom.schemas import (CHARGE_KINDS, CHARGE_PRIMARY_KEY, CHARGE_STRUCT,
-                               HOUSEKEEPING_COLUMNS)
+from orderloom.schemas import CHARGE_PRIMARY_KEY, CHARGE_STRUCT, HOUSEKEEPING_COLUMNS
 from orderloom.sources import events as ev
 from orderloom.sources.tables import load
 

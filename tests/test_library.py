@@ -149,3 +149,23 @@ def test_dq_with_no_rules_keeps_rows_clean(spark):
     df = spark.createDataFrame([(1, ["old"]), (2, [])], "id int, failed_rule_id array<string>")
     out = dq.tag_rows(df, [])
     assert sorted((r.id, r.failed_rule_id) for r in out.collect()) == [(1, ["old"]), (2, [])]
+
+
+def test_root_column_unwrap_on_read(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "wrapped")
+    spark.createDataFrame([((1, "a"),)], "data struct<id:int, name:string>").write.parquet(p)
+    df = read_table(spark, p, root_column="data")
+    assert df.columns == ["id", "name"] and df.first().name == "a"
+    s = read_table(spark, p, stream=True, root_column="data")
+    assert s.isStreaming and s.columns == ["id", "name"]
+
+
+def test_write_table_layout(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    df = spark.range(100).select("id", (F.col("id") % 2).alias("part"))
+    sinks.write_table(df, p, mode="overwrite", partitions=3, partition_by=["part"])
+    assert sorted(f for f in os.listdir(p) if f.startswith("part=")) == ["part=0", "part=1"]
+    q = os.path.join(tmp_dir, "c")
+    sinks.write_table(df.repartition(6), q, mode="overwrite", partitions=2, coalesce=True)
+    assert len([f for f in os.listdir(q) if f.endswith(".parquet")]) == 2
+    assert spark.read.parquet(q).count() == 100

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from orderloom.plans import catalog
 from orderloom.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -15,8 +16,8 @@ _spec = importlib.util.spec_from_file_location(
 compare = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(compare)
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,8 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

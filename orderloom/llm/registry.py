@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orderloom.llm import quality
+from orderloom.llm import decontaminate, mixing, neardup, quality, secretscan, sharding
 
-MODULES = [quality]
+MODULES = [mixing, quality, neardup, decontaminate, sharding, secretscan]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

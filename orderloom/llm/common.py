@@ -164,3 +164,32 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of each word with A-Z lower-cased."""
     return mix(range_hashes(prefix_hashes(LOWER_VALUES[data]), start, end) + (end - start).astype(U64))
+
+
+# ------------------------------------------------------------ groups in tasks
+
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows starts."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = False
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Batches of sorted rows, cut anew so that none ends inside a group of
+    equal values of the first ``keys`` columns."""
+    rest: pa.Table | None = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        if not len(t):
+            continue
+        last = int(run_starts(*[np.asarray(t.column(i)) for i in range(keys)])[-1])
+        if last:
+            yield t.slice(0, last).combine_chunks().to_batches()[0]
+        rest = t.slice(last)
+    if rest is not None and len(rest):
+        yield rest.combine_chunks().to_batches()[0]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from orderloom.llm import decontaminate, mixing, neardup, quality, secretscan, sharding
+from orderloom.llm import (chat, decontaminate, mixing, neardup, quality, secretscan, sharding, suffixdup,
+                           tokenfiles, vectordup)
 
-MODULES = [mixing, quality, neardup, decontaminate, sharding, secretscan]
+MODULES = [mixing, suffixdup, quality, chat, neardup, decontaminate, vectordup, sharding, tokenfiles, secretscan]
 
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

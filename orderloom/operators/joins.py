@@ -8,7 +8,7 @@ join into a broadcast at run time when the measured shuffle size is small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,19 +21,12 @@ _FIXED = {T.DecimalType: 16, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
 _ROW_OVERHEAD = 16
 
 
-def measured_bytes(df: DataFrame, limit_bytes: int | None = None) -> int:
+def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` as broadcast rows: fixed widths plus the actual byte
-    length of every variable-width value (nested values via their JSON text).
-
-    With ``limit_bytes``, a row-count probe first stops reading as soon as the
-    row count alone proves the side too large (a huge table is never fully
-    scanned just to be rejected).
+    length of every variable-width value (nested values via their JSON text),
+    by one aggregate.
     """
     fixed = _ROW_OVERHEAD + sum(_FIXED.get(type(f.dataType), 0) for f in df.schema.fields)
-    if limit_bytes is not None:
-        cap_rows = limit_bytes // fixed
-        if df.limit(cap_rows + 1).count() > cap_rows:
-            return limit_bytes + 1
     var = []
     for f in df.schema.fields:
         if type(f.dataType) in _FIXED:
@@ -51,7 +44,7 @@ def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> Data
     """``broadcast(df)`` only if its measured size is within ``max_bytes``."""
     if df.isStreaming:
         return df
-    return F.broadcast(df) if measured_bytes(df, max_bytes) <= max_bytes else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, condition, how: str = "inner",
@@ -71,14 +64,14 @@ def effective_dated_join(fact: DataFrame, versions: DataFrame, key: str, at: str
                          how: str = "inner") -> DataFrame:
     """Fact row joined to the version whose ``[start, end)`` holds ``at``.
 
-    Equi-join on ``key`` plus the range predicate; a null ``end`` means open.
-    Spark plans it as a hash / sort-merge join on ``key`` with the range as a
-    post-filter, so each key's versions meet only that key's facts.
+    Equi-join on ``key`` plus the range predicate; null bounds are open.  The
+    versions are broadcast when their measured size allows; beyond it the
+    join shuffles on ``key`` and each key's versions meet that key's facts.
     """
     v = versions.withColumnRenamed(key, "_v_key")
-    cond = ((fact[key] == v["_v_key"]) & (fact[at] >= v[start])
+    cond = ((fact[key] == v["_v_key"]) & (v[start].isNull() | (fact[at] >= v[start]))
             & (v[end].isNull() | (fact[at] < v[end])))
-    return fact.join(v, cond, how).drop("_v_key")
+    return join_dimension(fact, v, cond, how).drop("_v_key")
 
 
 def connection_counts(nodes: DataFrame, group: str, key: str) -> DataFrame:
@@ -88,9 +81,15 @@ def connection_counts(nodes: DataFrame, group: str, key: str) -> DataFrame:
     group); the count follows from the distinct node count, an aggregation
     with map-side combine.
     """
-    n = F.count_distinct(F.col(key))
-    return nodes.groupBy(group).agg(n.alias("node_count"),
-                                    (n * (n - 1) / 2).cast("bigint").alias("connections"))
+    counted = nodes.groupBy(group).agg(F.count_distinct(F.col(key)).alias("node_count"))
+    return counted.select(group, "node_count", _pairs("node_count").alias("connections"))
+
+
+def _pairs(n: str) -> Column:
+    """n(n-1)/2 in exact integers: one of n and n-1 is even, so the product
+    fits a long as long as the result does."""
+    return F.when(F.col(n) % 2 == 0, F.expr(f"{n} div 2") * (F.col(n) - 1)).otherwise(
+        F.expr(f"({n} - 1) div 2") * F.col(n))
 
 
 def added_connection_counts(known: DataFrame, added: DataFrame, group: str,
@@ -108,4 +107,4 @@ def added_connection_counts(known: DataFrame, added: DataFrame, group: str,
     j = n_old.join(n_new, group, "full_outer").na.fill(0, ["known_nodes", "new_nodes"])
     k, n = F.col("new_nodes"), F.col("known_nodes")
     return j.select(group, "known_nodes", "new_nodes",
-                    (k * n + k * (k - 1) / 2).cast("bigint").alias("new_connections"))
+                    (k * n + _pairs("new_nodes")).alias("new_connections"))

@@ -3,17 +3,21 @@
 Filters of the form ``rank <= n`` / ``rank = n`` over ``rank``,
 ``dense_rank`` or ``row_number`` let Catalyst insert a partial
 ``WindowGroupLimit`` before the shuffle, so each map task forwards at most
-the rows that can still reach rank n for each group -- a hot group costs n
-rows per task, not the whole group in one task.
+the rows that can still reach rank n for each group.  ``rank`` and ``dense_rank``
+are taken over distinct values with counts and joined back, so rows tied near
+the top do not meet in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.operators.joins import join_dimension
+
 RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
 
@@ -30,18 +34,51 @@ def ranked(df: DataFrame, order_col: str, kind: str = "rank",
     return df.withColumn(name, RANKERS[kind]().over(w))
 
 
+def _distinct_ranks(df: DataFrame, order_col: str, kind: str, group: Sequence[str], n: int,
+                    name: str) -> DataFrame:
+    """``(*group, value)`` with its rank, for values that can be within ``n``.
+
+    Ranks are taken over distinct values with their counts (combined before
+    the shuffle), so rows tied at one value cost one row a task.  The best n
+    distinct values are found first under a partial group limit.
+    """
+    values = df.groupBy(*group, order_col).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*group) if group else Window
+    best = (values.withColumn("_pos", F.row_number().over(w.orderBy(F.col(order_col).desc())))
+            .filter(F.col("_pos") <= n))
+    if kind == "dense_rank":
+        return best.select(*group, order_col, F.col("_pos").alias(name))
+    before = w.orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    rnk = (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1).cast("int")
+    return best.select(*group, order_col, rnk.alias(name)).filter(F.col(name) <= n)
+
+
+def _of_values(df: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` with one of the ranked values (null matches null); at
+    most n values a group, broadcast when their measured size allows."""
+    v = values.select(*[F.col(k).alias(f"_v{i}") for i, k in enumerate(keys)],
+                      *[c for c in values.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_v{i}")) for i, k in enumerate(keys)])
+    return join_dimension(df, v, cond).drop(*[f"_v{i}" for i in range(len(keys))])
+
+
 def nth_highest(df: DataFrame, order_col: str, n: int, kind: str = "rank",
                 tie_break: Sequence[str] = (), partition_by: Sequence[str] = ()) -> DataFrame:
     """Rows ranked exactly ``n`` (may be empty for ``rank`` when ties skip n)."""
-    return (ranked(df, order_col, kind, partition_by, tie_break, "_rnk")
-            .filter(F.col("_rnk") == n).drop("_rnk"))
+    if kind == "row_number":
+        return (ranked(df, order_col, kind, partition_by, tie_break, "_rnk")
+                .filter(F.col("_rnk") == n).drop("_rnk"))
+    values = _distinct_ranks(df, order_col, kind, partition_by, n, "_rnk").filter(F.col("_rnk") == n)
+    return _of_values(df, values.drop("_rnk"), [*partition_by, order_col])
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order_col: str, n: int,
                     kind: str = "dense_rank", tie_break: Sequence[str] = (),
                     name: str = "rnk") -> DataFrame:
     """Rows whose rank within their group is at most ``n``."""
-    return ranked(df, order_col, kind, group, tie_break, name).filter(F.col(name) <= n)
+    if kind == "row_number":
+        return ranked(df, order_col, kind, group, tie_break, name).filter(F.col(name) <= n)
+    return _of_values(df, _distinct_ranks(df, order_col, kind, group, n, name), [*group, order_col])
 
 
 def extremes(df: DataFrame, col: str, k: int = 2) -> DataFrame:

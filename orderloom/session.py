@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings the jobs rely on.  ANSI stays at the Spark 4 default (on); the
@@ -55,21 +56,25 @@ def apply_defaults(spark: SparkSession) -> None:
     for k, v in SESSION_DEFAULTS.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
+        except AnalysisException as e:  # static on a running session: leave as is
+            if "CANNOT_MODIFY" not in str(e.getCondition()):
+                raise
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and staged tables.
 
     Read ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the
-    session.  Only when neither is set -- local tests -- create one and
-    register it, so later ``checkpoint()`` calls use it too.
+    session.  Only when neither is set and the master is local -- tests --
+    create one and register it, so later ``checkpoint()`` calls use it too;
+    on a cluster a machine's own folder would lose what others write.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="orderloom-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -89,7 +94,8 @@ def scale_settings(input_bytes: int, total_cores: int,
     task's data fits executor memory with room to spill; the initial shuffle
     partition count is high (at least 2 waves of the cluster) and AQE merges
     partitions back to the advisory size at run time and splits skewed ones
-    (capped at 50k: map-status metadata grows with maps x reducers).
+    (capped at 50k: map-status metadata grows with maps x reducers; beyond
+    50k x the target, that is 12.5 TB at the default, partitions grow and spill).
     Streaming state goes to RocksDB (off-heap, spills to local disk).
     """
     by_size = max(1, input_bytes // target_partition_bytes)

@@ -26,7 +26,7 @@ HEADLINE = [
     "charge_latest_per_key",
     "gift_preference_flatten",
     "release_flatten",
-    "explode_cross",
+    "release_line_counts",
     "effective_dated_join",
     "top3_per_group",
     "dq_tag_rows",

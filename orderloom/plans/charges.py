@@ -20,10 +20,12 @@ from orderloom.operators.dedupe import latest_per_key
 from orderloom.schemas import (AUDIT_COLUMNS, CHARGE_ARRAY, CHARGE_KINDS, CHARGE_PRIMARY_KEY,
                                CHARGE_SORT_COLUMN, CHARGE_SOURCE_TAIL, DQ_COLUMNS)
 
-# Tie-break after the sort column, so that equal publication times still pick
-# one row deterministically.
-CHARGE_TIE_BREAK = ["convenience_charge_amount", "convenience_charge_amount_full",
-                    "order_id", "invoiced_on_datetime", "published_time"]
+# Tie-break after the sort column: every other column of the contract, so that
+# equal publication times still pick one row deterministically.
+CHARGE_TIE_BREAK = ["convenience_charge_amount", "convenience_charge_amount_full", "order_id",
+                    "order_date", "order_datetime", "order_datetime_utc",
+                    "invoiced_on_date", "invoiced_on_datetime", "invoiced_on_datetime_utc",
+                    "published_time"]
 
 
 def exploded_source(src: DataFrame, kind: str, label: str) -> DataFrame:
@@ -80,17 +82,17 @@ def order_keys(customer_order: DataFrame) -> DataFrame:
 
 
 def convenience_charges(customer_order: DataFrame | None, sources: dict[str, DataFrame],
-                        strict_time: bool = True, latest: bool = False) -> DataFrame:
+                        strict_time: bool = False, latest: bool = False) -> DataFrame:
     """The base+2 charge table from four source tables.
 
-    ``strict_time`` uses the published normaliser (K6); ``False`` parses every
-    ISO offset form.  ``customer_order=None`` skips the left join, which adds
+    Times in every ISO offset form are parsed; ``strict_time`` uses the
+    published normaliser instead (K6).  ``customer_order=None`` skips the left join, which adds
     no column and, with a de-duplicated key side, no row either.
     """
     return finish_charges(charge_union(sources), customer_order, strict_time, latest)
 
 
-def finish_charges(u: DataFrame, customer_order: DataFrame | None, strict_time: bool = True,
+def finish_charges(u: DataFrame, customer_order: DataFrame | None, strict_time: bool = False,
                    latest: bool = False) -> DataFrame:
     """Left join to the order keys, final projection, optional latest-wins."""
     if customer_order is not None:
@@ -116,13 +118,6 @@ def finish_charges(u: DataFrame, customer_order: DataFrame | None, strict_time:
     return out
 
 
-def storage_clusters() -> dict:
-    """Folder levels of the stored charge table above the key-hash bucket:
-    the order month, fixed for an invoice (so for every charge key); new
-    charges and re-publications concentrate on recent months."""
-    return {"order_month": F.trunc(F.col("order_date"), "month")}
-
-
 def latest_charges(df: DataFrame) -> DataFrame:
     return latest_per_key(df, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN, CHARGE_TIE_BREAK)
 

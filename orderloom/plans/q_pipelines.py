@@ -11,16 +11,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.time import published_time_strict, utc_instant
+from orderloom.operators import quality as dq
 from orderloom.operators.audit import stamp_audit
 from orderloom.operators.explode import explode_items
 from orderloom.operators.shape import drop_columns, rename
 from orderloom.plans import charges as ch
 from orderloom.plans import invoice, release
-from orderloom.schemas import CHARGE_PRIMARY_KEY, CHARGE_STRUCT, HOUSEKEEPING_COLUMNS
+from orderloom.schemas import CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN, CHARGE_STRUCT, HOUSEKEEPING_COLUMNS, TAX_STRUCT
 from orderloom.sources import events as ev
 from orderloom.sources.tables import load
+from orderloom.streaming import pipelines as jobs
 
 
 def _release_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,10 +34,21 @@ def _invoice_events(spark: SparkSession, sf: str) -> DataFrame:
     return ev.invoice_events(load(spark, sf, "orders"), load(spark, sf, "lineitem"))
 
 
+def _tagged_releases(spark: SparkSession, sf: str, headers: bool = False) -> DataFrame:
+    """Release events tagged with the release rules, as the jobs do first."""
+    events = ev.release_headers(load(spark, sf, "orders")) if headers else _release_events(spark, sf)
+    return dq.tag_rows(events, jobs.release_rules() + ([] if headers else release.price_rules()))
+
+
+def _stocked(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.stocked_skus(load(spark, sf, "part"))
+
+
 def _sku(spark: SparkSession, sf: str) -> DataFrame:
     return ev.sku_dimension(load(spark, sf, "part"))
 
 
+
 def _count(arr) -> F.Column:
     """Element count, 0 for a null array (whatever ``size(NULL)`` returns
     under the session's ANSI setting)."""
@@ -42,6 +56,19 @@ def _count(arr) -> F.Column:
     return F.when(a.isNull(), F.lit(0)).otherwise(F.size(a)).cast("bigint")
 
 
+def failed_rules() -> F.Column:
+    """The ids of the data-quality rules that a row fails, as text."""
+    return F.array_join("failed_rule_id", ",").alias("failed_rules")
+
+
+def array_text(c: str, struct: T.StructType) -> F.Column:
+    """All values of an array of structs: fields joined with ``:``, elements
+    in order with ``|``; a null array is empty text."""
+    def element(x):
+        return F.concat_ws(":", *[F.coalesce(x[f.name].cast("string"), F.lit("")) for f in struct.fields])
+    return F.coalesce(F.array_join(F.transform(F.col(c), element), "|"), F.lit(""))
+
+
 def describe_text(c) -> F.Column:
     """``locale:description`` pairs joined with ``|`` (array order kept)."""
     return F.array_join(F.transform(c, lambda x: F.concat(x["locale_code"], F.lit(":"),
@@ -53,8 +80,8 @@ def describe_text(c) -> F.Column:
 # ---------------------------------------------------------------------------
 
 def q_release_flatten(spark, sf):
-    out = release.release_flatten(_release_events(spark, sf))
-    return out.select([c for _, c in release.RELEASE_COLUMNS])
+    out = release.release_flatten(_tagged_releases(spark, sf, headers=True))
+    return out.select(*[c for _, c in release.RELEASE_COLUMNS], failed_rules())
 
 
 def q_release_item_explode(spark, sf):
@@ -80,12 +107,9 @@ def q_array_field_project(spark, sf):
                     F.array_join(F.array_sort(skus), ",").alias("sku_numbers"))
 
 
-def q_explode_cross(spark, sf):
-    """Row counts of the correlated explode (n) and the double explode (n^2).
-
-    The n^2 rows themselves are not materialised; the operator
-    ``explode_cross`` is exercised on a hand-made fixture in the tests.
-    """
+def q_release_line_counts(spark, sf):
+    """Lines of each release, and how many rows two independent explodes of
+    them would give (quirk K1), without making those."""
     items = F.col("data.releaseEventDetails.releaseItems")
     n = F.size(items).cast("bigint")
     return (_release_events(spark, sf).filter(F.size(items) > 0)
@@ -94,20 +118,20 @@ def q_explode_cross(spark, sf):
 
 
 def q_release_item_sku_join(spark, sf):
-    return release.release_items(_release_events(spark, sf), _sku(spark, sf)).select(
+    return release.release_items(_release_events(spark, sf), _stocked(spark, sf)).select(
         "release_id", "release_line_number", "sku_number", "sku_id")
 
 
 def q_release_item_pipeline(spark, sf):
-    out = release.release_items(_release_events(spark, sf), _sku(spark, sf))
+    out = release.release_items(_tagged_releases(spark, sf), _stocked(spark, sf))
     arrays = ["product_style_descriptions", "item_descriptions", "item_size_descriptions",
               "product_color_descriptions"]
     keep = [c for c in out.columns if c not in HOUSEKEEPING_COLUMNS]
-    return out.select(*[describe_text(c).alias(c) if c in arrays else F.col(c) for c in keep])
+    return out.select(*[describe_text(c).alias(c) if c in arrays else F.col(c) for c in keep], failed_rules())
 
 
 def q_orphan_items_anti(spark, sf):
-    return release.orphan_items(_release_events(spark, sf), _sku(spark, sf))
+    return release.orphan_items(_release_events(spark, sf), _stocked(spark, sf))
 
 
 def q_price_decimal_cast(spark, sf):
@@ -139,13 +163,15 @@ def q_rename_column(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _section_query(spark, sf, section):
-    out = invoice.preference_flatten(_invoice_events(spark, sf), section)
+    events = _invoice_events(spark, sf)
+    tagged = dq.tag_rows(events, jobs.invoice_rules(section) + invoice.cast_rules(events, section))
+    out = invoice.preference_flatten(tagged, section)
     prefix, _ = invoice.SECTIONS[section]
     arr_c, arr_t = f"{prefix}convenience_charge", f"{prefix}convenience_charge_tax"
     keep = [c for c in out.columns if c not in HOUSEKEEPING_COLUMNS + [arr_c, arr_t]]
     return out.select(*keep,
-                      _count(arr_c).alias("charge_count"),
-                      _count(arr_t).alias("tax_count"))
+                      array_text(arr_c, CHARGE_STRUCT).alias("charges"),
+                      array_text(arr_t, TAX_STRUCT).alias("taxes"), failed_rules())
 
 
 def q_gift_preference_flatten(spark, sf):
@@ -156,6 +182,14 @@ def q_shipment_adjustment_flatten(spark, sf):
     return _section_query(spark, sf, "shipmentPreferenceAdjustment")
 
 
+def q_shipment_preference_flatten(spark, sf):
+    return _section_query(spark, sf, "shipmentPreference")
+
+
+def q_gift_adjustment_flatten(spark, sf):
+    return _section_query(spark, sf, "giftPreferenceAdjustment")
+
+
 def q_charge_array_cast(spark, sf):
     g = invoice.gift_preference(_invoice_events(spark, sf))
     x = explode_items(g.select("invoice_id", "gift_preference_convenience_charge"),
@@ -199,8 +233,9 @@ def q_convenience_charge_pipeline(spark, sf):
     -> stacked charge rows -> left join to orders -> latest per key."""
     co = ev.customer_orders(load(spark, sf, "orders"))
     wide = invoice.charge_sources_flatten(_invoice_events(spark, sf))
-    out = ch.finish_charges(ch.stacked_rows(wide), co, latest=True)
-    return out.select(*CHARGE_OUT)
+    tagged = dq.tag_rows(ch.stacked_rows(wide), jobs.charge_rules())
+    out = ch.finish_charges(tagged, co, latest=True)
+    return out.select(*CHARGE_OUT, failed_rules())
 
 
 def q_charge_union(spark, sf):
@@ -242,11 +277,12 @@ def q_charge_order_left_join(spark, sf):
 def charges_from_feed(spark, sf) -> DataFrame:
     """Base+2 charges from the ``events`` feed, read once (wide form)."""
     co = ev.customer_orders(load(spark, sf, "orders"))
-    return ch.finish_charges(ch.stacked_rows(ev.charge_feed_wide(load(spark, sf, "events"))), co)
+    feed = ch.stacked_rows(ev.charge_feed_wide(load(spark, sf, "events")))
+    return ch.finish_charges(dq.tag_rows(feed, jobs.charge_rules()), co)
 
 
 def q_charge_latest_per_key(spark, sf):
-    return ch.latest_charges(charges_from_feed(spark, sf)).select(*CHARGE_OUT)
+    return ch.latest_charges(charges_from_feed(spark, sf)).select(*CHARGE_OUT, failed_rules())
 
 
 def q_published_time_normalise(spark, sf):
@@ -265,14 +301,10 @@ def q_event_time_triplet(spark, sf):
     return _time_texts(spark, sf).select("event_id", *event_time_triplet("published_time", "published"))
 
 
-# Offset spellings used to exercise the time parsers (K6).
-OFFSET_FORMS = ["-0800", "-08:00", "Z", "+05:30", "", "-08"]
-
-
 def _time_texts(spark, sf) -> DataFrame:
     e = load(spark, sf, "events")
-    form = F.element_at(F.array(*[F.lit(s) for s in OFFSET_FORMS]),
-                        (F.pmod(F.col("event_id"), F.lit(len(OFFSET_FORMS))) + 1).cast("int"))
+    form = F.element_at(F.array(*[F.lit(s) for s in ev.OFFSET_FORMS]),
+                        (F.pmod(F.col("event_id"), F.lit(len(ev.OFFSET_FORMS))) + 1).cast("int"))
     return e.select("event_id", F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"),
                                          form).alias("published_time"))
 
@@ -281,7 +313,7 @@ QUERIES = {
     "release_flatten": q_release_flatten,
     "release_item_explode": q_release_item_explode,
     "array_field_project": q_array_field_project,
-    "explode_cross": q_explode_cross,
+    "release_line_counts": q_release_line_counts,
     "release_item_sku_join": q_release_item_sku_join,
     "release_item_pipeline": q_release_item_pipeline,
     "orphan_items_anti": q_orphan_items_anti,
@@ -291,6 +323,8 @@ QUERIES = {
     "rename_column": q_rename_column,
     "gift_preference_flatten": q_gift_preference_flatten,
     "shipment_adjustment_flatten": q_shipment_adjustment_flatten,
+    "shipment_preference_flatten": q_shipment_preference_flatten,
+    "gift_adjustment_flatten": q_gift_adjustment_flatten,
     "charge_array_cast": q_charge_array_cast,
     "tax_array_cast": q_tax_array_cast,
     "audit_columns": q_audit_columns,
@@ -312,21 +346,22 @@ _TS = "'%Y-%m-%dT%H:%M:%S'"
 _TSMS = "'%Y-%m-%dT%H:%M:%S.%g'"
 
 _RELEASE_SQL = f"""
-SELECT 'R' || o_orderkey || '-0' AS release_id, 'v' || o_custkey AS event_version_id,
+SELECT 'R' || o_orderkey AS release_id, 'v' || o_custkey AS event_version_id,
   'ReleaseCreated' AS event_name, strftime(o_orderdate, {_TSMS}) || '-0800' AS event_published_time,
   strftime(o_orderdate, {_TS}) AS event_created_on, 'order-service' AS event_created_by,
   strftime(o_orderdate, {_TS}) AS release_created_on, CAST(o_orderkey AS VARCHAR) AS order_id,
   strftime(o_orderdate, '%Y-%m-%d') AS order_date, 'INV' || o_orderkey AS invoice_id,
   o_orderpriority AS market, 'US' AS country_code, 'N' || o_custkey AS parent_ship_node,
   strftime(o_orderdate + INTERVAL 7 DAY, '%Y-%m-%d') AS in_home_delivery_date,
-  '1' AS stock_order_download_version, o_orderstatus AS release_status
+  '1' AS stock_order_download_version, o_orderstatus AS release_status,
+  CASE WHEN o_orderstatus IN ('F', 'O') THEN '' ELSE 'release_status_known' END AS failed_rules
 FROM orders"""
 
 _LINES = """
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 _ITEM_SQL = f"""
-SELECT 'R' || l_orderkey || '-0' AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
+SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
   'v' || o_custkey AS event_version_id, CAST(l_linenumber AS VARCHAR) AS order_line_number,
   CAST(l_quantity AS INTEGER) AS item_quantity, 'S' || l_suppkey AS ship_node,
   l_linestatus = 'O' AS is_backorder, l_returnflag AS adjustment_type,
@@ -340,12 +375,29 @@ SELECT 'R' || l_orderkey || '-0' AS release_id, CAST(l_linenumber AS VARCHAR) AS
   CAST(l_extendedprice AS DECIMAL(13,4)) AS current_price,
   CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(13,4)) AS paid_price,
   CAST(l_extendedprice * (1 + l_tax) AS DECIMAL(13,4)) AS list_price,
-  CAST(l_extendedprice AS DECIMAL(13,4)) AS retail_price
-{_LINES} JOIN part p ON l.l_partkey = p.p_partkey AND p.p_type <> 'PROMO'"""
+  CAST(l_extendedprice AS DECIMAL(13,4)) AS retail_price,
+  CASE WHEN o_orderstatus IN ('F', 'O') THEN '' ELSE 'release_status_known' END AS failed_rules
+{_LINES} JOIN part p ON l.l_partkey = p.p_partkey"""
+_STOCKED_SQL = f"{_ITEM_SQL} AND p.p_type IS DISTINCT FROM 'PROMO'"
 
 _AMT = "CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_discount AS DECIMAL(15,2))"
 
 
+# Lines of one invoice are in the order of their raw columns.
+_LINE_ORDER = "l_linenumber, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus"
+_PCT = "CAST(l_tax AS DECIMAL(15,2)) * 100"
+_TAX = f"{_AMT} * CAST(l_tax AS DECIMAL(15,2))"
+
+
+def _two(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(13,2)) || ':' || CAST({x} AS DECIMAL(13,6))"
+
+
+_CHARGE_TEXT = f"'line-' || l_linenumber || ':FLAG_' || l_returnflag || ':' || {_two(_AMT)}"
+_TAX_TEXT = f"""'SALES:line-' || l_linenumber || ':' || {_two(_AMT)} || ':TAX_' || l_linestatus || ':'
+  || {_two(_PCT)} || ':' || {_two(_TAX)}"""
+
+
 def _section_sql(k: int, prefix: str, gift: bool) -> str:
     if gift:
         scalars = f"""o_orderpriority LIKE '1-%' AS {prefix}gift_indicator,
@@ -362,7 +414,7 @@ def _section_sql(k: int, prefix: str, gift: bool) -> str:
   'Hello' AS {prefix}instruction_header, 'Thanks' AS {prefix}instruction_footer,
   o_orderpriority AS {prefix}instruction_body, 'SHIP' AS {prefix}instruction_type"""
     return f"""
-SELECT 'INV' || o_orderkey || '-0' AS invoice_id, {scalars},
+SELECT 'INV' || o_orderkey || '-' || COALESCE(l_suppkey, 0) AS invoice_id, {scalars},
   CAST(o_orderkey AS VARCHAR) AS order_id, 'ov' || o_custkey AS order_version_id,
   CAST(o_orderdate AS DATE) AS order_date, strftime(o_orderdate, {_TS}) || '-0800' AS order_datetime,
   o_orderdate + INTERVAL 8 HOUR AS order_datetime_utc,
@@ -372,16 +424,19 @@ SELECT 'INV' || o_orderkey || '-0' AS invoice_id, {scalars},
   'v' || o_custkey AS version_id,
   strftime(o_orderdate + INTERVAL 47 HOUR + INTERVAL 35 MINUTE, {_TSMS}) || '-0800' AS published_time,
   o_orderdate + INTERVAL 55 HOUR + INTERVAL 35 MINUTE AS published_time_utc,
-  COALESCE(c.n, 0) AS charge_count, COALESCE(c.n, 0) AS tax_count
-FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem
-                       WHERE l_linenumber % 4 = {k} GROUP BY l_orderkey) c
+  COALESCE(c.charges, '') AS charges, COALESCE(c.taxes, '') AS taxes,
+  CASE WHEN c.charges IS NULL THEN 'charges_present' ELSE '' END AS failed_rules
+FROM orders LEFT JOIN (SELECT l_orderkey, l_suppkey,
+    string_agg(charge, '|' ORDER BY {_LINE_ORDER}) FILTER (l_linenumber % 4 = {k}) AS charges,
+    string_agg(tax, '|' ORDER BY {_LINE_ORDER}) FILTER (l_linenumber % 4 = {k}) AS taxes
+  FROM (SELECT *, {_CHARGE_TEXT} AS charge, {_TAX_TEXT} AS tax FROM lineitem) GROUP BY l_orderkey, l_suppkey) c
   ON c.l_orderkey = o_orderkey"""
 
 
 # Charges from the events feed: two charges per event, kind = event_id mod 4.
 _FEED_SQL = f"""
 WITH e AS (
-  SELECT *, CASE event_id % 4 WHEN 0 THEN 'ShipmentPreference' WHEN 1 THEN 'GiftPreference'
+  SELECT * REPLACE (ts + to_days(CAST(event_id % 180 AS INTEGER)) AS ts), CASE event_id % 4 WHEN 0 THEN 'ShipmentPreference' WHEN 1 THEN 'GiftPreference'
               WHEN 2 THEN 'ShipmentPreferenceAdjustment' ELSE 'GiftPreferenceAdjustment' END AS kind
   FROM events),
 c AS (
@@ -392,6 +447,12 @@ c AS (
          CAST(json_extract_string(props, '$.k') AS DECIMAL(13,2)),
          CAST(CAST(json_extract_string(props, '$.k') AS DECIMAL(13,2)) AS DECIMAL(13,6)), e.* FROM e)"""
 
+# Offset spellings by event, and the instants they stand for.
+_FORM = """CASE event_id % 6 WHEN 0 THEN '-0800' WHEN 1 THEN '-08:00' WHEN 2 THEN 'Z' WHEN 3 THEN '+05:30'
+  WHEN 4 THEN '' ELSE '-08' END"""
+_UTC = """date_trunc('milliseconds', ts) + CASE event_id % 6 WHEN 2 THEN INTERVAL 0 MINUTE
+  WHEN 3 THEN INTERVAL (-330) MINUTE WHEN 4 THEN INTERVAL 0 MINUTE ELSE INTERVAL 480 MINUTE END"""
+
 _FEED_COLS = f"""kind AS convenience_charge_type, invoice_id, cat AS convenience_charge_category,
   name AS convenience_charge_name, amt AS convenience_charge_amount,
   amt_full AS convenience_charge_amount_full, CAST(user_id AS VARCHAR) AS order_id,
@@ -399,11 +460,10 @@ _FEED_COLS = f"""kind AS convenience_charge_type, invoice_id, cat AS convenience
   ts + INTERVAL 8 HOUR AS order_datetime_utc, CAST(ts AS DATE) AS invoiced_on_date,
   strftime(ts, {_TS}) || '-0800' AS invoiced_on_datetime,
   ts + INTERVAL 8 HOUR AS invoiced_on_datetime_utc,
-  strftime(ts, {_TSMS}) || '-0800' AS published_time,
-  date_trunc('milliseconds', ts) + INTERVAL 8 HOUR AS published_time_utc"""
+  strftime(ts, {_TSMS}) || {_FORM} AS published_time, {_UTC} AS published_time_utc,
+  CASE WHEN amt > 0 THEN '' ELSE 'charge_amount_positive' END AS failed_rules"""
 
-_LATEST_ORDER = """ORDER BY published_time_utc DESC, convenience_charge_amount DESC,
-  convenience_charge_amount_full DESC, order_id DESC, invoiced_on_datetime DESC, published_time DESC"""
+_LATEST_ORDER = "ORDER BY " + ", ".join(f"{c} DESC NULLS LAST" for c in [CHARGE_SORT_COLUMN, *ch.CHARGE_TIE_BREAK])
 
 CHARGE_LATEST_SQL = f"""{_FEED_SQL}
 SELECT * EXCLUDE (rn) FROM (
@@ -418,7 +478,7 @@ SELECT * EXCLUDE (rn) FROM (
     SELECT CASE l_linenumber % 4 WHEN 0 THEN 'ShipmentPreference' WHEN 1 THEN 'GiftPreference'
              WHEN 2 THEN 'ShipmentPreferenceAdjustment' ELSE 'GiftPreferenceAdjustment' END
              AS convenience_charge_type,
-      'INV' || l_orderkey || '-0' AS invoice_id, 'FLAG_' || l_returnflag AS convenience_charge_category,
+      'INV' || l_orderkey || '-' || l_suppkey AS invoice_id, 'FLAG_' || l_returnflag AS convenience_charge_category,
       'line-' || l_linenumber AS convenience_charge_name,
       CAST({_AMT} AS DECIMAL(13,2)) AS convenience_charge_amount,
       CAST({_AMT} AS DECIMAL(13,6)) AS convenience_charge_amount_full,
@@ -429,7 +489,8 @@ SELECT * EXCLUDE (rn) FROM (
       strftime(o_orderdate + INTERVAL 47 HOUR + INTERVAL 30 MINUTE, {_TS}) || '-0800' AS invoiced_on_datetime,
       o_orderdate + INTERVAL 55 HOUR + INTERVAL 30 MINUTE AS invoiced_on_datetime_utc,
       strftime(o_orderdate + INTERVAL 47 HOUR + INTERVAL 35 MINUTE, {_TSMS}) || '-0800' AS published_time,
-      o_orderdate + INTERVAL 55 HOUR + INTERVAL 35 MINUTE AS published_time_utc
+      o_orderdate + INTERVAL 55 HOUR + INTERVAL 35 MINUTE AS published_time_utc,
+      CASE WHEN CAST({_AMT} AS DECIMAL(13,2)) > 0 THEN '' ELSE 'charge_amount_positive' END AS failed_rules
     {_LINES}))
 WHERE rn = 1"""
 
@@ -443,48 +504,52 @@ _MS = "date_trunc('milliseconds', ts)"
 ORACLES = {
     "release_flatten": _RELEASE_SQL,
     "release_item_explode": f"""
-SELECT 'R' || l_orderkey || '-0' AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
+SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
   CAST(l_quantity AS INTEGER) AS item_quantity, 'S' || l_suppkey AS ship_node,
   l_linestatus = 'O' AS is_backorder, l_returnflag AS adjustment_type,
   strftime(l_shipdate, '%Y-%m-%d') AS adjustment_date, CAST(l_partkey AS VARCHAR) AS sku_number
 {_LINES}""",
     "array_field_project": """
-SELECT 'R' || o_orderkey || '-0' AS release_id, COALESCE(n, 0) AS line_count, skus AS sku_numbers
-FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n,
+SELECT 'R' || o_orderkey || '-' || COALESCE(l_suppkey, 0) AS release_id, COALESCE(n, 0) AS line_count,
+  skus AS sku_numbers
+FROM orders LEFT JOIN (SELECT l_orderkey, l_suppkey, count(*) AS n,
     array_to_string(list_sort(list(CAST(l_partkey AS VARCHAR))), ',') AS skus
-  FROM lineitem GROUP BY l_orderkey) g ON g.l_orderkey = o_orderkey""",
-    "explode_cross": """
-SELECT 'R' || l_orderkey || '-0' AS release_id, count(*) AS correlated_rows,
+  FROM lineitem GROUP BY l_orderkey, l_suppkey) g ON g.l_orderkey = o_orderkey""",
+    "release_line_counts": """
+SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id, count(*) AS correlated_rows,
   count(*) * count(*) AS cross_rows
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey""",
-    "release_item_sku_join": f"SELECT release_id, release_line_number, sku_number, sku_id FROM ({_ITEM_SQL})",
-    "release_item_pipeline": _ITEM_SQL,
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey, l_suppkey""",
+    "release_item_sku_join": f"SELECT release_id, release_line_number, sku_number, sku_id FROM ({_STOCKED_SQL})",
+    "release_item_pipeline": _STOCKED_SQL,
     "orphan_items_anti": f"""
-SELECT 'R' || l_orderkey || '-0' AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
+SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
   CAST(l_partkey AS VARCHAR) AS sku_number
 {_LINES}
-WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey AND p.p_type <> 'PROMO')""",
+WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey
+                  AND p.p_type IS DISTINCT FROM 'PROMO')""",
     "price_decimal_cast": f"""SELECT release_id, release_line_number, sku_number, current_price, paid_price,
   list_price, retail_price FROM ({_ITEM_SQL})""",
     "description_array_cast": f"""
-SELECT 'R' || l_orderkey || '-0' AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
+SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id, CAST(l_linenumber AS VARCHAR) AS release_line_number,
   CAST(l_partkey AS VARCHAR) AS sku_number, d.locale_code, d.description
-{_LINES} JOIN part p ON l.l_partkey = p.p_partkey AND p.p_type <> 'PROMO'
+{_LINES} JOIN part p ON l.l_partkey = p.p_partkey
 CROSS JOIN LATERAL (SELECT 'en_US' AS locale_code, 'item ' || l.l_partkey AS description
                     UNION ALL SELECT 'fr_FR', 'article ' || l.l_partkey) d""",
     "drop_columns": """
 SELECT CAST(p_partkey AS VARCHAR) AS sku_number, 'SKU' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS sku_id
-FROM part WHERE p_type <> 'PROMO'""",
+FROM part""",
     "rename_column": "SELECT CAST(o_orderkey AS VARCHAR) AS cust_order_id, CAST(o_orderdate AS DATE) AS order_date FROM orders",
     "gift_preference_flatten": _section_sql(1, "gift_preference_", True),
     "shipment_adjustment_flatten": _section_sql(2, "ship_preference_adjustment_", False),
+    "shipment_preference_flatten": _section_sql(0, "ship_preference_", False),
+    "gift_adjustment_flatten": _section_sql(3, "gift_preference_adjustment_", True),
     "charge_array_cast": f"""
-SELECT 'INV' || l_orderkey || '-0' AS invoice_id, 'line-' || l_linenumber AS convenience_charge_name,
+SELECT 'INV' || l_orderkey || '-' || l_suppkey AS invoice_id, 'line-' || l_linenumber AS convenience_charge_name,
   'FLAG_' || l_returnflag AS convenience_charge_category, CAST({_AMT} AS DECIMAL(13,2)) AS amount,
   CAST({_AMT} AS DECIMAL(13,6)) AS convenience_charge_amount
 {_LINES} WHERE l_linenumber % 4 = 1""",
     "tax_array_cast": f"""
-SELECT 'INV' || l_orderkey || '-0' AS invoice_id, 'SALES' AS tax_charge_category,
+SELECT 'INV' || l_orderkey || '-' || l_suppkey AS invoice_id, 'SALES' AS tax_charge_category,
   'line-' || l_linenumber AS tax_charge_name, CAST({_AMT} AS DECIMAL(13,2)) AS taxable_amount,
   CAST({_AMT} AS DECIMAL(13,6)) AS charge_taxable_amount, 'TAX_' || l_linestatus AS tax_name,
   CAST(CAST(l_tax AS DECIMAL(15,2)) * 100 AS DECIMAL(13,2)) AS tax_percentage,
@@ -493,16 +558,16 @@ SELECT 'INV' || l_orderkey || '-0' AS invoice_id, 'SALES' AS tax_charge_category
   CAST({_AMT} * CAST(l_tax AS DECIMAL(15,2)) AS DECIMAL(13,6)) AS charge_tax_amount
 {_LINES} WHERE l_linenumber % 4 = 1""",
     "audit_columns": """
-SELECT 'INV' || o_orderkey || '-0' AS invoice_id, TIMESTAMP '2024-01-01 00:00:00' AS processed_timestamp,
+SELECT 'INV' || o_orderkey || '-' || COALESCE(l_suppkey, 0) AS invoice_id, TIMESTAMP '2024-01-01 00:00:00' AS processed_timestamp,
   'gift_preference_job' AS processed_by, CAST(7 AS BIGINT) AS epoch_id,
   epoch(TIMESTAMP '2024-01-01 00:00:00') - epoch(o_orderdate + INTERVAL 55 HOUR + INTERVAL 35 MINUTE) AS latency
-FROM orders""",
+FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) s ON s.l_orderkey = o_orderkey""",
     "convenience_charge_pipeline": _PIPE_SQL,
     "charge_union": f"""{_FEED_SQL}
 SELECT kind AS convenience_charge_type, invoice_id, cat AS convenience_charge_category,
   name AS convenience_charge_name, amt AS convenience_charge_amount,
   amt_full AS convenience_charge_amount_full, CAST(user_id AS VARCHAR) AS order_id,
-  strftime(ts, {_TSMS}) || '-0800' AS published_time FROM c""",
+  strftime(ts, {_TSMS}) || {_FORM} AS published_time FROM c""",
     "union_positional_struct": f"""{_FEED_SQL}
 SELECT invoice_id, name AS convenience_charge_name, cat AS convenience_charge_category,
   amt AS amount, amt_full AS convenience_charge_amount

@@ -29,17 +29,16 @@ def q_last_six_months(spark, sf):
     """
     o = load(spark, sf, "orders")
     anchor = o.agg(F.max("o_orderdate").alias("m")).first()["m"]
-    cutoff = F.add_months(F.lit(anchor), -6).cast("timestamp_ntz")
+    cutoff = F.lit(anchor).cast("timestamp_ntz") - F.make_ym_interval(F.lit(0), F.lit(6))
     return (o.filter(F.col("o_orderdate") >= cutoff)
             .select("o_orderkey", "o_orderdate", "o_totalprice"))
 
 
 def q_sql_over_view(spark, sf):
-    load(spark, sf, "orders").createOrReplaceTempView("orders_view")
     return spark.sql("""
         SELECT o_orderpriority, count(*) AS order_count,
                sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total_price
-        FROM orders_view GROUP BY o_orderpriority""")
+        FROM {orders} GROUP BY o_orderpriority""", orders=load(spark, sf, "orders"))
 
 
 def q_column_sum(spark, sf):
@@ -204,13 +203,15 @@ def q_pair_connections_delta(spark, sf):
                                          "o_orderpriority", "o_custkey")
 
 
-# The rate-version years and the yearly rate step (percent).
+# The first and last rate-version year and the yearly rate step
+# (percent); the first version is open at its start, the last at its end.
 VERSION_YEARS = (1992, 2002)
 VERSION_STEP_PCT = 1
 
 
 def rate_versions(supplier):
-    """Yearly supplier rate versions: ``[Jan 1, next Jan 1)`` per supplier.
+    """Yearly supplier rate versions: ``[Jan 1, next Jan 1)`` per supplier,
+    without a start for the first and without an end for the last.
 
     An effective-dated dimension (SCD2-style): a few versions per supplier,
     so it stays a small fraction of the fact table.
@@ -220,8 +221,9 @@ def rate_versions(supplier):
     factor = (F.lit(100) + (F.col("yr") - VERSION_YEARS[0]) * VERSION_STEP_PCT).cast("decimal(5,0)") / 100
     return s.select(
         F.col("s_suppkey").alias("l_suppkey"),
-        F.make_date("yr", F.lit(1), F.lit(1)).alias("effective_start_date"),
-        F.make_date(F.col("yr") + 1, F.lit(1), F.lit(1)).alias("effective_end_date"),
+        F.when(F.col("yr") > VERSION_YEARS[0], F.make_date("yr", F.lit(1), F.lit(1))).alias("effective_start_date"),
+        F.when(F.col("yr") < VERSION_YEARS[1], F.make_date(F.col("yr") + 1, F.lit(1), F.lit(1)))
+        .alias("effective_end_date"),
         (F.col("s_acctbal").cast("decimal(12,2)") * factor.cast("decimal(5,2)")).alias("supplier_rate"))
 
 
@@ -360,23 +362,24 @@ SELECT salary FROM ranked WHERE salary_rank = 10""",
   dense_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS rnk FROM customer)
 WHERE rnk <= 3""",
     "pair_connections": """SELECT c_nationkey, count(DISTINCT c_custkey) AS node_count,
-  CAST(count(DISTINCT c_custkey) * (count(DISTINCT c_custkey) - 1) / 2 AS BIGINT) AS connections
+  count(DISTINCT c_custkey) * (count(DISTINCT c_custkey) - 1) // 2 AS connections
 FROM customer GROUP BY c_nationkey""",
     "pair_connections_delta": f"""{_NODES}
 SELECT COALESCE(nk.g, nf.g) AS o_orderpriority, COALESCE(n, 0) AS known_nodes, COALESCE(k, 0) AS new_nodes,
-  CAST(COALESCE(k, 0) * COALESCE(n, 0) + COALESCE(k, 0) * (COALESCE(k, 0) - 1) / 2 AS BIGINT) AS new_connections
+  COALESCE(k, 0) * COALESCE(n, 0) + COALESCE(k, 0) * (COALESCE(k, 0) - 1) // 2 AS new_connections
 FROM nk FULL OUTER JOIN nf ON nk.g = nf.g""",
-    "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_suppkey, make_date(yr, 1, 1) AS effective_start_date,
+    "effective_dated_join": """SELECT l_orderkey, l_linenumber, l_suppkey,
+  CASE WHEN yr > 1992 THEN make_date(yr, 1, 1) END AS effective_start_date,
   CAST(CAST(s_acctbal AS DECIMAL(12,2)) * CAST((100 + (yr - 1992)) / 100 AS DECIMAL(5,2))
     AS DECIMAL(18,4)) AS supplier_rate
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-JOIN range(1992, 2003) AS r(yr) ON CAST(l_shipdate AS DATE) >= make_date(yr, 1, 1)
-  AND CAST(l_shipdate AS DATE) < make_date(yr + 1, 1, 1)""",
-    "array_transform": """SELECT 'R' || l_orderkey || '-0' AS release_id,
+JOIN range(1992, 2003) AS r(yr) ON (yr = 1992 OR CAST(l_shipdate AS DATE) >= make_date(yr, 1, 1))
+  AND (yr = 2002 OR CAST(l_shipdate AS DATE) < make_date(yr + 1, 1, 1))""",
+    "array_transform": """SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id,
   CAST(sum(CAST(l_quantity AS INTEGER) * 2) AS BIGINT) AS doubled_quantity,
   count(*) FILTER (WHERE CAST(l_quantity AS INTEGER) > 20) AS large_lines
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey""",
-    "array_flatten_distinct": """SELECT 'R' || l_orderkey || '-0' AS release_id,
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey, l_suppkey""",
+    "array_flatten_distinct": """SELECT 'R' || l_orderkey || '-' || l_suppkey AS release_id,
   array_to_string(list_sort(list_distinct(flatten(list([CAST(l_quantity AS INTEGER), l_linenumber])))), ',') AS "values"
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey""",
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey, l_suppkey""",
 }

@@ -24,10 +24,14 @@ def q_reverse_words(spark, sf):
 
 
 def q_contact_rules(spark, sf):
+    """Every mail address and every phone number of every text, one row each."""
     d = load(spark, sf, "documents")
-    mail = F.regexp_extract("text", tx.MAIL, 0)
-    phone = F.regexp_extract("text", tx.PHONE, 0)
-    c = d.select("doc_id", mail.alias("mail"), phone.alias("phone"))
+    found = F.concat(
+        F.transform(F.regexp_extract_all("text", F.lit(tx.MAIL), F.lit(0)),
+                    lambda m: F.struct(m.alias("mail"), F.lit(None).cast("string").alias("phone"))),
+        F.transform(F.regexp_extract_all("text", F.lit(tx.PHONE), F.lit(0)),
+                    lambda p: F.struct(F.lit(None).cast("string").alias("mail"), p.alias("phone"))))
+    c = d.select("doc_id", F.inline(found))
     name = F.substring_index("mail", "@", 1)
     return c.select("doc_id", name.alias("name"), tx.digits_only("phone").alias("phone_digits"), "mail",
                     tx.name_ok(name).alias("name_ok"), tx.phone_ok("phone").alias("phone_ok"),
@@ -50,7 +54,7 @@ def _customer_with_note(spark, sf):
 def q_csv_roundtrip(spark, sf):
     src = _customer_with_note(spark, sf)
     path = scratch_path(spark, "customer-csv")
-    files.write_csv(src, path, partitions=4)
+    files.write_csv(src, path)
     return files.read_csv(spark, path, schema=src.schema)
 
 
@@ -63,7 +67,7 @@ def q_csv_quarantine_rows(spark, sf):
                  ).otherwise(F.col("c_acctbal").cast("string"))
     raw = c.withColumn("c_acctbal", bal)
     path = scratch_path(spark, "customer-csv-bad")
-    files.write_csv(raw, path, partitions=4)
+    files.write_csv(raw, path)
     _good, bad = files.read_csv_checked(spark, path, c.schema)
     quarantine = scratch_path(spark, "customer-csv-quarantine")
     files.write_quarantine(bad, quarantine)          # error rows to their own files
@@ -164,8 +168,8 @@ GROUP BY word""",
     "reverse_words": f"""SELECT conv_id, turn,
   array_to_string(list_reverse(list_filter(regexp_split_to_array(text, {_WS}), lambda x: x <> '')), ' ') AS reversed
 FROM conversations""",
-    "contact_rules": f"""WITH c AS (SELECT doc_id, regexp_extract(text, {_MAIL}, 0) AS mail,
-  regexp_extract(text, {_PHONE}, 0) AS phone FROM documents)
+    "contact_rules": f"""WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, {_MAIL}, 0)) AS mail, NULL AS phone FROM documents
+  UNION ALL SELECT doc_id, NULL, unnest(regexp_extract_all(text, {_PHONE}, 0)) FROM documents)
 SELECT doc_id, split_part(mail, '@', 1) AS name, regexp_replace(phone, '[^0-9]', '', 'g') AS phone_digits, mail,
   length(split_part(mail, '@', 1)) > 5 AS name_ok,
   length(regexp_replace(phone, '[^0-9]', '', 'g')) = 10

@@ -6,10 +6,9 @@ builders derive the raw layer from them with Spark only: every event is a
 deterministic function of ``orders`` / ``lineitem`` / ``part`` / ``events``
 rows and grows with them.
 
-Nesting child rows under a parent key is the only grouping step.  A parent
-with more than ``MAX_ITEMS_PER_EVENT`` children is split into several events
-(``piece``), so no array -- and no task -- ever holds an unbounded group, even
-if one order owned a third of all lines.
+An order is released and invoiced once for each ship node (supplier) of its
+lines, so an event holds the lines of one (order, ship node) whatever the
+size of the order.  Nesting the lines is the only grouping step.
 """
 
 from __future__ import annotations
@@ -20,15 +19,14 @@ from pyspark.sql import types as T
 
 from orderloom.schemas import CHARGE_KINDS
 
-MAX_ITEMS_PER_EVENT = 256
-# Hot parents are matched to their piece count through a broadcast only while
-# their number stays under this bound; beyond it a shuffle join is used.
-HOT_KEYS_BROADCAST_ROWS = 100_000
-
 _TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss"
 _TS_TEXT_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 # Fixed value: the feed publishes local (US Pacific standard) time with offset.
 FEED_OFFSET = "-0800"
+# Offset spellings that the charge feed's publishers use (K6).
+OFFSET_FORMS = ["-0800", "-08:00", "Z", "+05:30", "", "-08"]
+# The charge feed covers this many days, whatever the days of ``events``.
+FEED_DAYS = 180
 
 
 def _dec_text(c: Column, scale: int = 2) -> Column:
@@ -36,74 +34,16 @@ def _dec_text(c: Column, scale: int = 2) -> Column:
     return c.cast(T.DecimalType(15, scale))
 
 
-def nest_children_split(children: DataFrame, key: str, items_name: str,
-                        max_items: int = MAX_ITEMS_PER_EVENT
-                        ) -> tuple[DataFrame, DataFrame | None, int]:
-    """``children`` grouped into ``(key, piece, items_name)`` arrays, plus the
-    hot parents ``(key, _pieces)`` that were split (``None`` if none) and
-    their number.
+def nest_children(children: DataFrame, keys: list[str], items_name: str) -> DataFrame:
+    """``children`` grouped into ``(*keys, items_name)`` arrays.
 
     Each array element is a struct of the child's remaining (raw) columns,
     sorted, so arrays are deterministic; callers shape the elements with
     ``transform`` afterwards (collecting narrow primitive structs is several
-    times cheaper than collecting the final nested ones).  Arrays hold at
-    most about ``max_items`` elements: the rare parents above the bound are
-    spread over ``ceil(n / max_items)`` pieces by a hash of the whole child
-    row.  Counting children per key is a partial (map-side combined)
-    aggregation, so a hot key costs one row per map task, not a hot reducer.
-    Without oversized parents the grouping is on ``key`` alone, so a later
-    join on ``key`` reuses its partitioning.
-    """
-    fields = [c for c in children.columns if c != key]
-    item = F.struct(*[F.col(c) for c in fields])
-    sizes = children.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = (sizes.filter(F.col("_n") > max_items)
-           .select(key, F.ceil(F.col("_n") / F.lit(max_items)).cast("int").alias("_pieces")))
-    n_hot = hot.count()
-    if n_hot == 0:
-        nested = (children.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias(items_name))
-                  .withColumn("piece", F.lit(0)))
-        return nested, None, 0
-    side = F.broadcast(hot) if n_hot <= HOT_KEYS_BROADCAST_ROWS else hot
-    row_hash = F.xxhash64(*[F.col(c) for c in children.columns])
-    tagged = (children.join(side, key, "left")
-              .withColumn("piece", F.pmod(row_hash, F.coalesce(F.col("_pieces"), F.lit(1))).cast("int"))
-              .drop("_pieces"))
-    nested = (tagged.groupBy(key, "piece")
-              .agg(F.sort_array(F.collect_list(item)).alias(items_name)))
-    return nested, hot, n_hot
-
-
-def nest_children(children: DataFrame, key: str, items_name: str,
-                  max_items: int = MAX_ITEMS_PER_EVENT) -> DataFrame:
-    """``nest_children_split`` without the hot-parent details."""
-    return nest_children_split(children, key, items_name, max_items)[0]
-
-
-def attach_to_parents(parents: DataFrame, parent_key: str,
-                      split: tuple[DataFrame, DataFrame | None, int],
-                      child_key: str) -> DataFrame:
-    """Left join of parent rows to their nested children, with a ``piece``.
-
-    Parents without oversized children join on the key alone (reusing the
-    nesting's partitioning).  A hot parent's single row is repeated once per
-    piece and the join runs on (key, piece), so its pieces are spread over as
-    many tasks as there are pieces instead of meeting in one task (AQE cannot
-    split the child side of a left outer join).
+    times cheaper than collecting the final nested ones).
     """
-    nested, hot, n_hot = split
-    if hot is None:
-        j = parents.join(nested, parents[parent_key] == nested[child_key], "left")
-        return j.withColumn("piece", F.coalesce(F.col("piece"), F.lit(0)))
-    side = hot.select(F.col(child_key).alias("_hot_key"), "_pieces")
-    side = F.broadcast(side) if n_hot <= HOT_KEYS_BROADCAST_ROWS else side
-    last = F.coalesce(F.col("_pieces"), F.lit(1)) - 1
-    per_piece = (parents.join(side, parents[parent_key] == F.col("_hot_key"), "left")
-                 .withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
-                 .drop("_hot_key", "_pieces"))
-    kids = nested.withColumnRenamed("piece", "_child_piece")
-    cond = (per_piece[parent_key] == kids[child_key]) & (F.col("piece") == F.col("_child_piece"))
-    return per_piece.join(kids, cond, "left").drop("_child_piece")
+    item = F.struct(*[F.col(c) for c in children.columns if c not in keys])
+    return children.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(items_name))
 
 
 def _housekeeping(ts: Column) -> list[Column]:
@@ -160,31 +100,19 @@ def release_item_struct(r) -> Column:
     )
 
 
-def release_events(orders: DataFrame, lineitem: DataFrame,
-                   max_items: int = MAX_ITEMS_PER_EVENT) -> DataFrame:
-    """One release event per order (per piece for oversized orders).
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
 
-    Orders without lines carry a null ``releaseItems`` (quirk K2 input).
-    """
-    raw, hot, n_hot = nest_children_split(
-        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-                        "l_shipdate"),
-        "l_orderkey", "lines", max_items)
-    items = raw.select("l_orderkey", "piece",
-                       F.transform("lines", release_item_struct).alias("releaseItems"))
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    ev = attach_to_parents(o, "o_orderkey", (items, hot, n_hot), "l_orderkey")
-    piece = F.col("piece")
+
+def _release_data(release_id: Column, items: Column | None) -> Column:
     created = F.date_format("o_orderdate", _TS_TEXT)
-    data = F.struct(
+    return F.struct(
         F.concat(F.lit("v"), F.col("o_custkey")).alias("versionId"),
         F.lit("ReleaseCreated").alias("eventName"),
         F.concat(F.date_format("o_orderdate", _TS_TEXT_MS), F.lit(FEED_OFFSET)).alias("publishedTime"),
         created.alias("createdOn"),
         F.lit("order-service").alias("createdBy"),
         F.struct(
-            F.concat(F.lit("R"), F.col("o_orderkey"), F.lit("-"), piece).alias("id"),
+            release_id.alias("id"),
             created.alias("createdOn"),
             F.col("o_orderkey").cast("string").alias("orderId"),
             F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderDate"),
@@ -195,25 +123,54 @@ def release_events(orders: DataFrame, lineitem: DataFrame,
             F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 7), "yyyy-MM-dd").alias("inHomeDeliveryDate"),
             F.lit("1").alias("stockOrderDownloadVersion"),
             F.col("o_orderstatus").alias("releaseStatus"),
-            F.col("releaseItems"),
+            *([items.alias("releaseItems")] if items is not None else []),
         ).alias("releaseEventDetails"),
     )
-    return ev.select(*_housekeeping(F.col("o_orderdate")), data.alias("data"))
 
 
-def sku_dimension(part: DataFrame) -> DataFrame:
-    """SKU catalogue from ``part``.
+def release_headers(orders: DataFrame) -> DataFrame:
+    """The announcement of each order's release: header fields, no lines."""
+    data = _release_data(F.concat(F.lit("R"), F.col("o_orderkey")), None)
+    return orders.select(*_housekeeping(F.col("o_orderdate")), data.alias("data"))
+
+
+def release_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One release event per (order, ship node), with its lines.
 
-    Fixture rule: promotional parts (``p_type = 'PROMO'``) are not stocked
-    SKUs, so their release lines have no SKU (orphans, quirk K4).
+    Orders without lines carry a null ``releaseItems`` (quirk K2 input).
     """
-    return part.filter(F.col("p_type") != "PROMO").select(
+    raw = nest_children(
+        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                        "l_shipdate", F.col("l_suppkey").alias("_node")),
+        ["l_orderkey", "_node"], "lines")
+    items = raw.select("l_orderkey", "_node", F.transform("lines", release_item_struct).alias("releaseItems"))
+    o = orders.select(*_ORDER_COLUMNS)
+    ev = o.join(items, o["o_orderkey"] == items["l_orderkey"], "left")
+    data = _release_data(_event_id("R"), F.col("releaseItems"))
+    return ev.select(*_housekeeping(F.col("o_orderdate")), data.alias("data"))
+
+
+def _event_id(prefix: str) -> Column:
+    """Order and ship node; node 0 stands for an order without lines."""
+    return F.concat(F.lit(prefix), F.col("o_orderkey"), F.lit("-"), F.coalesce(F.col("_node"), F.lit(0)))
+
+
+def sku_dimension(part: DataFrame) -> DataFrame:
+    """SKU catalogue from ``part``, one row per part."""
+    return part.select(
         *_housekeeping(F.lit(None).cast("timestamp_ntz")),
         F.col("p_partkey").cast("string").alias("sku_number"),
         F.concat(F.lit("SKU"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("sku_id"),
     )
 
 
+def stocked_skus(part: DataFrame) -> DataFrame:
+    """The catalogue without promotional parts (``p_type = 'PROMO'``): their
+    release lines have no SKU (orphans, quirk K4).  A null type is stocked."""
+    return sku_dimension(part.filter(~F.col("p_type").eqNullSafe("PROMO")))
+
+
 # ---------------------------------------------------------------------------
 # Invoice events (orders header + four preference sections from lineitem)
 # ---------------------------------------------------------------------------
@@ -300,26 +257,24 @@ INVOICE_SECTIONS = [
 ]
 
 
-def invoice_events(orders: DataFrame, lineitem: DataFrame,
-                   max_items: int = MAX_ITEMS_PER_EVENT) -> DataFrame:
-    """One invoice event per order (per piece for oversized orders).
+def invoice_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One invoice event per (order, ship node).
 
     Times are local text with offset: ``orderDate`` at midnight, ``invoicedOn``
     at 23:30 the next day (so its local date and UTC instant disagree, K7),
     ``publishedTime`` five minutes later with milliseconds.
     """
-    raw, hot, n_hot = nest_children_split(
+    raw = nest_children(
         lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
-                        "l_returnflag", "l_linestatus"),
-        "l_orderkey", "raw", max_items)
-    lines = raw.select("l_orderkey", "piece", F.transform("raw", _charge_item).alias("lines"))
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    ev = attach_to_parents(o, "o_orderkey", (lines, hot, n_hot), "l_orderkey")
-    piece = F.col("piece")
+                        "l_returnflag", "l_linestatus", F.col("l_suppkey").alias("_node")),
+        ["l_orderkey", "_node"], "raw")
+    lines = raw.select("l_orderkey", "_node", F.transform("raw", _charge_item).alias("lines"))
+    o = orders.select(*_ORDER_COLUMNS)
+    ev = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
     invoiced = F.col("o_orderdate") + F.expr("INTERVAL 47 HOURS 30 MINUTES")
     published = invoiced + F.expr("INTERVAL 5 MINUTES")
     detail = F.struct(
-        F.concat(F.lit("INV"), F.col("o_orderkey"), F.lit("-"), piece).alias("id"),
+        _event_id("INV").alias("id"),
         F.struct(F.col("o_orderkey").cast("string").alias("id"),
                  F.concat(F.lit("ov"), F.col("o_custkey")).alias("versionId")).alias("order"),
         F.concat(F.date_format("o_orderdate", _TS_TEXT), F.lit(FEED_OFFSET)).alias("orderDate"),
@@ -349,8 +304,14 @@ def customer_orders(orders: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _charge_feed_base(events: DataFrame) -> DataFrame:
-    """One row per event: kind, housekeeping, invoice, ``_charges`` and tail."""
-    ts = F.col("ts")
+    """One row per event: kind, housekeeping, invoice, ``_charges`` and tail.
+
+    Event days are spread over ``FEED_DAYS`` days by the event id, so a
+    charge key is published in several months.
+    """
+    ts = F.col("ts") + F.make_dt_interval(days=F.pmod(F.col("event_id"), F.lit(FEED_DAYS)).cast("int"))
+    form = F.element_at(F.array(*[F.lit(s) for s in OFFSET_FORMS]),
+                        (F.pmod(F.col("event_id"), F.lit(len(OFFSET_FORMS))) + 1).cast("int"))
     handling = F.get_json_object("props", "$.k").cast("decimal(13,2)")
     charges = F.array(
         F.struct(F.lit("convenience_fee").alias("convenience_charge_name"),
@@ -374,7 +335,7 @@ def _charge_feed_base(events: DataFrame) -> DataFrame:
         ts.cast("date").alias("invoiced_on_date"),
         F.concat(F.date_format(ts, _TS_TEXT), F.lit(FEED_OFFSET)).alias("invoiced_on_datetime"),
         (ts + F.expr("INTERVAL 8 HOURS")).alias("invoiced_on_datetime_utc"),
-        F.concat(F.date_format(ts, _TS_TEXT_MS), F.lit(FEED_OFFSET)).alias("published_time"),
+        F.concat(F.date_format(ts, _TS_TEXT_MS), form).alias("published_time"),
     )
 
 

@@ -30,18 +30,21 @@ from orderloom.streaming.metrics import observe_counts
 def release_rules() -> list[dq.Rule]:
     d = F.col("data.releaseEventDetails")
     return [("release_id_present", d["id"].isNotNull()),
-            ("order_id_present", d["orderId"].isNotNull())]
+            ("order_id_present", d["orderId"].isNotNull()),
+            ("release_status_known", d["releaseStatus"].isin("F", "O"))]
 
 
-def invoice_rules() -> list[dq.Rule]:
+def invoice_rules(section: str) -> list[dq.Rule]:
     d = F.col("data.invoiceEventDetail")
     return [("invoice_id_present", d["id"].isNotNull()),
-            ("published_time_parses", F.col("data.publishedTime").try_cast("timestamp").isNotNull())]
+            ("published_time_parses", F.col("data.publishedTime").try_cast("timestamp").isNotNull()),
+            ("charges_present", F.size(d[section]["convenienceCharges"]) > 0)]
 
 
 def charge_rules() -> list[dq.Rule]:
     return [("invoice_id_present", F.col("invoice_id").isNotNull()),
-            ("published_time_present", F.col("published_time").isNotNull())]
+            ("published_time_present", F.col("published_time").isNotNull()),
+            ("charge_amount_positive", F.col("charge.amount") > 0)]
 
 
 def _stream(spark: SparkSession, cfg: JobConfig, i: int) -> DataFrame:
@@ -77,7 +80,7 @@ def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None
     instead (inside ``foreachBatch``), so SKUs added while a long-running
     job is up are joined from the next batch on.
     """
-    tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules())
+    tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules() + release.price_rules())
     if fresh_sku and sku is None:
         sku_path = cfg.source_paths[1]
 
@@ -95,7 +98,7 @@ def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str,
     values overflow their decimals fail ``charge_values_fit`` /
     ``tax_values_fit`` (K18) and, with ``split_bad_rows``, go to quarantine."""
     stream = _stream(spark, cfg, 0)
-    tagged = dq.tag_rows(stream, invoice_rules() + invoice.cast_rules(stream, section))
+    tagged = dq.tag_rows(stream, invoice_rules(section) + invoice.cast_rules(stream, section))
     if split_bad_rows and cfg.bad_records_location:
         out = _finish(invoice.preference_flatten(tagged, section), cfg, "published_time_utc")
         return split_quarantine_stream(out, cfg)
@@ -108,9 +111,10 @@ def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
     """Four charge streams (``source_paths[0..3]``) and the customer-order
     table (``source_paths[4]``, re-read in every micro-batch so it is never
     stale) -> latest-wins upsert into ``output_path``."""
-    streams = {kind: dq.tag_rows(_stream(spark, cfg, i), charge_rules())
-               for i, (kind, _label) in enumerate(CHARGE_KINDS)}
-    charges = _finish(ch.convenience_charges(None, streams), cfg, "published_time_utc")
+    streams = {kind: _stream(spark, cfg, i) for i, (kind, _label) in enumerate(CHARGE_KINDS)}
+    tagged = dq.tag_rows(ch.charge_union(streams), charge_rules())
+    charges = _finish(ch.finish_charges(tagged, None), cfg, "published_time_utc")
+    up.create_if_absent(spark, cfg.output_path, charges.schema)
     orders_path = cfg.source_paths[4]
 
     def with_order_check(batch: DataFrame) -> DataFrame:
@@ -119,8 +123,7 @@ def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
                 .drop("cust_order_id"))
 
     writer = up.upsert_writer(cfg.output_path, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN,
-                              ch.CHARGE_TIE_BREAK, buckets, prepare=with_order_check,
-                              cluster_by=ch.storage_clusters())
+                              ch.CHARGE_TIE_BREAK, buckets, prepare=with_order_check)
     return foreach_batch_stream(charges, cfg, writer)
 
 

@@ -7,7 +7,7 @@ dynamic partition overwrite.  Cost per batch is O(batch + touched buckets),
 not O(table).
 
 Ordering: a larger sort value wins; a null sort value loses to any dated
-row; on equal sort values the later batch wins, then the tie-break columns.
+row; on equal sort values the tie-break columns decide, then the later batch.
 Keys match null-safely (grouping treats nulls as equal, K17).
 
 Replay safety: re-applying the same batch yields the same table (latest-wins
@@ -28,15 +28,15 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.operators.dedupe import latest_per_key
 
 BATCH_COL = "_batch_id"
 BUCKET_COL = "_bucket"
 NBUCKETS_COL = "_n_buckets"
-PART_PREFIX = "_part_"
 DEFAULT_BUCKETS = 64
 
 
@@ -52,80 +52,65 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
     t = read_table(spark, path)
     if t is None:
         return None
-    return t.drop(BATCH_COL, BUCKET_COL, NBUCKETS_COL,
-                  *[c for c in t.columns if c.startswith(PART_PREFIX)])
+    return t.drop(BATCH_COL, BUCKET_COL, NBUCKETS_COL)
+
+
+def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table, so that readers find it before the first batch."""
+    if read_table(spark, path) is None:
+        stored = T.StructType([*schema.fields, T.StructField(BATCH_COL, T.LongType()),
+                               T.StructField(NBUCKETS_COL, T.IntegerType())])
+        spark.createDataFrame([], stored).write.parquet(f"{path}/{BUCKET_COL}=0")
 
 
 def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
            batch_id: int, tie_break: Sequence[str] = (),
-           buckets: int = DEFAULT_BUCKETS,
-           cluster_by: dict[str, Column] | None = None,
-           files_per_folder: int = 1) -> None:
+           buckets: int = DEFAULT_BUCKETS, files_per_folder: int = 1) -> None:
     """Merge ``batch`` into the table at ``path`` (latest wins per key).
 
-    ``cluster_by`` adds folder levels above the hash bucket, e.g.
-    ``{"month": F.trunc("order_date", "month")}``.  Each expression must be
-    determined by the key (a key never moves between folders).  When changes
-    concentrate on recent data, a batch then rewrites only the recent
-    (month, bucket) folders instead of one folder per bucket across all time.
-
     The rewrite is clustered by folder; ``files_per_folder`` > 1 spreads each
     folder over that many tasks (and files) by a hash of the key, for tables
     whose folders are large (say a hot recent month at scale).  AQE merges
     the small shuffle partitions back together.
     """
     spark = batch.sparkSession
-    parts = {f"{PART_PREFIX}{n}": e for n, e in (cluster_by or {}).items()}
     b = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-    for n, e in parts.items():
-        b = b.withColumn(n, e)
     b = b.withColumn(BUCKET_COL, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
     # the bucket count travels with every row (one run-length-encoded int), so
     # an upsert with another count -- which would place a key in a different
     # folder and duplicate it -- is refused instead of corrupting the table
     b = b.withColumn(NBUCKETS_COL, F.lit(buckets).cast("int"))
-    layout = [*parts, BUCKET_COL]
     b = b.persist(StorageLevel.MEMORY_AND_DISK)  # used twice: folder list + merge
     try:
-        # touched folders: at most (folders per level) x buckets small rows
-        combos = b.select(*layout).distinct().collect()
-        if not combos:
+        # touched folders: at most ``buckets`` numbers
+        touched = [r[0] for r in b.select(BUCKET_COL).distinct().collect()]
+        if not touched:
             return
-        touched = {c: sorted({r[c] for r in combos}, key=repr) for c in layout}
         stored = read_table(spark, path)
         merged = b
         if stored is not None:
             seen = stored.select(NBUCKETS_COL).limit(1).collect()
             if seen and seen[0][0] != buckets:
                 raise ValueError(f"table at {path} has {seen[0][0]} buckets, upsert asked for {buckets}")
-            cond = None
-            for c, vals in touched.items():
-                v = [x for x in vals if x is not None]
-                one = F.col(c).isin(v) if v else F.lit(False)
-                if len(v) < len(vals):
-                    one = one | F.col(c).isNull()
-                cond = one if cond is None else cond & one
-            merged = stored.filter(cond).unionByName(b)
-        latest = latest_per_key(merged, keys, sort_col, [BATCH_COL, *tie_break])
-        spread = [F.col(c) for c in layout]
+            merged = stored.filter(F.col(BUCKET_COL).isin(touched)).unionByName(b)
+        latest = latest_per_key(merged, keys, sort_col, [*tie_break, BATCH_COL])
+        spread = [F.col(BUCKET_COL)]
         if files_per_folder > 1:
             spread.append(F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(7)),
                                  F.lit(files_per_folder)))
         (latest.repartition(*spread).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(path))
     finally:
         b.unpersist()
 
 
 def upsert_writer(path: str, keys: Sequence[str], sort_col: str,
                   tie_break: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
-                  prepare=None, cluster_by: dict[str, Column] | None = None,
-                  files_per_folder: int = 1):
+                  prepare=None, files_per_folder: int = 1):
     """``foreachBatch`` callback; ``prepare(batch_df)`` runs first if given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         df = prepare(batch_df) if prepare is not None else batch_df
         if "epoch_id" in df.columns:  # audit column: the micro-batch id
             df = df.withColumn("epoch_id", F.lit(batch_id).cast("bigint"))
-        upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, cluster_by,
-               files_per_folder)
+        upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, files_per_folder)
     return write

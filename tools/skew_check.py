@@ -25,8 +25,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from orderloom.operators import dedupe, joins, ranking  # noqa: E402
 from orderloom.session import SESSION_DEFAULTS  # noqa: E402
-from orderloom.sources.events import (attach_to_parents, nest_children,  # noqa: E402
-                                      nest_children_split)
+from orderloom.sources.events import nest_children  # noqa: E402
 
 
 def main() -> None:
@@ -59,10 +58,14 @@ def main() -> None:
         "remove_duplicates": lambda: dedupe.remove_duplicates(df, ["k"], ["v"]),
         "duplicate_keys": lambda: dedupe.duplicate_keys(df, ["k"]),
         "top_n_per_group": lambda: ranking.top_n_per_group(df, ["k"], "v", 3, "row_number"),
-        "nest_children": lambda: nest_children(df.select("k", "line", "v"), "k", "items", 256),
-        "nest + attach_to_parents": lambda: attach_to_parents(
-            spark.range(0, n, 1, 16).select(F.col("id").alias("pk"), (F.col("id") % 5).alias("h")), "pk",
-            nest_children_split(df.select("k", "line", "v"), "k", "items", 256), "k"),
+        # an order's lines are nested by ship node (here 1000 of them)
+        "nest_children": lambda: nest_children(df.select("k", F.col("ts").alias("node"), "line", "v"),
+                                               ["k", "node"], "items"),
+        # a third of all rows share the top value
+        "nth_highest (rank, ties)": lambda: ranking.nth_highest(
+            df.select("v", F.when(F.col("k") == 0, F.lit(n)).otherwise(F.col("ts")).alias("s")), "s", 1, "rank"),
+        "top_n_per_group (dense_rank, ties)": lambda: ranking.top_n_per_group(
+            df.select("line", F.when(F.col("k") == 0, F.lit(n)).otherwise(F.col("ts")).alias("s")), ["line"], "s", 3),
         "join_dimension (shuffle path)": lambda: joins.join_dimension(
             df, spark.range(0, n, 1, 16).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("w")),
             F.col("k") == F.col("dk"), "inner", max_bytes=1),

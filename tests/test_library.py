@@ -78,42 +78,12 @@ def test_dq_split(spark):
     assert [r.failed_rule_id for r in dq.quarantined(tagged).collect()] == [["not_null_t"]]
 
 
-def test_release_items_stream_stream_bounded(spark, tmp_dir):
-    from orderloom.plans import release
-    item = "struct<releaseLineNumber:string,orderLineNumber:string,quantity:int,shipNode:string," \
-           "isBackOrder:boolean,releaseAdjustStatus:struct<releaseAdjustType:string,releaseAdjustDate:string>," \
-           "product:struct<skuNumber:string,productTypeName:string,itemStyleNumber:string,skuBrand:string," \
-           "itemStyleDescriptions:array<struct<locale:string,text:string>>," \
-           "itemDescriptions:array<struct<locale:string,text:string>>," \
-           "itemSizeDescriptions:array<struct<locale:string,text:string>>," \
-           "itemColorDescriptions:array<struct<locale:string,text:string>>," \
-           "price:struct<currentPrice:double,paidPrice:double,listPrice:double,retailPrice:double>>>"
-    schema = ("processed_timestamp timestamp, processed_by string, epoch_id bigint, latency double, "
-              f"data struct<versionId:string,publishedTime:string,releaseEventDetails:struct<id:string,"
-              f"releaseItems:array<{item}>>>, failed_rule_id array<string>, dq_processed_timestamp timestamp")
-
-    def line(sku):
-        return ("1", "1", 1, "S", False, ("A", "2024-01-01"), (sku, "T", "s", "b", [], [], [], [], (1.0, 1.0, 1.0, 1.0)))
-    ev_rows = [(None, "x", 0, 0.0, ("v1", "2024-01-01T12:00:00Z", ("R1", [line("A"), line("B")])), [], None)]
-    t0 = dt.datetime(2024, 1, 1, 12)
-    sku_rows = [(t0 + dt.timedelta(minutes=10), "A", "SKU-A"), (t0 + dt.timedelta(hours=5), "B", "SKU-B")]
-    ep, sp = os.path.join(tmp_dir, "ev"), os.path.join(tmp_dir, "sku")
-    spark.createDataFrame(ev_rows, schema).write.parquet(ep)
-    spark.createDataFrame(sku_rows, "processed_timestamp timestamp, sku_number string, sku_id string").write.parquet(sp)
-    out = release.release_items_bounded(read_table(spark, ep, stream=True), read_table(spark, sp, stream=True),
-                                        delay="1 hour", before="1 hour", after="1 hour")
-    cfg = JobConfig("rb", (ep, sp), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
-    run_to_end(append_stream(out, cfg))
-    assert [r.sku_id for r in spark.read.parquet(cfg.output_path).collect()] == ["SKU-A"]
-
-
 def test_release_job_stamps_latency(spark, tmp_dir):
     from orderloom.sources import events as ev
     from orderloom.sources.tables import load
     from orderloom.streaming import pipelines as jobs
     src = os.path.join(tmp_dir, "ev")
-    ev.release_events(load(spark, "/root/testdata/sf0.001", "orders"),
-                      load(spark, "/root/testdata/sf0.001", "lineitem")).write.parquet(src)
+    ev.release_headers(load(spark, "/root/testdata/sf0.001", "orders")).write.parquet(src)
     cfg = JobConfig("rel", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"), run_id="r42")
     run_to_end(jobs.release_job(spark, cfg))
     out = spark.read.parquet(cfg.output_path)
@@ -135,8 +105,7 @@ def test_stream_job_reports_observed_counts(spark, tmp_dir):
     from orderloom.sources.tables import load
     from orderloom.streaming import pipelines as jobs
     src = os.path.join(tmp_dir, "ev")
-    ev.release_events(load(spark, "/root/testdata/sf0.001", "orders"),
-                      load(spark, "/root/testdata/sf0.001", "lineitem")).write.parquet(src)
+    ev.release_headers(load(spark, "/root/testdata/sf0.001", "orders")).write.parquet(src)
     cfg = JobConfig("relm", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
     q = jobs.release_job(spark, cfg)
     run_to_end(q)
@@ -169,3 +138,67 @@ def test_write_table_layout(spark, tmp_dir):
     sinks.write_table(df.repartition(6), q, mode="overwrite", partitions=2, coalesce=True)
     assert len([f for f in os.listdir(q) if f.endswith(".parquet")]) == 2
     assert spark.read.parquet(q).count() == 100
+
+
+def test_pair_counts_are_exact(spark):
+    from orderloom.operators.joins import _pairs
+    rows = spark.createDataFrame([(0,), (1,), (2,), (200_000_003,), (4_000_000_000,)], "n long")
+    got = [r[0] for r in rows.select(_pairs("n")).collect()]
+    assert got == [n * (n - 1) // 2 for n in (0, 1, 2, 200_000_003, 4_000_000_000)]
+
+
+def test_last_six_months_keeps_the_time_of_day(spark, tmp_dir):
+    import duckdb
+    from orderloom.plans import q_relational as q
+    rows = [(1, dt.datetime(2024, 8, 31, 18), 1.0), (2, dt.datetime(2024, 2, 29, 17), 1.0),
+            (3, dt.datetime(2024, 2, 29, 18), 1.0), (4, dt.datetime(2024, 3, 1), 1.0)]
+    (spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double")
+     .coalesce(1).write.parquet(os.path.join(tmp_dir, "orders.parquet")))
+    got = sorted(r[0] for r in q.q_last_six_months(spark, tmp_dir).collect())
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW orders AS SELECT * FROM '{tmp_dir}/orders.parquet/*.parquet'")
+    assert got == sorted(r[0] for r in c.execute(q.ORACLES["last_six_months"]).fetchall()) == [1, 3, 4]
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from orderloom import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session())
+
+
+def test_rates_before_the_first_and_after_the_last_version(spark):
+    from orderloom.operators.joins import effective_dated_join
+    from orderloom.plans.q_relational import rate_versions
+    supplier = spark.createDataFrame([(1, 100.0)], "s_suppkey long, s_acctbal double")
+    lines = spark.createDataFrame([(1, dt.date(1980, 1, 1)), (1, dt.date(1995, 5, 5)), (1, dt.date(2030, 1, 1))],
+                                  "l_suppkey long, d date")
+    out = effective_dated_join(lines, rate_versions(supplier), "l_suppkey", "d").orderBy("d").collect()
+    assert [float(r["supplier_rate"]) for r in out] == [100.0, 103.0, 110.0]
+
+
+def test_ranks_with_heavy_ties(spark):
+    from orderloom.operators import ranking
+    rows = [(i, "a", 10 if i < 40 else 9 if i < 45 else i % 9) for i in range(100)] + [(200, "a", None), (201, "b", None)]
+    df = spark.createDataFrame(rows, "id int, g string, v int")
+    for kind in ("rank", "dense_rank"):
+        for n in (1, 2, 3, 41, 46):
+            want = ranking.ranked(df, "v", kind).filter(F.col("rnk") == n)
+            got = ranking.nth_highest(df, "v", n, kind)
+            assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), (kind, n)
+        want = ranking.ranked(df, "v", kind, ["g"]).filter("rnk <= 2")
+        got = ranking.top_n_per_group(df, ["g"], "v", 2, kind)
+        assert sorted(map(tuple, got.select("id", "rnk").collect())) == sorted(map(tuple, want.select("id", "rnk").collect()))

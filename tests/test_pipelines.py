@@ -27,7 +27,8 @@ def test_release_contract(spark):
         "country_code", "parent_ship_node", "in_home_delivery_date", "stock_order_download_version",
         "release_status"] + DQ_COLUMNS
     assert out.schema["order_date"].dataType == T.StringType()  # text at this layer
-    assert out.count() == load(spark, SF, "orders").count()
+    headers = release.release_flatten(ev.release_headers(load(spark, SF, "orders")))
+    assert headers.columns == out.columns and headers.count() == load(spark, SF, "orders").count()
 
 
 def test_release_item_contract(spark):

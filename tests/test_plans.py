@@ -70,7 +70,6 @@ def test_connection_counts_do_not_pair_rows(spark):
 def test_measured_bytes_counts_actual_text(spark):
     df = spark.createDataFrame([("x" * 100, 1), ("y" * 50, 2)], "s string, i int")
     assert joins.measured_bytes(df) == 2 * (16 + 4) + 150
-    assert joins.measured_bytes(df, limit_bytes=30) == 31   # rejected by the row probe
 
 
 def test_no_python_udf_or_pairing_join_in_any_query(spark):
@@ -83,3 +82,15 @@ def test_no_python_udf_or_pairing_join_in_any_query(spark):
         plan = _formatted(q(spark, SF))
         found = [b for b in banned if b in plan]
         assert not found, (name, found)
+
+
+def test_header_query_reads_orders_alone(spark):
+    from orderloom.plans import q_pipelines as q
+    plan = _formatted(q.q_release_flatten(spark, SF))
+    assert "lineitem" not in plan and plan.count("Scan parquet") <= 2
+
+
+def test_effective_dated_join_broadcasts_the_measured_versions(spark):
+    from orderloom.plans import q_relational as q
+    plan = _formatted(q.q_effective_dated_join(spark, SF))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

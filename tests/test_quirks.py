@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from orderloom.functions import casts
 from orderloom.functions.time import published_time_strict, utc_instant, event_time_triplet
 from orderloom.operators.dedupe import latest_per_key
-from orderloom.operators.explode import explode_cross, explode_items, flatten_distinct
+from orderloom.operators.explode import explode_items, flatten_distinct
 from orderloom.plans import charges as ch
 from orderloom.plans import release
 from orderloom.schemas import CHARGE_ARRAY, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN
@@ -23,13 +23,11 @@ def _events(spark, rows):
     return spark.createDataFrame([(((rid, items),),) for rid, items in rows], EVT)
 
 
-def test_k1_correlated_vs_cross_explode(spark):
+def test_k1_correlated_explode(spark):
     ev = _events(spark, [("R1", [("1", ("A",)), ("2", ("B",))])])
     correlated = release.release_lines(ev)
     assert correlated.count() == 2
     assert sorted(r[0] for r in correlated.select("release_item.product.skuNumber").collect()) == ["A", "B"]
-    cross = explode_cross(ev, "data.releaseEventDetails.releaseItems", "product")
-    assert cross.count() == 4
 
 
 def test_k2_null_and_empty_arrays(spark):

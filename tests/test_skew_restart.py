@@ -29,15 +29,22 @@ def _hot_lines(spark, n=3000):
         F.col("id").alias("l_partkey"))
 
 
-def test_hot_parent_is_split_into_bounded_events(spark):
-    lines = _hot_lines(spark)
-    nested = ev.nest_children(lines, "l_orderkey", "items", max_items=64)
-    sizes = nested.select("l_orderkey", "piece", F.size("items").alias("n"))
-    hot = sizes.filter(F.col("l_orderkey") == 0).collect()
-    assert sum(r.n for r in hot) == 1000            # every child kept
-    assert len(hot) == 16                            # ceil(1000 / 64) pieces
-    assert max(r.n for r in hot) <= 2 * 64           # bounded (hash-balanced)
-    assert nested.agg(F.sum(F.size("items"))).first()[0] == 3000
+def test_hot_order_is_spread_over_its_ship_nodes(spark):
+    """An order with a third of all lines is as many events as it has ship
+    nodes; every line is kept and no event holds more than its node's lines."""
+    lines = load(spark, SF, "lineitem")
+    orders = load(spark, SF, "orders")
+    n = lines.count()
+    key = lines.groupBy("l_orderkey").count().orderBy(F.desc("count")).first()["l_orderkey"]
+    hot = lines.filter(F.col("l_orderkey") != key).limit(n // 2).withColumn("l_orderkey", F.lit(key).cast("long"))
+    big = lines.unionByName(hot.withColumn("l_orderkey", F.col("l_orderkey").cast(lines.schema["l_orderkey"].dataType)))
+    d = F.col("data.releaseEventDetails")
+    events = ev.release_events(orders, big).select(
+        d["id"].alias("id"), d["orderId"].alias("o"), F.size(d["releaseItems"]).alias("n")).collect()
+    want = {(r["l_orderkey"], r["l_suppkey"]): r["count"] for r in big.groupBy("l_orderkey", "l_suppkey").count().collect()}
+    got = {r["id"]: r["n"] for r in events if (r["n"] or 0) > 0}
+    assert got == {f"R{o}-{s}": c for (o, s), c in want.items()}
+    assert max(got.values()) <= max(want.values()) < n // 6
 
 
 def test_latest_per_key_with_hot_key(spark):
@@ -160,25 +167,3 @@ def test_layered_streams_equal_batch_pipeline(spark, tmp_dir):
             "convenience_charge_name", "convenience_charge_amount", "published_time_utc"]
     assert got.count() == batch.count() > 0
     assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
-
-
-def test_hot_order_pieces_become_separate_events(spark):
-    """An order with more lines than the bound becomes several release events
-    (one per piece), each with the order's header, all lines kept."""
-    lines = load(spark, SF, "lineitem")
-    orders = load(spark, SF, "orders")
-    hot_key = lines.groupBy("l_orderkey").count().orderBy(F.desc("count")).first()["l_orderkey"]
-    # make one order hot: give it 600 extra copies of its lines
-    extra = (lines.filter(F.col("l_orderkey") == hot_key)
-             .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(599))))
-             .withColumn("l_partkey", F.col("l_partkey") + F.col("_copy") * 100000).drop("_copy"))
-    big = lines.unionByName(extra)
-    n_hot_lines = big.filter(F.col("l_orderkey") == hot_key).count()
-    events = ev.release_events(orders, big, max_items=256)
-    d = F.col("data.releaseEventDetails")
-    hot = events.filter(d["orderId"] == str(hot_key)).select(d["id"].alias("id"), F.size(d["releaseItems"]).alias("n"))
-    rows = hot.collect()
-    assert len(rows) == -(-n_hot_lines // 256)           # ceil(n / 256) events
-    assert sum(r.n for r in rows) == n_hot_lines
-    assert len({r.id for r in rows}) == len(rows)
-    assert events.count() == orders.count() - 1 + len(rows)

@@ -109,20 +109,57 @@ def test_stream_quarantine_split_is_exactly_once(spark, tmp_dir):
     assert bad.filter(F.col("k").isNotNull()).count() == 0
 
 
-def test_clustered_upsert_rewrites_only_touched_months(spark, tmp_dir):
+def test_key_that_moves_between_months_stays_one_row(spark, tmp_dir):
+    """Every key is re-published in another month; one row a key is left."""
     p = os.path.join(tmp_dir, "t")
-    month = {"month": F.trunc(F.col("ts").cast("date"), "month")}
     old = [(f"k{i}", dt.datetime(2023, 1 + i % 6, 1, 1), i) for i in range(60)]
-    up.upsert(spark.createDataFrame(old, SCHEMA), p, KEYS, "ts", 0, buckets=4, cluster_by=month)
-    jan = os.path.join(p, "_part_month=2023-01-01")
-    before = {f for _, _, fs in os.walk(jan) for f in fs if f.endswith(".parquet")}
-    new = [("k1", dt.datetime(2023, 2, 1, 5), 100), ("k7", dt.datetime(2023, 2, 2, 5), 101)]
-    up.upsert(spark.createDataFrame(new, SCHEMA), p, KEYS, "ts", 1, buckets=4, cluster_by=month)
-    after = {f for _, _, fs in os.walk(jan) for f in fs if f.endswith(".parquet")}
-    assert before == after                      # January folders untouched
+    up.upsert(spark.createDataFrame(old, SCHEMA), p, KEYS, "ts", 0, buckets=4)
+    new = [(f"k{i}", dt.datetime(2023, 7 + i % 5, 1, 1), 100 + i) for i in range(60)]
+    up.upsert(spark.createDataFrame(new, SCHEMA), p, KEYS, "ts", 1, buckets=4)
     rows = {r.k: r.v for r in up.read_current(spark, p).collect()}
-    assert len(rows) == 60 and rows["k1"] == 100 and rows["k7"] == 101
-    assert "_part_month" not in up.read_current(spark, p).columns
+    assert up.read_current(spark, p).count() == 60 and rows == {f"k{i}": 100 + i for i in range(60)}
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    up.upsert(spark.createDataFrame([(f"k{i}", _t(1), i) for i in range(60)], SCHEMA), p, KEYS, "ts", 0, buckets=8)
+    files = lambda: {os.path.join(d, f) for d, _, fs in os.walk(p) for f in fs if f.endswith(".parquet")}
+    before = files()
+    up.upsert(spark.createDataFrame([("k1", _t(2), 100)], SCHEMA), p, KEYS, "ts", 1, buckets=8)
+    assert len({os.path.dirname(f) for f in before - files()}) == 1
+    assert up.read_current(spark, p).count() == 60
+
+
+def test_empty_stream_leaves_an_empty_table(spark, tmp_dir):
+    from orderloom.schemas import CHARGE_KINDS
+    from orderloom.sources import events as ev
+    from orderloom.sources.tables import load
+    from orderloom.streaming import pipelines as jobs
+    sf = "/root/testdata/sf0.001"
+    feed = ev.charge_feed(load(spark, sf, "events").limit(0))
+    srcs = [os.path.join(tmp_dir, k) for k, _ in CHARGE_KINDS]
+    for (k, _), path in zip(CHARGE_KINDS, srcs):
+        feed[k].write.parquet(path)
+    orders = os.path.join(tmp_dir, "orders")
+    ev.customer_orders(load(spark, sf, "orders")).write.parquet(orders)
+    cfg = JobConfig("cc", (*srcs, orders), os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "ck"))
+    run_to_end(jobs.convenience_charge_job(spark, cfg, buckets=4))
+    table = up.read_current(spark, cfg.output_path)
+    assert table.count() == 0 and "convenience_charge_amount" in table.columns
+    src = os.path.join(tmp_dir, "rel")
+    ev.release_headers(load(spark, sf, "orders").limit(0)).write.parquet(src)
+    cfg = JobConfig("rel", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck2"))
+    run_to_end(jobs.release_job(spark, cfg))
+    assert spark.read.parquet(cfg.output_path).count() == 0
+
+
+def test_run_to_end_with_a_passed_limit_raises(spark, tmp_dir):
+    import pytest
+    src = _stage(spark, tmp_dir, "slow", [(str(i), _t(i % 24), i) for i in range(40)], 20)
+    cfg = JobConfig("slow", (src,), os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"))
+    s = read_table(spark, src, stream=True, max_files_per_trigger=1)
+    with pytest.raises(TimeoutError):
+        run_to_end(append_stream(s, cfg), timeout_s=0.5)
 
 
 def test_oversized_folder_is_split_over_tasks(spark, tmp_dir):

@@ -22,8 +22,8 @@ from orderloom.plans import invoice, release
 from orderloom.schemas import CHARGE_KINDS, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN
 from orderloom.sources.tables import read_table
 from orderloom.streaming import upsert as up
-from orderloom.streaming.jobs import (JobConfig, append_stream, batch_folder_stream,
-                                      foreach_batch_stream, split_quarantine_stream)
+from orderloom.streaming.jobs import (JobConfig, batch_folder_stream, curated_stream,
+                                      foreach_batch_stream, split_rows)
 from orderloom.streaming.metrics import observe_counts
 
 
@@ -59,15 +59,13 @@ def _finish(df: DataFrame, cfg: JobConfig, published_utc=None) -> DataFrame:
     return observe_counts(df, f"{cfg.name}_metrics")
 
 
-def release_job(spark: SparkSession, cfg: JobConfig, split_bad_rows: bool = False) -> StreamingQuery:
+def release_job(spark: SparkSession, cfg: JobConfig) -> StreamingQuery:
     """Release header job.  Rows are tagged, not dropped (every curated table
-    carries the DQ columns); ``split_bad_rows`` sends failing rows to
-    ``bad_records_location`` instead."""
+    carries the DQ columns); ``cfg.split_bad_rows`` sends failing rows to
+    ``cfg.bad_records_location`` instead, as in every job here."""
     tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules())
     out = _finish(release.release_flatten(tagged), cfg, utc_instant("event_published_time"))
-    if split_bad_rows and cfg.bad_records_location:
-        return split_quarantine_stream(out, cfg)
-    return append_stream(out, cfg)
+    return curated_stream(out, cfg)
 
 
 def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None = None,
@@ -85,25 +83,20 @@ def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None
         sku_path = cfg.source_paths[1]
 
         def per_batch(batch: DataFrame, _batch_id: int):
-            items = release.release_items(batch, read_table(spark, sku_path))
-            return [(stamp_audit(items, cfg.processed_by), cfg.output_path)]
+            items = stamp_audit(release.release_items(batch, read_table(spark, sku_path)), cfg.processed_by)
+            return split_rows(items, cfg) if cfg.quarantine else [(items, cfg.output_path)]
         return batch_folder_stream(tagged, cfg, per_batch)
     dim = sku if sku is not None else read_table(spark, cfg.source_paths[1])
-    return append_stream(_finish(release.release_items(tagged, dim), cfg), cfg)
+    return curated_stream(_finish(release.release_items(tagged, dim), cfg), cfg)
 
 
-def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str,
-                        split_bad_rows: bool = False) -> StreamingQuery:
+def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str) -> StreamingQuery:
     """One invoice section to its base+1 table; rows whose charge or tax
     values overflow their decimals fail ``charge_values_fit`` /
-    ``tax_values_fit`` (K18) and, with ``split_bad_rows``, go to quarantine."""
+    ``tax_values_fit`` (K18)."""
     stream = _stream(spark, cfg, 0)
     tagged = dq.tag_rows(stream, invoice_rules(section) + invoice.cast_rules(stream, section))
-    if split_bad_rows and cfg.bad_records_location:
-        out = _finish(invoice.preference_flatten(tagged, section), cfg, "published_time_utc")
-        return split_quarantine_stream(out, cfg)
-    return append_stream(_finish(invoice.preference_flatten(tagged, section), cfg,
-                                 "published_time_utc"), cfg)
+    return curated_stream(_finish(invoice.preference_flatten(tagged, section), cfg, "published_time_utc"), cfg)
 
 
 def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
@@ -117,7 +110,10 @@ def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
     up.create_if_absent(spark, cfg.output_path, charges.schema)
     orders_path = cfg.source_paths[4]
 
-    def with_order_check(batch: DataFrame) -> DataFrame:
+    def with_order_check(batch: DataFrame, batch_id: int) -> DataFrame:
+        if cfg.quarantine:  # a folder a batch: a retried batch replaces its own
+            dq.quarantined(batch).write.mode("overwrite").parquet(f"{cfg.quarantine}/batch_id={batch_id}")
+            batch = dq.passed(batch)
         keys = ch.order_keys(read_table(spark, orders_path))
         return (batch.join(keys, F.col("order_id") == F.col("cust_order_id"), "left")
                 .drop("cust_order_id"))

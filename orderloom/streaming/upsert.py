@@ -107,9 +107,9 @@ def upsert(batch: DataFrame, path: str, keys: Sequence[str], sort_col: str,
 def upsert_writer(path: str, keys: Sequence[str], sort_col: str,
                   tie_break: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS,
                   prepare=None, files_per_folder: int = 1):
-    """``foreachBatch`` callback; ``prepare(batch_df)`` runs first if given."""
+    """``foreachBatch`` callback; ``prepare(batch_df, batch_id)`` runs first if given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        df = prepare(batch_df) if prepare is not None else batch_df
+        df = prepare(batch_df, batch_id) if prepare is not None else batch_df
         if "epoch_id" in df.columns:  # audit column: the micro-batch id
             df = df.withColumn("epoch_id", F.lit(batch_id).cast("bigint"))
         upsert(df, path, keys, sort_col, batch_id, tie_break, buckets, files_per_folder)

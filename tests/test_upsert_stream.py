@@ -255,3 +255,27 @@ def test_append_stream_partitions_by_date(spark, tmp_dir):
     assert folders == ["d=2024-01-01", "d=2024-01-02", "d=2024-01-03"]
     one_day = spark.read.parquet(cfg.output_path).filter(F.col("d") == "2024-01-02")
     assert one_day.count() == 10
+
+
+def test_charge_job_puts_failing_rows_aside(spark, tmp_dir):
+    from orderloom.plans import charges as ch
+    from orderloom.schemas import CHARGE_KINDS
+    from orderloom.sources import events as ev
+    from orderloom.sources.tables import load
+    from orderloom.streaming import pipelines as jobs
+    sf = "/root/testdata/sf0.001"
+    events = load(spark, sf, "events").limit(400).withColumn(
+        "value", F.when(F.col("event_id") % 5 == 0, -F.abs("value")).otherwise(F.abs("value") + 1))
+    feed = ev.charge_feed(events)
+    srcs = [os.path.join(tmp_dir, k) for k, _ in CHARGE_KINDS]
+    for (k, _), path in zip(CHARGE_KINDS, srcs):
+        feed[k].write.parquet(path)
+    orders = os.path.join(tmp_dir, "orders")
+    ev.customer_orders(load(spark, sf, "orders")).write.parquet(orders)
+    cfg = JobConfig("cc", (*srcs, orders), os.path.join(tmp_dir, "table"), os.path.join(tmp_dir, "ck"),
+                    bad_records_location=os.path.join(tmp_dir, "bad"), split_bad_rows=True)
+    run_to_end(jobs.convenience_charge_job(spark, cfg, buckets=4))
+    bad = spark.read.parquet(cfg.bad_records_location)
+    union = ch.charge_union(ev.charge_feed(events))
+    assert bad.count() == union.filter(~F.coalesce(F.col("charge.amount") > 0, F.lit(False))).count() > 0
+    assert up.read_current(spark, cfg.output_path).filter("convenience_charge_amount <= 0").count() == 0

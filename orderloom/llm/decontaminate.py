@@ -150,9 +150,9 @@ def _scan_part(docs: DataFrame, windows: Windows, keep: list[str], text_col: str
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, text_col: str = "text",
-         item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+         item_id: str = "item_id", item_text: str = "text", prefix: str = "") -> DataFrame:
     """``keep`` columns of every row with n_words, n_hit, items (sorted ids),
-    and spans (byte ranges of hit runs of words)."""
+    and spans (byte ranges of hit runs of words), each named with the prefix."""
     parts = _parts(benchmark, item_id, item_text)
     if parts == 1:
         found = _scan_part(docs, Windows.of(_items(benchmark, 0, 1, item_id, item_text), window), keep, text_col)
@@ -171,8 +171,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = W
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"))
         merged = merged.withColumns({c: _union_runs(c) for c in ("__hits", "__spans")})
     n_hit = F.aggregate("__hits", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return merged.select(*[F.col(f"`{c}`") for c in keep], F.col("__n_words").alias("n_words"),
-                         n_hit.alias("n_hit"), F.col("__items").alias("items"), F.col("__spans").alias("spans"))
+    return merged.select(*[F.col(f"`{c}`") for c in keep], F.col("__n_words").alias(f"{prefix}n_words"),
+                         n_hit.alias(f"{prefix}n_hit"), F.col("__items").alias(f"{prefix}items"),
+                         F.col("__spans").alias(f"{prefix}spans"))
 
 
 def _union_runs(col: str):
@@ -188,16 +189,15 @@ def without_hits(docs: DataFrame, benchmark: DataFrame, remove: str = "documents
                  window: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated rows (``remove="documents"``) or with the
     hit spans cut out of their texts (``remove="spans"``)."""
-    found = scan(docs.select("*", F.col(f"`{text_col}`").alias("__text")), benchmark,
-                 [*docs.columns], window, text_col)
+    found = scan(docs, benchmark, [*docs.columns], window, text_col, prefix="__")
     if remove == "documents":
-        return found.where("n_hit = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+        return found.where("__n_hit = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
     raw = F.col(f"`{text_col}`").cast("binary")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
-    starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length(raw).cast("long")))
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["end"]))
+    starts = F.concat(F.transform("__spans", lambda s: s["start"]), F.array(F.octet_length(raw).cast("long")))
     kept = F.concat_ws("", F.transform(F.arrays_zip(ends.alias("e"), starts.alias("s")), lambda p: F.substring(
         raw, p["e"].cast("int") + 1, (p["s"] - p["e"]).cast("int")).cast("string")))
-    return found.withColumn("__cut", F.when(F.size("spans") > 0, kept).otherwise(F.col(f"`{text_col}`"))).select(
+    return found.withColumn("__cut", F.when(F.size("__spans") > 0, kept).otherwise(F.col(f"`{text_col}`"))).select(
         *[F.col("__cut").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -127,10 +127,10 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...
     ranked = F.transform(own, lambda s: F.struct(
         s["start"].alias("start"), F.array_position(wanted, s["kind"]).cast("int").alias("rank"),
         s["kind"].alias("kind"), s["end"].alias("end")))
-    findings = known.select("blob", ranked.alias("s")).groupBy("blob").agg(
+    findings = known.select(F.col("blob").alias("__found"), ranked.alias("s")).groupBy("__found").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("__spans")).where(F.size("__spans") > 0)
     findings = C.stored(findings, "secret-findings")
-    joined = addressed.join(findings, F.col("__blob") == F.col("blob"), "left")
+    joined = addressed.join(findings, F.col("__blob") == F.col("__found"), "left")
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns],
                          F.coalesce("__spans", F.array().cast(SPAN)).alias(out_col))
 

@@ -10,9 +10,12 @@ are further apart still shares a key nearly always: it is missed with a
 probability of 0.345 ** 8.)  Candidates are confirmed on full shingle sets.
 
 Equal sets are one node, so groups of copies never meet in a bucket.  In a
-bucket every node is first compared with the smallest; only nodes that are
-still in different components afterwards are compared with each other, so a
-group of near copies costs a number of comparisons in proportion to its size.
+bucket every node is first compared with the smallest.  Members that are in
+different components after that are compared with each other inside a task,
+each pair in the first bucket that it shares, if their signatures differ in
+at most ``FAR`` symbols (a pair at similarity 0.8 is further apart with a
+probability of about one in a million); a task gives back at most as many
+links as it has members.
 
 Defined cases: null and empty texts have an empty set, are linked with
 nothing and are their own component; a text of fewer words than a shingle
@@ -42,6 +45,9 @@ CHUNK_ERRORS = 1
 SYMBOL_BITS = 16
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 RADIUS = CHUNKS * (CHUNK_ERRORS + 1) - 1
+FAR = 24
+# Members of a bucket that one task compares with as many others.
+GROUP = 1024
 # Ids of this many bytes at most are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -120,13 +126,37 @@ def features(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, node) for every index key of each (node, sig)."""
+    """(key, slot, node) for every index key of each (node, sig); the slot is
+    the key's number of ``chunk_keys``."""
     for b in batches:
         if b.num_rows:
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u2").reshape(-1, SYMBOLS)
             keys = chunk_keys(sig)
             node = np.repeat(b.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([_long(keys.ravel()), pa.array(node, pa.int64())], names=["key", "node"])
+            slot = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(sig))
+            yield pa.RecordBatch.from_arrays([_long(keys.ravel()), pa.array(slot), pa.array(node, pa.int64())],
+                                             names=["key", "slot", "node"])
+
+
+# For each set of differing symbols of a chunk, the first choice of symbols
+# left out that covers it (-1: none).
+_COVER = np.array([next((j for j, out in enumerate(_LEFT_OUT) if not m & ~sum(1 << int(k) for k in out)), -1)
+                   for m in range(1 << CHUNK_SYMBOLS)], np.int16)
+
+
+def _first_slots(sig: np.ndarray) -> np.ndarray:
+    """The first slot, by chunk, whose key each two signatures share (-1:
+    none)."""
+    n = len(sig)
+    out = np.full((n, n), -1, np.int16)
+    for chunk in range(CHUNKS - 1, -1, -1):
+        differ = np.zeros((n, n), np.uint8)
+        for k in range(CHUNK_SYMBOLS):
+            s = sig[:, chunk * CHUNK_SYMBOLS + k]
+            differ |= (s[:, None] != s[None, :]).astype(np.uint8) << np.uint8(k)
+        cover = _COVER[differ]
+        out = np.where(cover >= 0, cover * CHUNKS + chunk, out)
+    return out
 
 
 def _node_sets(docs: DataFrame, nodes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
@@ -168,6 +198,118 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_co
     return both.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
 
+def _open_pairs(slot: int, cross: bool, first: int, block: np.ndarray, node: np.ndarray, root: np.ndarray,
+                sig: np.ndarray) -> np.ndarray:
+    """Which pairs of a bucket's members are to be compared here."""
+    n = len(node)
+    far = np.zeros((n, n), np.int16)
+    for k in range(SYMBOLS):
+        far += sig[:, None, k] != sig[None, :, k]
+    open_ = np.triu((far <= FAR) & (root[:, None] != root[None, :]), 1)
+    open_ &= (node != first)[:, None] & (node != first)[None, :]  # compared already
+    if cross:
+        open_ &= block[:, None] != block[None, :]
+    if open_.any():
+        some = np.flatnonzero(open_.any(axis=0) | open_.any(axis=1))
+        mine = np.zeros((n, n), bool)
+        mine[np.ix_(some, some)] = _first_slots(sig[some]) == slot
+        open_ &= mine
+    return open_
+
+
+def _similar(sets: list[np.ndarray], wanted: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the wanted pairs of sets have at least ``percent`` similarity;
+    intersections are counted over the elements that several sets hold."""
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = (np.cumsum(shared) - 1)[at]
+    owner, column = owner[shared[at]], column[shared[at]]
+    common = np.zeros(wanted.shape, np.float32)
+    for lo in range(0, int(shared.sum()), 4096):
+        m = np.zeros((len(sets), 4096), np.float32)
+        here = (column >= lo) & (column < lo + 4096)
+        m[owner[here], column[here] - lo] = 1
+        common += m @ m.T
+    common = common.astype(np.int64)
+    return wanted & (100 * common >= percent * (size[:, None] + size[None, :] - common))
+
+
+_BUCKET = ["key", "x", "y", "slot", "first", "block", "node", "root", "sig"]
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]):
+    """Each bucket part of sorted rows with its open pairs."""
+    for b in C.whole_groups(batches, 3):
+        c = [np.asarray(b.column(i)) for i in range(8)]
+        sig = np.frombuffer(b"".join(b.column(8).to_pylist()), "<u2").reshape(-1, SYMBOLS)
+        edges = np.append(C.run_starts(*c[:3]), len(sig)).tolist()
+        for a, z in zip(edges[:-1], edges[1:], strict=True):
+            s = slice(a, z)
+            yield b, s, c[6][s], c[7][s], _open_pairs(int(c[3][a]), c[1][a] != c[2][a], int(c[4][a]), c[5][s],
+                                                      c[6][s], c[7][s], sig[s])
+
+
+def _per_node(rows: DataFrame, node: list[str], listed: list[str], more: DataFrame) -> DataFrame:
+    """``rows`` with the columns that ``more`` has of each node: a node's rows
+    are listed first (one for each bucket part that it is in), so that the
+    join meets each node once."""
+    lists = rows.groupBy(*node).agg(F.collect_list(F.struct(*listed)).alias("_rows")).join(more, "node")
+    return lists.withColumn("_row", F.explode("_rows")).select("*", "_row.*").drop("_rows", "_row")
+
+
+def _links_apart(members: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame, width: int, percent: int,
+                 id_col: str, text_col: str) -> DataFrame:
+    """Links between members of one bucket in different components: enough
+    of them to join the components."""
+    rooted = members.where("n > 2").join(roots, "node", "left").select(
+        "key", "slot", "node", "first", "n", F.coalesce("root", "node").alias("root"))
+    open_ = (rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+             .where("a <> b").select("key"))
+    # A large bucket is compared in blocks, a task for each two of them.
+    blocks = F.ceil(F.col("n") / GROUP).cast("int")
+    rooted = _per_node(rooted.join(open_, "key"), ["node", "root"], ["key", "slot", "first", "n"],
+                       nodes.select("node", "sig"))
+    rooted = (rooted.withColumn("block", F.pmod(F.xxhash64("node", "key"), blocks).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+              .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, s, _, _, pairs in _buckets(batches):
+            if pairs.any():
+                yield b.slice(s.start, s.stop - s.start).filter(pa.array(pairs.any(axis=0) | pairs.any(axis=1)))
+
+    schema = ("key long, x int, y int, slot int, first long, block int, node long, root long, sig binary")
+    asks = C.stored(rooted.select(*_BUCKET).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+                    .mapInArrow(asked, schema), "neardup-asks")
+    sets = _node_sets(docs, C.stored(asks.select("node").distinct(), "neardup-open"), width, id_col, text_col)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, s, node, root, pairs in _buckets(batches):
+            found = _similar([np.frombuffer(x.as_buffer(), "<u8") for x in b.column(9)[s]], pairs, percent)
+            joined: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while x in joined:
+                    x = joined[x]
+                return x
+
+            us, vs = [], []
+            for i, j in zip(*np.nonzero(found), strict=True):
+                p, q = top(int(root[i])), top(int(root[j]))
+                if p != q:
+                    joined[p] = q
+                    us.append(node[i])
+                    vs.append(node[j])
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    asks = _per_node(asks, ["node", "root"], [c for c in _BUCKET if c not in ("node", "root", "sig")],
+                     sets.join(nodes.select("node", "sig"), "node"))
+    return (asks.select(*_BUCKET, "shingles").repartition("key", "x", "y")
+            .sortWithinPartitions("key", "x", "y").mapInArrow(compared, "u long, v long"))
+
+
 def classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
             text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Features of every row, and (set_a, set_b, root, component_id) of every
@@ -176,26 +318,15 @@ def classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "d
     nodes = C.stored(found.where("n_shingles > 0").groupBy("set_a", "set_b").agg(
         F.min("row_key").alias("node"), F.min("doc_id").alias("least_id"), F.first("sig").alias("sig")),
         "neardup-nodes")
-    keys = nodes.select("node", "sig").mapInArrow(_keys, "key long, node long")
+    keys = nodes.select("node", "sig").mapInArrow(_keys, "key long, slot int, node long")
     shared = keys.groupBy("key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = C.stored(keys.join(shared.select("key", "first"), "key"), "neardup-buckets")
-    stars = C.stored(members.where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    members = C.stored(keys.join(shared, "key"), "neardup-buckets")
+    stars = C.stored(members.where("node <> first").select(F.greatest("node", "first").alias("u"), F.least("node", "first").alias("v"))
                      .distinct(), "neardup-stars")
     links = C.stored(confirmed(stars, docs, width, percent, id_col, text_col), "neardup-links")
     roots = C.stored(connected(links), "neardup-roots")
-    # Nodes of a bucket that are still apart are compared with each other.
-    rooted = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    apart = (rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-             .where("a <> b").select("key"))
-    rooted = C.stored(rooted.join(apart, "key"), "neardup-apart")
-    left = rooted.select("key", F.col("node").alias("u"), F.col("root").alias("ru"))
-    right = rooted.select("key", F.col("node").alias("v"), F.col("root").alias("rv"))
-    rest = (left.join(right, "key").where("u > v and ru <> rv").select("u", "v").distinct()
-            .join(stars.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"],
-                  "left_anti"))
-    rest = C.stored(rest, "neardup-rest")
-    if rest.head(1):
-        more = confirmed(rest, docs, width, percent, id_col, text_col)
+    more = C.stored(_links_apart(members, nodes, roots, docs, width, percent, id_col, text_col), "neardup-more")
+    if more.head(1):
         roots = C.stored(connected(links.union(more)), "neardup-roots")
     rooted_nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted_nodes.groupBy("root").agg(F.min("least_id").alias("component_id"))

@@ -16,9 +16,12 @@ position repeats is decided in rounds, each of which leaves fewer positions:
    by ``suffix.Suffixes`` and neighbours with a common extension of
    ``LENGTH`` bytes are verified on the bytes.
 
-Rows of rounds 1 and 2 are hashes that combine before the shuffle; in round 3
-a common part with more than ``GROUP`` different surroundings is split by
-the windows' hashes, so no task holds a whole hot passage.  Texts move only
+Rows of rounds 1 and 2 are hashes that combine before the shuffle.  Of a
+common part with more than ``GROUP`` different surroundings, round 3 counts
+the windows by their hashes, combined before the shuffle as well; of each
+window that occurs twice the bytes of two places are sorted, split by the
+windows' hashes, and what they show holds for all its places.  So no task
+holds a whole hot passage.  Texts move only
 where they have open windows; ids of such texts are broadcast only below
 ``BROADCAST_BYTES``.
 
@@ -133,9 +136,33 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["core", "u1", "u2", "row_key", "start", "n"])
 
 
+def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row_key, text, open) to a row for each window of the open groups:
+    core, parts, two hashes of its bytes, asks, row_key, start."""
+    names = ["core", "parts", "u1", "u2", "asks", "row_key", "start"]
+    for b in batches:
+        data, off = C.text_buffers(b.column(1))
+        for k, groups in enumerate(b.column(2).to_pylist()):
+            text = data[off[k]:off[k + 1]]
+            n = np.array([g["n"] for g in groups])
+            u1, u2, start = [], [], []
+            for g in groups:
+                raw = text[g["start"]:g["start"] + g["n"] - 1 + LENGTH]
+                at = np.arange(g["n"])
+                for out, values in ((u1, C.BYTE_VALUES), (u2, _CHECK_VALUES)):
+                    out.append(C.mix(C.range_hashes(C.prefix_hashes(values[raw]), at, at + LENGTH)))
+                start.append(g["start"] + at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array([g["core"] for g in groups], np.int64), n)),
+                 pa.array(np.repeat(np.array([g["part"] for g in groups], np.int64), n)),
+                 pa.array(np.concatenate(u1).view(np.int64)), pa.array(np.concatenate(u2).view(np.int64)),
+                 pa.array(np.repeat(np.array([g["asks"] for g in groups], bool), n)),
+                 pa.array(np.full(n.sum(), b.column(0)[k].as_py(), np.int64)),
+                 pa.array(np.concatenate(start).astype(np.int64))], names=names)
+
+
 def _border_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_key, text, open) to the bytes of each open group of windows; a
-    group of a hot core goes to every part that holds one of its windows."""
+    """(row_key, text, open) to the bytes of each open group of windows."""
     names = ["core", "part", "asks", "row_key", "start", "mask", "bytes"]
     for b in batches:
         data, off = C.text_buffers(b.column(1))
@@ -144,21 +171,13 @@ def _border_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             text = data[off[k]:off[k + 1]]
             for g in groups:
                 lo, n = g["start"], g["n"]
-                raw = text[lo:lo + n - 1 + LENGTH]
-                if g["parts"] > 1:
-                    p = C.prefix_hashes(C.BYTE_VALUES[raw])
-                    at = np.arange(n)
-                    part = (C.mix(C.range_hashes(p, at, at + LENGTH)) % _U(g["parts"])).astype(np.int64)
-                else:
-                    part = np.zeros(n, np.int64)
-                for v in np.unique(part).tolist():
-                    out["core"].append(g["core"])
-                    out["part"].append(v)
-                    out["asks"].append(g["asks"])
-                    out["row_key"].append(b.column(0)[k].as_py())
-                    out["start"].append(lo)
-                    out["mask"].append(int(((part == v).astype(np.int64) << np.arange(n)).sum()))
-                    out["bytes"].append(raw.tobytes())
+                out["core"].append(g["core"])
+                out["part"].append(g["part"])
+                out["asks"].append(g["asks"])
+                out["row_key"].append(b.column(0)[k].as_py())
+                out["start"].append(lo)
+                out["mask"].append((1 << n) - 1)
+                out["bytes"].append(text[lo:lo + n - 1 + LENGTH].tobytes())
         yield pa.RecordBatch.from_arrays(
             [pa.array(out["core"], pa.int64()), pa.array(out["part"], pa.int64()), pa.array(out["asks"], pa.bool_()),
              pa.array(out["row_key"], pa.int64()), pa.array(out["start"], pa.int64()),
@@ -256,12 +275,40 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                      .where("kinds > 1 and least = 1").select(
                          "core", F.ceil(F.col("kinds") / GROUP).cast("int").alias("parts")), "suffix-cores")
     borders = C.stored(unions.join(cores, "core").select(
-        "core", "parts", (F.col("times") == 1).alias("asks"), "one.*").groupBy("row_key").agg(
-            F.collect_list(F.struct("core", "parts", "asks", "start", "n")).alias("open")), "suffix-borders")
-    border_bytes = _with_texts(docs, borders, id_col, text_col).select("row_key", "text", "open").mapInArrow(
+        "core", F.col("parts").cast("long").alias("part"), (F.col("times") == 1).alias("asks"), "one.*"),
+        "suffix-borders")
+
+    def texts_of(groups: DataFrame, name: str) -> DataFrame:
+        listed = C.stored(groups.groupBy("row_key").agg(
+            F.collect_list(F.struct("core", "part", "asks", "start", "n")).alias("open")), name)
+        return _with_texts(docs, listed, id_col, text_col).select("row_key", "text", "open")
+
+    sent = borders.where("part = 1")
+    hot = borders.where("part > 1")
+    any_hot = not hot.isEmpty()
+    if any_hot:
+        asking = C.stored(texts_of(hot, "suffix-hot").mapInArrow(
+            _window_hashes, "core long, parts long, u1 long, u2 long, asks boolean, row_key long, start long"),
+            "suffix-asking")
+        # Two places of each window that occurs twice; a row that repeats is one place, with its texts.
+        place = F.struct("row_key", "start")
+        pairs = C.stored(asking.groupBy("core", "parts", "u1", "u2").agg(
+            F.count(F.lit(1)).alias("times"), F.min(place).alias("a"), F.max(place).alias("b")).where("times > 1").select(
+                "core", "u1", "u2", F.pmod(F.xxhash64("u1", "u2"), F.col("parts")).alias("part"),
+                F.explode(F.array_distinct(F.array("a", "b"))).alias("place")).select(
+                    "core", "part", "u1", "u2", "place.*"), "suffix-pairs")
+        sent = sent.unionByName(pairs.select("core", "part", F.lit(True).alias("asks"), "row_key", "start",
+                                             F.lit(1).cast("long").alias("n")))
+    border_bytes = texts_of(sent, "suffix-sent").mapInArrow(
         _border_bytes, "core long, part long, asks boolean, row_key long, start long, mask long, bytes binary")
     edges = (border_bytes.repartition("core", "part").sortWithinPartitions("core", "part")
              .mapInArrow(_sorted_windows, "row_key long, start long, n long"))
+    if any_hot:
+        edges = C.stored(edges, "suffix-edges")
+        same = C.stored(pairs.join(edges, ["row_key", "start"]).select("core", "u1", "u2").distinct(), "suffix-same")
+        small = same.count() * 40 <= BROADCAST_BYTES
+        edges = edges.union(asking.where("asks").join(F.broadcast(same) if small else same, ["core", "u1", "u2"]).select(
+            "row_key", "start", F.lit(1).cast("long").alias("n")))
     windows = C.stored(whole.union(edges).groupBy("row_key").agg(
         F.collect_list(F.struct("start", "n")).alias("windows")), "suffix-windows")
     single = windows.join(texts.where("copies = 1").select("row_key", "sha"), "row_key")

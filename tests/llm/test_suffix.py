@@ -46,6 +46,31 @@ def test_against_every_window(spark, monkeypatch):
     check(df)
 
 
+def test_hot_passage_is_in_no_single_group(spark, monkeypatch):
+    """Windows in the passage but in a border group have the same bytes in
+    all surroundings: two of each reach the suffix sort, not all."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = text(430)
+    df = spark.createDataFrame([(i, text(60) + passage + text(60)) for i in range(300)], "doc_id long, text string")
+    monkeypatch.setattr(suffixdup, "GROUP", 8)
+
+    def bounded(batches):
+        from orderloom.llm import suffixdup as unpatched
+
+        def counted():
+            held = Counter()
+            for b in batches:
+                held.update(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+                assert max(held.values(), default=0) <= 2 * unpatched.STEP
+                yield b
+
+        return unpatched._sorted_windows(counted())
+
+    monkeypatch.setattr(suffixdup, "_sorted_windows", bounded)
+    check(df)
+
+
 def test_empty_table(docs):
     assert suffixdup.repeated_spans(docs.limit(0)).count() == 0
     check(docs)

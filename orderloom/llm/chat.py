@@ -8,10 +8,15 @@ needs them; dynamic programming over the automaton of legal turns finds the
 cheapest way.  Ties go to the order of ``ACTIONS``.
 
 The cost of a run of turns is a matrix between automaton states, and
-matrices compose.  Conversations are cut into chunks of ``CHUNK`` turn
-numbers: each chunk's matrix is built on its own, the chunks' borders are
-solved over matrices alone, and each chunk is then traced between its border
-states.  So a conversation of any length is repaired in bounded tasks.
+matrices compose.  The turns of all conversations are sorted by ranges of
+their whole order, in which equal rows are told apart by a drawn number, and
+numbered by position: a conversation's rows in earlier ranges, counted, and
+the place in its own.  Conversations are cut into chunks of ``CHUNK``
+positions, anew where the turns without a number start.  Each chunk's matrix
+is built on its own, matrices compose in a tree of ``FAN`` children a node,
+borders are solved from its root to its leaves, and each chunk is then
+traced between its border states.  So a conversation of any length is
+repaired in bounded tasks, however its turns are numbered.
 
 Defined cases: null conv_ids form one conversation; turns are in order of
 their number (null numbers last, as number ``2**62``), then role, then text,
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm import common as C
@@ -37,6 +42,9 @@ MERGE, INSERT = 1.0, 3.0
 # A known role is changed only where merging and inserting cost more.
 RELABEL, NAME_UNKNOWN = 6.0, 1.0
 CHUNK = 512
+FAN = 64
+# The number of turns without one, and the chunk that they start.
+LATE, LATE_CHUNK = 1 << 62, 1 << 53
 # States: what the last legal turn was.
 START, SYSTEM, USER, ASSISTANT = range(4)
 STATE_OF = {"system": SYSTEM, "user": USER, "assistant": ASSISTANT}
@@ -119,55 +127,120 @@ def trace(roles: list[str], start: int, end: int) -> list[tuple[int, tuple[str,
 def _chunk_costs(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     roles = [normal_role(r) for r in _ordered(table)["role"].to_pylist()]
     return pa.table({"cid": pa.array([key[0].as_py()], pa.string()), "chunk": pa.array([key[1].as_py()], pa.int64()),
+                     "turns": pa.array([len(roles)], pa.int64()),
                      "costs": pa.array([chunk_matrix(roles).ravel().tolist()], pa.list_(pa.float64()))})
 
 
 def _ordered(table: pa.Table) -> pa.Table:
-    rows = sorted(range(len(table)), key=lambda i: (
-        table["at"][i].as_py(), *((x is not None, x or "") for x in (table["role"][i].as_py(), table["text"][i].as_py()))))
-    return table.take(rows)
-
-
-def _border_states():
-    """Spark form of the shortest path over chunk matrices: forward costs by
-    one aggregate over the chunks, then states backwards."""
-    forward = F.expr("""aggregate(ms, named_struct('v', array(0D, double('inf'), double('inf'), double('inf')),
-        'out', array(array(0D, double('inf'), double('inf'), double('inf')))),
+    return table.sort_by("n")
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted (part, cid, late, role, text) of one range with k: the place
+    among the rows of the range of equal (cid, late)."""
+    before, seen = None, 0
+    for b in batches:
+        if not len(b):
+            continue
+        late = np.asarray(b.column(2).to_numpy(zero_copy_only=False), bool)
+        head = C.run_starts(np.asarray(b.column(1).dictionary_encode().indices), late)
+        sizes = np.diff(np.append(head, len(b)))
+        k = np.arange(len(b)) - np.repeat(head, sizes)
+        if before == (b.column(1)[0].as_py(), bool(late[0])):
+            k[:sizes[0]] += seen
+        before, seen = (b.column(1)[-1].as_py(), bool(late[-1])), int(k[-1]) + 1
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(k, pa.int64())], names=[*b.schema.names, "k"])
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    """(cid, chunk, n, role, text) of (cid, at, role, text)."""
+    order = ["cid", "at", "role", "text", "drawn"]
+    late = (F.col("at") >= LATE).alias("late")
+    ranged = (rows.withColumn("drawn", F.monotonically_increasing_id()).repartitionByRange(*order)
+              .sortWithinPartitions(*order))
+    numbered = C.stored(ranged.select(F.spark_partition_id().alias("part"), "cid", late, "role", "text").mapInArrow(
+        _numbered, "part int, cid string, late boolean, role string, text string, k long"), "chat-numbered")
+    # At most one conversation of a range has rows in earlier ones.
+    earlier = Window.partitionBy("cid", "late").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = (numbered.groupBy("cid", "late", "part").agg(F.count(F.lit(1)).alias("rows"))
+            .select("cid", "late", "part", F.sum("rows").over(earlier).alias("base")).where("base > 0"))
+    at = F.coalesce("base", F.lit(0)) + F.col("k")
+    return (numbered.join(F.broadcast(base), ["cid", "late", "part"], "left").withColumn("position", at).select(
+        "cid", (F.expr(f"position div {CHUNK}") + F.when(F.col("late"), LATE_CHUNK).otherwise(0)).alias("chunk"),
+        (F.col("position") % CHUNK).cast("int").alias("n"), "role", "text"))
+
+
+def _composed(ms: str) -> Column:
+    """The matrix of a run of matrices."""
+    one = ", ".join("0D" if i % 5 == 0 else "double('inf')" for i in range(16))
+    return F.expr(f"""aggregate({ms}, array({one}), (a, m) -> transform(sequence(0, 15), x -> array_min(transform(
+        sequence(0, 3), i -> element_at(a, x - x % 4 + i + 1) + element_at(m.costs, i * 4 + x % 4 + 1)))))""")
+
+
+def _nodes(level: DataFrame, up: Column | None = None) -> DataFrame:
+    """(cid, up, turns, ms): the children of each node in order, at most
+    ``FAN``; without ``up`` the nodes of each conversation."""
+    up = F.lit(0).cast("long") if up is None else up
+    return level.groupBy("cid", up.alias("up")).agg(
+        F.sum("turns").alias("turns"), F.array_sort(F.collect_list(F.struct("chunk", "costs"))).alias("ms"))
+
+
+def _between(nodes: DataFrame, ends: tuple[float, ...] | None = None) -> DataFrame:
+    """(cid, chunk, from, to, closes, total) of the children of ``nodes``
+    with from, to, closes and total of their own: the shortest path over the
+    children's matrices, forward costs by one aggregate over them, then
+    states backwards.  ``ends``: the last state is that of least cost with
+    the end's, the smaller state first."""
+    first = "transform(sequence(0, 3), s -> if(s = from, 0D, double('inf')))"
+    forward = F.expr(f"""aggregate(ms, named_struct('v', {first}, 'out', array({first})),
       (a, m) -> transform(array(transform(sequence(0, 3), j -> array_min(transform(sequence(0, 3),
             i -> element_at(a.v, i + 1) + element_at(m.costs, i * 4 + j + 1))))),
           v -> named_struct('v', v, 'out', concat(a.out, array(v))))[0], a -> a.out)""")
-    ends = ", ".join(f"{END_COST[s]}D" for s in range(4))
-    # The last state: the least cost with the end's, the smaller state first.
-    last = F.expr(f"""array_min(transform(sequence(0, 3), s -> named_struct('c',
-        element_at(element_at(fwd, -1), s + 1) + element_at(array({ends}), s + 1), 's', s))).s""")
+    last = F.col("to") if ends is None else F.expr(f"""array_min(transform(sequence(0, 3), s -> named_struct('c',
+        element_at(element_at(fwd, -1), s + 1) + element_at(array({", ".join(f"{e}D" for e in ends)}), s + 1), 's', s))).s""")
     back = F.expr("""aggregate(reverse(sequence(1, size(ms))), named_struct('s', last, 'out', array(last)),
       (a, k) -> transform(array(array_min(transform(sequence(0, 3), i -> named_struct(
             'c', element_at(element_at(fwd, k), i + 1) + element_at(ms[k - 1].costs, i * 4 + a.s + 1), 's', i))).s),
           s -> named_struct('s', s, 'out', concat(array(s), a.out)))[0], a -> a.out)""")
-    return forward, last, back
+    return (nodes.withColumn("fwd", forward).withColumn("last", last).withColumn("states", back)
+            .select("cid", F.posexplode("ms").alias("k", "m"), "states", "total",
+                    (F.col("closes") & (F.col("k") == F.size("ms") - 1)).alias("closes"))
+            .select("cid", F.col("m.chunk").alias("chunk"), F.element_at("states", F.col("k") + 1).alias("from"),
+                    F.element_at("states", F.col("k") + 2).alias("to"), "closes", "total"))
+
+
+def _borders(costs: DataFrame) -> DataFrame:
+    """(cid, chunk, from, to, closes, total) of every chunk: its border
+    states, whether it ends its conversation, and that one's turns."""
+    levels, up = [costs], F.expr(f"chunk div {FAN}")
+    while (levels[-1].groupBy("cid").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0) > FAN:
+        levels.append(C.stored(_nodes(levels[-1], up).select(
+            "cid", F.col("up").alias("chunk"), "turns", _composed("ms").alias("costs")), "chat-level"))
+    root = _nodes(levels.pop()).withColumns({"from": F.lit(START), "closes": F.lit(True), "total": F.col("turns")})
+    borders = C.stored(_between(root, tuple(END_COST[s] for s in range(4))), "chat-borders")
+    while levels:
+        solved = borders.withColumnRenamed("chunk", "up")
+        borders = C.stored(_between(_nodes(levels.pop(), up).join(solved, ["cid", "up"])), "chat-borders")
+    return borders
 
 
 def repair(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text") -> DataFrame:
-    """(cid, chunk, n, state, how, text): every turn with its legal role.
+    """(cid, chunk, n, state, how, text, closes, total): every turn with its
+    legal role.
 
     ``state`` is the automaton state after the turn, ``how`` what was
-    inserted before it or that it merges into the turn before.
+    inserted before it or that it merges into the turn before; ``closes``
+    marks the last chunk of a conversation, ``total`` counts its turns.
     """
     cid = F.coalesce(F.concat(F.lit("c"), F.col(f"`{id_col}`").cast("string")), F.lit("null"))
-    at = F.coalesce(F.col(f"`{turn_col}`").cast("long"), F.lit(1 << 62))
-    rows = conversations.select(cid.alias("cid"), F.floor(at / CHUNK).cast("long").alias("chunk"), at.alias("at"),
-                                F.col(f"`{role_col}`").alias("role"), F.col(f"`{text_col}`").alias("text"))
-    costs = rows.groupBy("cid", "chunk").applyInArrow(_chunk_costs, "cid string, chunk long, costs array<double>")
-    forward, last, back = _border_states()
-    # One small matrix a chunk: 1/CHUNK of the turns of a conversation.
-    borders = (costs.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("chunk", "costs"))).alias("ms"))
-               .withColumn("fwd", forward).withColumn("last", last).withColumn("states", back)
-               .select("cid", F.posexplode("ms").alias("k", "m"), "states")
-               .select("cid", F.col("m.chunk").alias("chunk"), F.element_at("states", F.col("k") + 1).alias("from"),
-                       F.element_at("states", F.col("k") + 2).alias("to")))
-    return rows.join(C.stored(borders, "chat-borders"), ["cid", "chunk"]).groupBy("cid", "chunk").applyInArrow(
-        _trace_chunk, "cid string, chunk long, n int, state int, how array<string>, text string")
+    at = F.coalesce(F.col(f"`{turn_col}`").cast("long"), F.lit(LATE))
+    rows = _positions(conversations.select(cid.alias("cid"), at.alias("at"), F.col(f"`{role_col}`").alias("role"),
+                                           F.col(f"`{text_col}`").alias("text")))
+    costs = C.stored(rows.groupBy("cid", "chunk").applyInArrow(
+        _chunk_costs, "cid string, chunk long, turns long, costs array<double>"), "chat-costs")
+    return rows.join(_borders(costs), ["cid", "chunk"]).groupBy("cid", "chunk").applyInArrow(
+        _trace_chunk, "cid string, chunk long, n int, state int, how array<string>, text string, closes boolean, total long")
 
 
 def _trace_chunk(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -178,12 +251,14 @@ def _trace_chunk(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.table({
         "cid": pa.array([key[0].as_py()] * k, pa.string()), "chunk": pa.array([key[1].as_py()] * k, pa.int64()),
         "n": pa.array(range(k), pa.int32()), "state": pa.array([s for s, _ in steps], pa.int32()),
-        "how": pa.array([list(h) for _, h in steps], pa.list_(pa.string())), "text": table["text"].cast(pa.string())})
+        "how": pa.array([list(h) for _, h in steps], pa.list_(pa.string())), "text": table["text"].cast(pa.string()),
+        "closes": table["closes"], "total": table["total"]})
 
 
 def render_chunks(turns: DataFrame) -> DataFrame:
-    """(cid, chunk, rendered, state, n_turns, n_merged, n_inserted): the text
-    of each chunk; a conversation is its chunks in order, and its end turns."""
+    """(cid, chunk, rendered, state, closes, n_turns, n_merged, n_inserted):
+    the text of each chunk; a conversation is its chunks in order, and its
+    end turns."""
     name = F.element_at(F.array(F.lit(""), *[F.lit(r) for r in ROLES]), F.col("state") + 1)
     merged = F.array_contains("how", "merge")
     text = F.coalesce("text", F.lit(""))
@@ -193,7 +268,7 @@ def render_chunks(turns: DataFrame) -> DataFrame:
     return turns.groupBy("cid", "chunk").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", piece.alias("p")))), lambda x: x["p"]), "")
         .alias("rendered"),
-        F.max_by("state", "n").alias("state"), F.count(F.lit(1)).alias("n_turns"),
+        F.max_by("state", "n").alias("state"), F.max("closes").alias("closes"), F.count(F.lit(1)).alias("n_turns"),
         F.sum(merged.cast("long")).alias("n_merged"),
         F.sum(F.when(merged, 0).otherwise(F.size("how")).cast("long")).alias("n_inserted"))
 
@@ -201,17 +276,20 @@ def render_chunks(turns: DataFrame) -> DataFrame:
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a chunk: conversations of at most ``CHUNK`` turns are one row."""
     C.ready(spark)
-    chunks = render_chunks(repair(C.read_table(spark, sf_dir, "conversations")))
-    last = F.max("chunk").over(Window.partitionBy("cid"))
+    turns = repair(C.read_table(spark, sf_dir, "conversations"))
+    # Turns without a number start a chunk; a short conversation joins it to the one before.
+    after = F.when(F.col("chunk") >= LATE_CHUNK, CHUNK).otherwise(0)
+    short = F.col("total") <= CHUNK
+    turns = turns.withColumns({"n": F.when(short, F.col("n") + after).otherwise(F.col("n")),
+                               "chunk": F.when(short, F.lit(0).cast("long")).otherwise(F.col("chunk"))})
     end = (F.when(F.col("state") == USER, F.lit(TEMPLATE["assistant"].format("")))
            .when(F.col("state") == SYSTEM, F.lit(TEMPLATE["user"].format("") + TEMPLATE["assistant"].format("")))
            .otherwise(""))
     added = F.when(F.col("state") == USER, 1).when(F.col("state") == SYSTEM, 2).otherwise(0)
-    closes = F.col("chunk") == F.col("last")
-    return chunks.withColumn("last", last).select(
+    return render_chunks(turns).select(
         F.when(F.col("cid") != "null", F.expr("substring(cid, 2)").cast("long")).alias("conv_id"), "chunk",
-        F.concat("rendered", F.when(closes, end).otherwise("")).alias("rendered"), "n_turns", "n_merged",
-        (F.col("n_inserted") + F.when(closes, added).otherwise(0)).cast("long").alias("n_inserted"))
+        F.concat("rendered", F.when(F.col("closes"), end).otherwise("")).alias("rendered"), "n_turns", "n_merged",
+        (F.col("n_inserted") + F.when(F.col("closes"), added).otherwise(0)).cast("long").alias("n_inserted"))
 
 
 QUERIES = {"op4_chat": op4_chat}

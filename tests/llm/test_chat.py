@@ -97,3 +97,55 @@ def test_rendering(spark):
 
 def test_empty_table(spark):
     assert H.render_chunks(H.repair(conversations(spark, []))).count() == 0
+
+
+def rendered_alone(rows):
+    """One conversation of ordered (role, text), repaired and rendered whole."""
+    roles = [H.normal_role(r) for r, _ in rows]
+    m = H.chunk_matrix(roles)
+    names = {v: k for k, v in H.STATE_OF.items()}
+    end = min(range(4), key=lambda s: m[H.START, s] + H.END_COST[s])
+    out = ""
+    for (_, text), (state, how) in zip(rows, H.trace(roles, H.START, end), strict=True):
+        if how == ("merge",):
+            out += f"{text or ''}\n"
+        else:
+            out += "".join(H.TEMPLATE[r].format("") for r in how) + H.TEMPLATE[names[state]].format(text or "")
+    return out + {H.USER: H.TEMPLATE["assistant"].format("")}.get(end, "")
+
+
+def test_chunks_are_bounded_by_position(spark, monkeypatch):
+    """Null and repeated turn numbers and null ids: no chunk holds more than
+    CHUNK turns, and the tree over many chunks gives the same cost."""
+    monkeypatch.setattr(H, "CHUNK", 4)
+    monkeypatch.setattr(H, "FAN", 2)
+    rng = random.Random(8)
+    names = ["system", "user", "assistant", "tool", None]
+    rows = [(None, k % 3, rng.choice(names), f"t{k % 7}") for k in range(60)]
+    rows += [(1, None, rng.choice(names), "same") for _ in range(50)] + [(1, k, "user", "x") for k in range(9)]
+    rows += [(2, 5, "user", "again")] * 40
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(5)
+    out = {}
+    for r in H.repair(df).collect():
+        out.setdefault(r["cid"], {}).setdefault(r["chunk"], []).append(r)
+    for c in (None, 1, 2):
+        own = sorted(((H.LATE if t is None else t, (r is not None, r or ""), x, r) for i, t, r, x in rows if i == c),
+                     key=lambda z: z[:3])
+        chunks = out["null" if c is None else f"c{c}"]
+        got = [r for k in sorted(chunks) for r in sorted(chunks[k], key=lambda r: r["n"])]
+        assert max(map(len, chunks.values())) <= 4
+        assert [r["text"] for r in got] == [z[2] for z in own]
+        assert {r["closes"] for r in chunks[max(chunks)]} == {True} and {r["total"] for r in got} == {len(own)}
+        roles = [z[3] for z in own]
+        assert cost_of(roles, [(r["state"], r["how"]) for r in got]) == brute(roles)
+
+
+def test_short_conversations_are_one_row(spark, tmp_path):
+    rows = [(1, 0, "user", "Hi"), (1, 700, "assistant", "yes"), (1, None, "user", "late"), (2, -3, "user", "a"),
+            (2, 3, "user", "b"), (None, 0, "user", "c")]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r["rendered"] for r in H.op4_chat(spark, str(tmp_path)).collect()}
+    assert H.op4_chat(spark, str(tmp_path)).count() == 3
+    for c in (1, 2, None):
+        assert got[c] == rendered_alone([(r, x) for i, _, r, x in rows if i == c])

@@ -11,6 +11,7 @@ less of a few words or of one word repeated.
 Fitting reads a bounded sample of labelled rows: ``SAMPLE_ROWS`` of each
 label, those with the smallest hash of their id, of which at most
 ``SAMPLE_BYTES`` of text, evenly spread pieces, are used for each document.
+Of documents that share a sampled id the text of least hash is learnt from.
 Scoring covers every byte of every text.
 
 Defined cases: a null text counts as empty; an empty text has difference 0
@@ -129,12 +130,12 @@ def _sampled_ids(labelled: DataFrame, label: int, n: int) -> DataFrame:
 
 
 def _fit_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Label and bounded pieces of each sampled document."""
+    """Id, text hash and bounded pieces of each sampled document."""
     for b in batches:
-        data, off = C.text_buffers(b.column(1))
+        data, off = C.text_buffers(b.column(2))
         out = [_pieces(data[off[i]:off[i + 1]].tobytes()) for i in range(len(off) - 1)]
-        yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), pa.array(out, pa.list_(pa.binary()))],
-                                         names=["y", "pieces"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.binary()))],
+                                         names=["_id", "_hash", "pieces"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -150,8 +151,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         ids = _sampled_ids(known, 0, counts[0]).union(_sampled_ids(known, 1, counts[1]))
         texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
         # At most 2 * SAMPLE_ROWS ids: broadcast, so that no text is shuffled.
-        rows = texts.join(F.broadcast(ids), "_id").select("_y", "_text").mapInArrow(
-            _fit_texts, "y int, pieces array<binary>").collect()
+        rows = texts.join(F.broadcast(ids.select("_id").distinct()), "_id").select(
+            "_id", F.xxhash64("_text").alias("_hash"), "_text")
+        schema = T.StructType([rows.schema["_id"], rows.schema["_hash"],
+                               T.StructField("pieces", T.ArrayType(T.BinaryType()))])
+        one = rows.mapInArrow(_fit_texts, schema).groupBy("_id").agg(F.min_by("pieces", "_hash").alias("pieces"))
+        rows = one.join(F.broadcast(ids), "_id").select(F.col("_y").alias("y"), "pieces").collect()
         for r in sorted(rows, key=lambda r: b"".join(r["pieces"])):
             samples[r["y"]].append([bytes(p) for p in r["pieces"]])
         for s in samples.values():

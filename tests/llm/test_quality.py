@@ -56,3 +56,16 @@ def test_without_both_labels(labelled):
 def test_fit_is_repeatable(labelled):
     docs, labels = labelled
     assert Q.fit(docs, labels) == Q.fit(docs.repartition(7), labels.repartition(3))
+
+
+def test_repeated_ids_fill_no_sample(spark, monkeypatch):
+    """Of documents that share a sampled id one text reaches the driver."""
+    docs = spark.createDataFrame([(1, f"good words {k} " * 20) for k in range(50)] + [(2, "bad text " * 30)],
+                                 "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    held = []
+    dictionary = Q._dictionary
+    monkeypatch.setattr(Q, "_dictionary", lambda texts: held.append(len(texts)) or dictionary(texts))
+    first = Q.fit(docs, labels)
+    assert held == [1, 1]
+    assert Q.fit(docs.repartition(7), labels) == first

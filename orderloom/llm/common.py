@@ -19,6 +19,8 @@ from orderloom.session import scratch_path
 
 # Rows of one Arrow batch: bounds the text a Python worker holds at once.
 BATCH_ROWS = 1000
+# Bytes of one Arrow batch; a longer row stands alone.
+BATCH_BYTES = 8 << 20
 # Bytes of text handled by one round of vector operations.
 SLICE_BYTES = 1 << 20
 
@@ -32,6 +34,7 @@ def ready(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches of the Python stages (a session setting) and
     let Python workers import this package from where the driver found it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:

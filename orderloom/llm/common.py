@@ -30,11 +30,15 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of the Python stages (a session setting) and
-    let Python workers import this package from where the driver found it."""
+def ready(spark: SparkSession, batch_bytes: int | None = None) -> SparkSession:
+    """Bound the Arrow batches of the Python stages (a session setting), by
+    rows and, if asked, by bytes, and let Python workers import this package
+    from where the driver found it."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if batch_bytes:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
+    else:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:

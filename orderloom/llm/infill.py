@@ -205,7 +205,7 @@ def restored(output: Column, form: Column) -> Column:
 
 
 def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    C.ready(spark)
+    C.ready(spark, C.BATCH_BYTES)
     docs = C.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return transformed(docs).select(
         F.col("doc.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",

@@ -214,7 +214,7 @@ def with_inertia(found: DataFrame, centroids: np.ndarray) -> DataFrame:
 
 
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    C.ready(spark)
+    C.ready(spark, C.BATCH_BYTES)
     return with_inertia(*clustered(C.read_table(spark, sf_dir, "embeddings")))
 
 

@@ -364,3 +364,22 @@ def charge_feed_wide(events: DataFrame) -> DataFrame:
     arrays = [F.when(F.col("_kind") == k, F.col("_charges")).alias(f"{kind}_convenience_charge")
               for k, (kind, _label) in enumerate(CHARGE_KINDS)]
     return base.select(*[c for c in base.columns if c not in ("_kind", "_charges")], *arrays)
+
+
+# ---------------------------------------------------------------------------
+# Ship confirmations (one event per line shipped)
+# ---------------------------------------------------------------------------
+
+def ship_confirmations(lineitem: DataFrame) -> DataFrame:
+    """The confirmation that a line was shipped, published at its ship time."""
+    data = F.struct(
+        F.concat(F.date_format("l_shipdate", _TS_TEXT_MS), F.lit(FEED_OFFSET)).alias("publishedTime"),
+        F.struct(
+            F.concat_ws("-", F.lit("C"), "l_orderkey", "l_linenumber", "l_suppkey").alias("id"),
+            F.col("l_orderkey").cast("string").alias("orderId"),
+            F.col("l_linenumber").cast("string").alias("releaseLineNumber"),
+            F.concat(F.lit("S"), F.col("l_suppkey")).alias("shipNode"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+        ).alias("shipConfirmation"),
+    )
+    return lineitem.select(*_housekeeping(F.col("l_shipdate")), data.alias("data"))

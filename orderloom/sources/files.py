@@ -36,6 +36,34 @@ def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType
     return good, bad
 
 
+SOURCE_FILE = "_source_file"
+
+
+def stream_csv_checked(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None,
+                       header: bool = False) -> DataFrame:
+    """CSV files as a stream: the schema's columns, the raw text of records
+    that do not fit it (``_corrupt_record``), and each record's file."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    r = (spark.readStream.option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
+         .option("columnNameOfCorruptRecord", CORRUPT).schema(full))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.csv(path).withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` of records read with a corrupt-record column: good ones
+    with their columns, bad ones as raw text and file.
+
+    ``df`` is to be persisted where it is a file scan: Spark does not parse
+    columns that a query does not ask for, and so would find other records
+    corrupt in each half.
+    """
+    good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT, SOURCE_FILE)
+    bad = df.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("raw_record"), F.col(SOURCE_FILE).alias("source_file"))
+    return good, bad
+
+
 def write_quarantine(bad: DataFrame, path: str) -> None:
     bad.write.mode("append").parquet(path)
 

@@ -1,4 +1,4 @@
-"""The five curation jobs: stream scan -> quality -> pipeline -> sink.
+"""The curation jobs: stream scan -> quality -> pipeline -> sink.
 
 A plain dict of functions (``PIPELINES``) replaces a name-to-class registry.
 Each job takes an immutable ``JobConfig`` whose ``source_paths`` are read as
@@ -10,8 +10,9 @@ itself after the available input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions.time import utc_instant
@@ -19,11 +20,14 @@ from orderloom.operators import quality as dq
 from orderloom.operators.audit import stamp_audit
 from orderloom.plans import charges as ch
 from orderloom.plans import invoice, release
+from orderloom.plans.shipments import shipped_in_time
 from orderloom.schemas import CHARGE_KINDS, CHARGE_PRIMARY_KEY, CHARGE_SORT_COLUMN
+from orderloom.sources.files import stream_csv_checked
 from orderloom.sources.tables import read_table
 from orderloom.streaming import upsert as up
-from orderloom.streaming.jobs import (JobConfig, batch_folder_stream, curated_stream,
-                                      foreach_batch_stream, split_rows)
+from orderloom.streaming.dedupe import first_deliveries
+from orderloom.streaming.jobs import (JobConfig, append_stream, batch_folder_stream, corrupt_split_stream,
+                                      curated_stream, foreach_batch_stream, split_rows)
 from orderloom.streaming.metrics import observe_counts
 
 
@@ -59,11 +63,22 @@ def _finish(df: DataFrame, cfg: JobConfig, published_utc=None) -> DataFrame:
     return observe_counts(df, f"{cfg.name}_metrics")
 
 
-def release_job(spark: SparkSession, cfg: JobConfig) -> StreamingQuery:
+def release_event_keys() -> list[tuple[str, Column]]:
+    """An event is the same if its release, version and ship node are."""
+    d = F.col("data.releaseEventDetails")
+    return [("release", d["id"]), ("version", F.col("data.versionId")), ("node", d["parentShipNode"])]
+
+
+def release_job(spark: SparkSession, cfg: JobConfig, redelivered_within: str | None = None) -> StreamingQuery:
     """Release header job.  Rows are tagged, not dropped (every curated table
     carries the DQ columns); ``cfg.split_bad_rows`` sends failing rows to
-    ``cfg.bad_records_location`` instead, as in every job here."""
-    tagged = dq.tag_rows(_stream(spark, cfg, 0), release_rules())
+    ``cfg.bad_records_location`` instead, as in every job here.  With
+    ``redelivered_within`` an event that comes again within that time is
+    written once (``first_deliveries``)."""
+    events = _stream(spark, cfg, 0)
+    if redelivered_within:
+        events = first_deliveries(events, release_event_keys(), utc_instant("data.publishedTime"), redelivered_within)
+    tagged = dq.tag_rows(events, release_rules())
     out = _finish(release.release_flatten(tagged), cfg, utc_instant("event_published_time"))
     return curated_stream(out, cfg)
 
@@ -90,6 +105,23 @@ def release_item_job(spark: SparkSession, cfg: JobConfig, sku: DataFrame | None
     return curated_stream(_finish(release.release_items(tagged, dim), cfg), cfg)
 
 
+def shipment_job(spark: SparkSession, cfg: JobConfig, release_delay: str, shipment_delay: str) -> StreamingQuery:
+    """Release announcements (``source_paths[0]``) joined with ship
+    confirmations (``source_paths[1]``), both streams, appended as matched.
+
+    A delay is how far its feed may be out of order; no row within it is
+    late.  A release is kept in state until the confirmations' watermark has
+    passed its 60 days, a confirmation until the releases' has passed it.
+    """
+    return append_stream(shipped_in_time(_stream(spark, cfg, 0), _stream(spark, cfg, 1), release_delay, shipment_delay), cfg)
+
+
+def raw_csv_job(spark: SparkSession, cfg: JobConfig, schema: T.StructType) -> StreamingQuery:
+    """Raw CSV files to a typed table; records that do not fit the schema go
+    to ``cfg.bad_records_location`` as raw text."""
+    return corrupt_split_stream(stream_csv_checked(spark, cfg.source_paths[0], schema, cfg.max_files_per_trigger), cfg)
+
+
 def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str) -> StreamingQuery:
     """One invoice section to its base+1 table; rows whose charge or tax
     values overflow their decimals fail ``charge_values_fit`` /
@@ -135,4 +167,3 @@ PIPELINES = {
         lambda s, c: invoice_section_job(s, c, "giftPreferenceAdjustment"),
     "convenience_charge": convenience_charge_job,
 }
-

@@ -1,0 +1,179 @@
+"""Stream-stream join state, redelivered events, raw records, restarts, counters."""
+
+import datetime as dt
+import os
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from orderloom.plans import q_streams, shipments
+from orderloom.sources import events as ev
+from orderloom.sources import files
+from orderloom.sources.deliveries import deliver, time_span
+from orderloom.sources.tables import load, read_table
+from orderloom.streaming import pipelines as jobs
+from orderloom.streaming.dedupe import first_deliveries
+from orderloom.streaming.jobs import (JobConfig, append_stream, batch_folder_stream, corrupt_split_stream, run_to_end,
+                                      split_rows, stop_after)
+from orderloom.streaming.metrics import batch_counters, progress_counters, state_history, total_counters
+
+SF = "/root/testdata/sf0.001"
+
+
+def _cfg(tmp_dir, name, sources, **kw):
+    return JobConfig(name, tuple(sources), os.path.join(tmp_dir, f"{name}-out"), os.path.join(tmp_dir, f"{name}-ckpt"),
+                     bad_records_location=os.path.join(tmp_dir, f"{name}-bad"), **kw)
+
+
+def _rows(df):
+    return sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+def test_stream_join_equals_table_join_and_drops_its_state(spark):
+    cfg, query = q_streams.shipment_streams(spark, SF, "shipment-test")
+    run_to_end(query)
+    tables = shipments.shipped_in_time(ev.release_headers(load(spark, SF, "orders")),
+                                       ev.ship_confirmations(load(spark, SF, "lineitem")))
+    got = spark.read.parquet(cfg.output_path)
+    assert _rows(got.select(*tables.columns)) == _rows(tables) and got.count() > 0
+    history = state_history(query)
+    held = [h["rows"] for h in history]
+    rows_in = load(spark, SF, "orders").count() + load(spark, SF, "lineitem").count()
+    assert len(history) >= 3 and sum(h["late"] for h in history) == 0
+    assert 0 < max(held) < rows_in
+    assert held[-1] < max(held)                       # falls once the watermark has passed
+    assert sum(h["removed"] for h in history) > rows_in / 2
+
+
+def test_stream_join_keeps_rows_at_the_bound(spark, tmp_dir):
+    """Both ends of the time bound are inside, a second beyond is not."""
+    at = dt.datetime(2024, 1, 1)
+    orders = spark.createDataFrame([(1, 1, "F", at, "p")],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string")
+    times = [at, at + dt.timedelta(days=60), at - dt.timedelta(seconds=1), at + dt.timedelta(days=60, seconds=1)]
+    lines = spark.createDataFrame([(1, i, 7, 1.0, t) for i, t in enumerate(times)],
+                                  "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, l_shipdate timestamp_ntz")
+    paths = [os.path.join(tmp_dir, n) for n in ("r", "s")]
+    ev.release_headers(orders).write.parquet(paths[0])
+    ev.ship_confirmations(lines).write.parquet(paths[1])
+    cfg = _cfg(tmp_dir, "bound", paths)
+    run_to_end(jobs.shipment_job(spark, cfg, "90 days", "90 days"))
+    assert {r["release_line_number"] for r in spark.read.parquet(cfg.output_path).collect()} == {"0", "1"}
+
+
+SCHEMA = "k string, part string, at timestamp, v int"
+
+
+def _deliver(spark, path, rows):
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_redelivered_events_come_once_and_state_is_bounded(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "src")
+    day = lambda d: dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    rows = [[(f"k{d}-{i}", None if i % 3 == 0 else "p", day(d), i) for i in range(30)]
+            + [(None, None, day(d), 99), (None, f"n{d}", day(d), 98)] for d in range(12)]
+    for d in range(12):
+        # yesterday's first ten again; the all-null key comes every day
+        _deliver(spark, path, rows[d] + (rows[d - 1][:10] if d else []) + rows[d][:5])
+    s = read_table(spark, path, stream=True, max_files_per_trigger=1)
+    cfg = _cfg(tmp_dir, "once", [path])
+    q = append_stream(first_deliveries(s, [("k", F.col("k")), ("part", F.col("part"))], F.col("at"), "2 days"), cfg)
+    run_to_end(q)
+    got = spark.read.parquet(cfg.output_path)
+    assert got.columns == ["k", "part", "at", "v"]
+    dated = got.where("k is not null or part is not null")
+    assert _rows(dated) == sorted([r for day_ in rows for r in day_ if r[0] or r[1]], key=repr)
+    assert 1 <= got.where("k is null and part is null").count() <= 12 / 2   # once a horizon, not once a day
+    held = [h["rows"] for h in state_history(q)]
+    assert max(held) <= 5 * 32 < sum(map(len, rows))
+
+
+def test_repeats_in_a_table_go(spark):
+    df = spark.createDataFrame([(None, "a", None, 1), (None, "a", None, 1), ("x", None, None, 1), ("x", "a", None, 1)], SCHEMA)
+    assert first_deliveries(df, [("k", F.col("k")), ("part", F.col("part"))], F.col("at"), "1 day").count() == 3
+
+
+def _customer_lines(spark, path, files_=4):
+    lines = q_streams.customer_lines(load(spark, SF, "customer"))
+    lines.repartition(files_).write.text(path)
+    return lines
+
+
+def test_raw_records_are_split_once_even_if_a_batch_is_replayed(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lines")
+    _customer_lines(spark, path)
+    cfg = _cfg(tmp_dir, "csv", [path], max_files_per_trigger=1)
+    calls = {"n": 0}
+
+    def job(fail):
+        raw = files.stream_csv_checked(spark, path, q_streams.CUSTOMER_CSV, 1)
+        if not fail:
+            return corrupt_split_stream(raw, cfg)
+
+        def split(batch, batch_id):
+            good, bad = files.split_corrupt(batch)
+            yield good, cfg.output_path
+            yield bad, cfg.bad_records_location
+            calls["n"] += 1
+            if calls["n"] == 2:     # both halves are written, the batch is not committed
+                raise RuntimeError("lost")
+        return batch_folder_stream(raw, cfg, split)
+
+    with pytest.raises(Exception, match="lost"):
+        run_to_end(job(True))
+    run_to_end(job(False))
+    bad, good = spark.read.parquet(cfg.bad_records_location), spark.read.parquet(cfg.output_path)
+    customers = load(spark, SF, "customer")
+    wrong = (F.col("c_nationkey") % 7 == 0) | (F.col("c_mktsegment") == "BUILDING")
+    assert _rows(bad.select("raw_record")) == _rows(q_streams.customer_lines(customers.where(wrong)))
+    assert _rows(good.drop("batch_id")) == _rows(customers.where(~wrong).select(
+        "c_custkey", "c_name", F.col("c_nationkey").cast("long"), F.col("c_acctbal").cast("decimal(12,2)"), "c_mktsegment"))
+    assert bad.where("source_file is null").count() == 0 and bad.select("source_file").distinct().count() > 1
+
+
+def test_restart_goes_on_from_the_checkpoint(spark, tmp_dir):
+    feed, at = ev.release_headers(load(spark, SF, "orders")), F.col("processed_timestamp")
+    path, span = os.path.join(tmp_dir, "src"), time_span(feed, at)
+    width = deliver(feed, path, at, span, 6, range(3))
+    cfg = _cfg(tmp_dir, "restart", [path], max_files_per_trigger=1)
+    done = stop_after(jobs.release_job(spark, cfg, redelivered_within=f"{2 * width} seconds"), 1)
+    assert done >= 1
+    deliver(feed, path, at, span, 6, range(2, 6))
+    second = jobs.release_job(spark, cfg, redelivered_within=f"{2 * width} seconds")
+    run_to_end(second)
+    assert min(p["batchId"] for p in second.recentProgress) >= done     # earlier batches are not done again
+    ids = [r[0] for r in spark.read.parquet(cfg.output_path).select("release_id").collect()]
+    assert len(ids) == len(set(ids)) == load(spark, SF, "orders").count()
+
+
+def test_counters_by_batch_replaced_by_a_replay(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    heads = ev.release_headers(load(spark, SF, "orders"))
+    heads.repartition(5).write.parquet(src)
+    cfg = replace(_cfg(tmp_dir, "count", [src], max_files_per_trigger=2), split_bad_rows=True, run_id="r7",
+                  counters_location=os.path.join(tmp_dir, "counters"))
+    q = jobs.release_job(spark, cfg)
+    run_to_end(q)
+    n, bad = heads.count(), heads.where("data.releaseEventDetails.releaseStatus not in ('F', 'O')").count()
+    expected = {"rows_in": n, "rows_tagged": bad, "rows_written": n - bad, "rows_quarantined": bad}
+    assert {r["counter"]: r["value"] for r in total_counters(spark, cfg.counters_location).collect()} == expected
+    by_batch = batch_counters(spark, cfg.counters_location)
+    assert {r["run"] for r in by_batch.collect()} == {"count:r7"}
+    assert by_batch.select("batch_id").distinct().count() == 3
+    assert progress_counters(spark, [q]).where("counter = 'rows'").agg(F.sum("value")).first()[0] == n
+
+    # the same micro-batch again, as after a lost driver
+    batch = spark.read.parquet(cfg.output_path).where("batch_id = 0").drop("batch_id")
+    before = _rows(by_batch)
+    again = replace(cfg, checkpoint_location=os.path.join(tmp_dir, "other-ckpt"), source_paths=(os.path.join(tmp_dir, "one"),))
+    heads.limit(0).write.parquet(again.source_paths[0])
+    assert batch.count() > 0
+    stream = read_table(spark, src, stream=True, max_files_per_trigger=2)
+    from orderloom.operators import quality as dq
+    from orderloom.plans import release
+    tagged = release.release_flatten(dq.tag_rows(stream, jobs.release_rules()))
+    run_to_end(batch_folder_stream(tagged, again, lambda b, _i: split_rows(b, again)))
+    assert _rows(batch_counters(spark, cfg.counters_location)) == before
+    assert spark.read.parquet(cfg.output_path).count() == n - bad

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.operators.sweep import sweep_join
+
 # Broadcast bound for a dimension side (bytes, estimated).
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -61,17 +63,20 @@ def anti_join(left: DataFrame, right: DataFrame, condition) -> DataFrame:
 def effective_dated_join(fact: DataFrame, versions: DataFrame, key: str, at: str,
                          start: str = "effective_start_date",
                          end: str = "effective_end_date",
-                         how: str = "inner") -> DataFrame:
+                         how: str = "inner", max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Fact row joined to the version whose ``[start, end)`` holds ``at``.
 
-    Equi-join on ``key`` plus the range predicate; null bounds are open.  The
-    versions are broadcast when their measured size allows; beyond it the
-    join shuffles on ``key`` and each key's versions meet that key's facts.
+    Versions of a key do not overlap; null bounds are open.  Versions whose
+    measured size is within ``max_bytes`` are broadcast and looked up by key
+    and range; beyond it the join is a sweep over time (``sweep_join``), whose
+    work is linear in facts and versions.
     """
+    if measured_bytes(versions) > max_bytes:
+        return sweep_join(fact, versions, key, at, start, end, how)
     v = versions.withColumnRenamed(key, "_v_key")
     cond = ((fact[key] == v["_v_key"]) & (v[start].isNull() | (fact[at] >= v[start]))
             & (v[end].isNull() | (fact[at] < v[end])))
-    return join_dimension(fact, v, cond, how).drop("_v_key")
+    return fact.join(F.broadcast(v), cond, how).drop("_v_key")
 
 
 def connection_counts(nodes: DataFrame, group: str, key: str) -> DataFrame:

@@ -235,6 +235,15 @@ def q_effective_dated_join(spark, sf):
         "l_orderkey", "l_linenumber", "l_suppkey", "effective_start_date", "supplier_rate")
 
 
+def q_effective_dated_sweep(spark, sf):
+    """The same join with the versions taken for too large to broadcast."""
+    l = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
+                                          F.col("l_shipdate").cast("date").alias("ship_date"))
+    v = rate_versions(load(spark, sf, "supplier"))
+    return joins.effective_dated_join(l, v, "l_suppkey", "ship_date", max_bytes=0).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "effective_start_date", "supplier_rate")
+
+
 def _items(spark, sf):
     e = ev.release_events(load(spark, sf, "orders"), load(spark, sf, "lineitem"))
     items = F.col("data.releaseEventDetails.releaseItems")
@@ -283,6 +292,7 @@ QUERIES = {
     "pair_connections": q_pair_connections,
     "pair_connections_delta": q_pair_connections_delta,
     "effective_dated_join": q_effective_dated_join,
+    "effective_dated_sweep": q_effective_dated_sweep,
     "array_transform": q_array_transform,
     "array_flatten_distinct": q_array_flatten_distinct,
 }
@@ -383,3 +393,4 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey
   array_to_string(list_sort(list_distinct(flatten(list([CAST(l_quantity AS INTEGER), l_linenumber])))), ',') AS "values"
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey, l_suppkey""",
 }
+ORACLES["effective_dated_sweep"] = ORACLES["effective_dated_join"]

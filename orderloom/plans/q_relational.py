@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderloom.operators import dedupe, joins, ranking
+from orderloom.operators import dedupe, joins, ranking, reconcile
 from orderloom.sources import events as ev
 from orderloom.sources.tables import load
 
@@ -154,6 +154,38 @@ def _employees(spark, sf):
     return c, n
 
 
+def q_reconcile_rows(spark, sf):
+    """Orders against what their lines say of them: order by order, the status
+    that the lines give and whether the lines were shipped after the order.
+    Names the orders without lines and those whose status or date differ."""
+    src = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.lit(False).alias("early"))
+    lines = load(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min("l_linestatus").alias("lo"), F.max("l_linestatus").alias("hi"), F.min("l_shipdate").alias("first"))
+    early = F.col("first") < F.lit("1996-01-01").cast("timestamp_ntz")
+    tgt = lines.select("o_orderkey", F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise("P").alias("o_orderstatus"),
+                       early.alias("early"))
+    return reconcile.reconcile(src, tgt, ["o_orderkey"], ["o_orderstatus", "early"])
+
+
+def _ledger(lines, parts):
+    """Line quantities by part and supplier node, as the source states them."""
+    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_linestatus")
+
+
+def q_reconcile_returns(spark, sf):
+    """Lines against the stock ledger that leaves out promotional parts and
+    counts returned lines of one supplier at zero: few ranges differ when few
+    lines do."""
+    lines, parts = load(spark, sf, "lineitem"), load(spark, sf, "part")
+    source = _ledger(lines, parts)
+    returned = (F.col("l_returnflag") == "R") & (F.col("l_suppkey") == 7)
+    stated = lines.withColumn("l_quantity", F.when(returned, F.lit(0.0)).otherwise(F.col("l_quantity")))
+    target = _ledger(stated, parts.where(~F.col("p_type").eqNullSafe("PROMO")))
+    return reconcile.reconcile(source, target, ["l_orderkey", "l_linenumber"],
+                               ["l_suppkey", "l_partkey", "l_quantity", "l_linestatus"])
+
+
 def q_join_filter_dimension(spark, sf):
     c, n = _employees(spark, sf)
     hr = n.filter(F.col("n_name") == "NATION_7")
@@ -284,6 +316,8 @@ QUERIES = {
     "reduce_by_key": q_reduce_by_key,
     "second_extremes": q_second_extremes,
     "reconcile_counts": q_reconcile_counts,
+    "reconcile_rows": q_reconcile_rows,
+    "reconcile_returns": q_reconcile_returns,
     "join_filter_dimension": q_join_filter_dimension,
     "cte_join_nth_highest": q_cte_join_nth_highest,
     "nth_highest_rank": q_nth_highest_rank,
@@ -394,3 +428,35 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY l_orderkey, l_suppkey""",
 }
 ORACLES["effective_dated_sweep"] = ORACLES["effective_dated_join"]
+
+ORACLES["reconcile_rows"] = """WITH t AS (
+  SELECT l_orderkey, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS s,
+         min(l_shipdate) < TIMESTAMP '1996-01-01' AS early
+  FROM lineitem GROUP BY l_orderkey),
+s AS (SELECT o_orderkey, o_orderstatus, false AS early FROM orders)
+SELECT coalesce(o_orderkey, l_orderkey) AS o_orderkey,
+  CASE WHEN l_orderkey IS NULL THEN 'missing' WHEN o_orderkey IS NULL THEN 'extra' ELSE 'changed' END AS status,
+  CAST(o_orderkey IS NOT NULL AS BIGINT) AS source_rows, CAST(l_orderkey IS NOT NULL AS BIGINT) AS target_rows,
+  concat_ws(',', CASE WHEN o_orderstatus <> s THEN 'o_orderstatus' END, CASE WHEN s.early <> t.early THEN 'early' END) AS changed_columns
+FROM s FULL OUTER JOIN t ON o_orderkey = l_orderkey
+WHERE l_orderkey IS NULL OR o_orderkey IS NULL OR o_orderstatus <> s OR s.early <> t.early"""
+
+# Lines that repeat a key (order, line number) count as one set: a key is
+# compared by its sorted rows, its columns by their sorted values.
+ORACLES["reconcile_returns"] = """WITH
+src AS (SELECT l_orderkey AS k, l_linenumber AS n, l_suppkey AS s, l_partkey AS p, l_quantity AS q, l_linestatus AS t
+        FROM lineitem JOIN part ON l_partkey = p_partkey),
+tgt AS (SELECT l_orderkey AS k, l_linenumber AS n, l_suppkey AS s, l_partkey AS p,
+               CASE WHEN l_returnflag = 'R' AND l_suppkey = 7 THEN 0.0 ELSE l_quantity END AS q, l_linestatus AS t
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type IS DISTINCT FROM 'PROMO'),
+a AS (SELECT k, n, count(*) AS c, list_sort(list((s, p, q, t))) AS r, list_sort(list(s)) AS s, list_sort(list(p)) AS p,
+             list_sort(list(q)) AS q, list_sort(list(t)) AS t FROM src GROUP BY k, n),
+b AS (SELECT k, n, count(*) AS c, list_sort(list((s, p, q, t))) AS r, list_sort(list(s)) AS s, list_sort(list(p)) AS p,
+             list_sort(list(q)) AS q, list_sort(list(t)) AS t FROM tgt GROUP BY k, n)
+SELECT coalesce(a.k, b.k) AS l_orderkey, coalesce(a.n, b.n) AS l_linenumber,
+  CASE WHEN b.c IS NULL THEN 'missing' WHEN a.c IS NULL THEN 'extra' ELSE 'changed' END AS status,
+  coalesce(a.c, 0) AS source_rows, coalesce(b.c, 0) AS target_rows,
+  concat_ws(',', CASE WHEN a.s <> b.s THEN 'l_suppkey' END, CASE WHEN a.p <> b.p THEN 'l_partkey' END,
+            CASE WHEN a.q <> b.q THEN 'l_quantity' END, CASE WHEN a.t <> b.t THEN 'l_linestatus' END) AS changed_columns
+FROM a FULL OUTER JOIN b ON a.k = b.k AND a.n = b.n
+WHERE a.r IS DISTINCT FROM b.r"""

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orderloom.operators import dedupe, joins, ranking, reconcile
+from orderloom.session import scratch_path
 from orderloom.sources import events as ev
+from orderloom.sources import sinks
 from orderloom.sources.tables import load
 
 
@@ -186,6 +188,26 @@ def q_reconcile_returns(spark, sf):
                                ["l_suppkey", "l_partkey", "l_quantity", "l_linestatus"])
 
 
+# The ship quarter that is read back from the clustered table.
+QUARTER = ("1997-04-01", "1997-07-01")
+
+
+def clustered_lines(spark, sf):
+    """Where the lines lie, written in the order of their ship date."""
+    path = scratch_path(spark, "lineitem-clustered")
+    lines = load(spark, sf, "lineitem").withColumn("ship_date", F.col("l_shipdate").cast("date"))
+    sinks.write_clustered(lines, path, ["ship_date", "l_orderkey", "l_linenumber"], partitions=16)
+    return path
+
+
+def q_clustered_range_read(spark, sf):
+    """One quarter's lines read back from a table clustered by ship date: the
+    filter reaches the scan, which skips the files of other dates (O2, O4)."""
+    lo, hi = (F.lit(d).cast("date") for d in QUARTER)
+    lines = spark.read.parquet(clustered_lines(spark, sf)).where((F.col("ship_date") >= lo) & (F.col("ship_date") < hi))
+    return lines.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
+
+
 def q_join_filter_dimension(spark, sf):
     c, n = _employees(spark, sf)
     hr = n.filter(F.col("n_name") == "NATION_7")
@@ -318,6 +340,7 @@ QUERIES = {
     "reconcile_counts": q_reconcile_counts,
     "reconcile_rows": q_reconcile_rows,
     "reconcile_returns": q_reconcile_returns,
+    "clustered_range_read": q_clustered_range_read,
     "join_filter_dimension": q_join_filter_dimension,
     "cte_join_nth_highest": q_cte_join_nth_highest,
     "nth_highest_rank": q_nth_highest_rank,
@@ -392,6 +415,8 @@ SELECT COALESCE(src.status, tgt.status) AS status, COALESCE(source_orders, 0) AS
   COALESCE(source_orders, 0) - COALESCE(target_orders, 0) AS difference,
   (SELECT count(*) FROM orders) AS total_orders
 FROM src FULL OUTER JOIN tgt ON src.status = tgt.status""",
+    "clustered_range_read": """SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '1997-04-01' AND l_shipdate < TIMESTAMP '1997-07-01'""",
     "join_filter_dimension": """SELECT c_custkey, c_name, c_acctbal AS salary, n_name FROM customer e
 JOIN nation d ON e.c_nationkey = d.n_nationkey WHERE d.n_name = 'NATION_7'""",
     "cte_join_nth_highest": """WITH ranked AS (SELECT e.c_acctbal AS salary,

@@ -132,7 +132,7 @@ def invoice_section_job(spark: SparkSession, cfg: JobConfig, section: str) -> St
 
 
 def convenience_charge_job(spark: SparkSession, cfg: JobConfig,
-                           buckets: int = up.DEFAULT_BUCKETS) -> StreamingQuery:
+                           buckets: int | None = None) -> StreamingQuery:
     """Four charge streams (``source_paths[0..3]``) and the customer-order
     table (``source_paths[4]``, re-read in every micro-batch so it is never
     stale) -> latest-wins upsert into ``output_path``."""

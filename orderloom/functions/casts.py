@@ -9,6 +9,8 @@ so the row can be quarantined instead of silently losing data (quirk K18).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,28 +44,26 @@ def price(c, safe: bool = True) -> Column:
     return typed(c, PRICE_TYPE, safe)
 
 
-def _null_leaves(c: Column, dtype: T.DataType) -> Column:
-    """Number of null leaves in a value of ``dtype`` (arrays summed)."""
-    if isinstance(dtype, T.StructType):
-        parts = [_null_leaves(c[f.name], f.dataType) for f in dtype.fields]
-        total = parts[0]
-        for p in parts[1:]:
-            total = total + p
-        return F.when(c.isNull(), F.lit(len(_leaf_names(dtype)))).otherwise(total)
-    if isinstance(dtype, T.ArrayType):
-        return F.coalesce(
-            F.aggregate(F.transform(c, lambda x: _null_leaves(x, dtype.elementType)),
-                        F.lit(0).cast("bigint"), lambda acc, x: acc + x),
-            F.lit(0).cast("bigint"))
-    return F.when(c.isNull(), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-
-
-def _leaf_names(dtype: T.DataType) -> list[str]:
-    if isinstance(dtype, T.StructType):
-        return [n for f in dtype.fields for n in _leaf_names(f.dataType)] or [""]
-    return [""]
-
-
-def cast_lost(source, target: Column, source_type: T.DataType, target_type: T.DataType) -> Column:
-    """True when the safe cast nulled a leaf that was present in the source."""
-    return _null_leaves(target, target_type) > _null_leaves(_col(source), source_type)
+def lost_elements(source, target, source_type: T.ArrayType, target_type: T.ArrayType) -> Column:
+    """For each element of an array, whether its safe cast lost a leaf."""
+    return F.zip_with(_col(source), _col(target),
+                      lambda s, t: cast_lost(s, t, source_type.elementType, target_type.elementType))
+
+
+def cast_lost(source, target, source_type: T.DataType, target_type: T.DataType) -> Column:
+    """True when the safe cast nulled a leaf that was present in the source.
+
+    Fields are matched by position; leaves whose type does not change are not
+    looked at.
+    """
+    source, target = _col(source), _col(target)
+    nulled = source.isNotNull() & target.isNull()
+    if isinstance(target_type, T.StructType):
+        pairs = zip(source_type.fields, target_type.fields, strict=True)
+        inner = [cast_lost(source[a.name], target[b.name], a.dataType, b.dataType) for a, b in pairs
+                 if a.dataType != b.dataType]
+        return reduce(lambda x, y: x | y, inner, nulled)
+    if isinstance(target_type, T.ArrayType):
+        some = F.exists(lost_elements(source, target, source_type, target_type), lambda x: x)
+        return nulled | F.coalesce(some, F.lit(False))
+    return nulled

@@ -23,6 +23,12 @@ _FIXED = {T.DecimalType: 16, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
 _ROW_OVERHEAD = 16
 
 
+def fixed_width(schema: T.StructType) -> int | None:
+    """Bytes of a broadcast row, None if a column's width is not fixed."""
+    widths = [_FIXED.get(type(f.dataType)) for f in schema.fields]
+    return None if None in widths else _ROW_OVERHEAD + sum(widths)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` as broadcast rows: fixed widths plus the actual byte
     length of every variable-width value (nested values via their JSON text),

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.operators.joins import join_dimension
+from orderloom.operators.joins import BROADCAST_MAX_BYTES, fixed_width
 
 RANKERS = {"rank": F.rank, "dense_rank": F.dense_rank, "row_number": F.row_number}
 
@@ -53,13 +53,26 @@ def _distinct_ranks(df: DataFrame, order_col: str, kind: str, group: Sequence[st
     return best.select(*group, order_col, rnk.alias(name)).filter(F.col(name) <= n)
 
 
-def _of_values(df: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` with one of the ranked values (null matches null); at
-    most n values a group, broadcast when their measured size allows."""
+def _small(df: DataFrame, group: Sequence[str], order_col: str, n: int) -> bool:
+    """Whether n values of each group surely fit a broadcast: by their number,
+    which groups bound, and their types.  The ranking itself is not run."""
+    if not group:
+        return True  # n rows
+    width = fixed_width(df.select(*group, order_col).schema)
+    if width is None:
+        return False
+    most = BROADCAST_MAX_BYTES // (n * width)
+    return df.select(*group).distinct().limit(most + 1).count() <= most
+
+
+def _of_values(df: DataFrame, values: DataFrame, group: Sequence[str], order_col: str, n: int) -> DataFrame:
+    """Rows of ``df`` with one of the ranked values (null matches null)."""
+    keys = [*group, order_col]
     v = values.select(*[F.col(k).alias(f"_v{i}") for i, k in enumerate(keys)],
                       *[c for c in values.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_v{i}")) for i, k in enumerate(keys)])
-    return join_dimension(df, v, cond).drop(*[f"_v{i}" for i in range(len(keys))])
+    v = F.broadcast(v) if _small(df, group, order_col, n) else v
+    return df.join(v, cond).drop(*[f"_v{i}" for i in range(len(keys))])
 
 
 def nth_highest(df: DataFrame, order_col: str, n: int, kind: str = "rank",
@@ -69,7 +82,7 @@ def nth_highest(df: DataFrame, order_col: str, n: int, kind: str = "rank",
         return (ranked(df, order_col, kind, partition_by, tie_break, "_rnk")
                 .filter(F.col("_rnk") == n).drop("_rnk"))
     values = _distinct_ranks(df, order_col, kind, partition_by, n, "_rnk").filter(F.col("_rnk") == n)
-    return _of_values(df, values.drop("_rnk"), [*partition_by, order_col])
+    return _of_values(df, values.drop("_rnk"), partition_by, order_col, n)
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order_col: str, n: int,
@@ -78,7 +91,7 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order_col: str, n: int,
     """Rows whose rank within their group is at most ``n``."""
     if kind == "row_number":
         return ranked(df, order_col, kind, group, tie_break, name).filter(F.col(name) <= n)
-    return _of_values(df, _distinct_ranks(df, order_col, kind, group, n, name), [*group, order_col])
+    return _of_values(df, _distinct_ranks(df, order_col, kind, group, n, name), group, order_col, n)
 
 
 def extremes(df: DataFrame, col: str, k: int = 2) -> DataFrame:

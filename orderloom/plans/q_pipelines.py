@@ -231,11 +231,29 @@ CHARGE_OUT = ["convenience_charge_type", "invoice_id", "convenience_charge_categ
 def q_convenience_charge_pipeline(spark, sf):
     """Invoice events -> the four sections' charge arrays (one projection)
     -> stacked charge rows -> left join to orders -> latest per key."""
-    co = ev.customer_orders(load(spark, sf, "orders"))
-    wide = invoice.charge_sources_flatten(_invoice_events(spark, sf))
-    tagged = dq.tag_rows(ch.stacked_rows(wide), jobs.charge_rules())
-    out = ch.finish_charges(tagged, co, latest=True)
-    return out.select(*CHARGE_OUT, failed_rules())
+    return _invoiced_charges(spark, sf, load(spark, sf, "lineitem")).select(*CHARGE_OUT, failed_rules())
+
+
+def _invoiced_charges(spark, sf, lineitem) -> DataFrame:
+    orders = load(spark, sf, "orders")
+    wide = invoice.charge_sources_flatten(ev.invoice_events(orders, lineitem))
+    tagged = dq.tag_rows(ch.stacked_rows(wide), jobs.charge_rules(retyped=True))
+    return ch.finish_charges(tagged, ev.customer_orders(orders), latest=True)
+
+
+# Lines of every such supplier are priced so many times higher;
+# their charges fit the short amount and overflow the long one.
+DEAR_SUPPLIER, DEAR_FACTOR = 13, 100_000
+
+
+def q_charge_overflow_tagged(spark, sf):
+    """Charges whose long amount does not fit its decimal: the value is null
+    and the row is tagged, in all four sections (K18)."""
+    dear = F.col("l_suppkey") % DEAR_SUPPLIER == 0
+    lines = load(spark, sf, "lineitem").withColumn(
+        "l_extendedprice", F.when(dear, F.col("l_extendedprice") * DEAR_FACTOR).otherwise(F.col("l_extendedprice")))
+    return _invoiced_charges(spark, sf, lines).select(
+        *CHARGE_PRIMARY_KEY, "convenience_charge_amount", "convenience_charge_amount_full", failed_rules())
 
 
 def q_charge_union(spark, sf):
@@ -329,6 +347,7 @@ QUERIES = {
     "tax_array_cast": q_tax_array_cast,
     "audit_columns": q_audit_columns,
     "convenience_charge_pipeline": q_convenience_charge_pipeline,
+    "charge_overflow_tagged": q_charge_overflow_tagged,
     "charge_union": q_charge_union,
     "union_positional_struct": q_union_positional_struct,
     "charge_order_left_join": q_charge_order_left_join,
@@ -598,3 +617,21 @@ SELECT event_id, CAST(ts AS DATE) AS published_date, published_time AS published
 FROM t""",
 }
 
+_DEAR_AMT = _AMT.replace("CAST(l_extendedprice AS", f"CAST(l_extendedprice * CASE WHEN l_suppkey % {DEAR_SUPPLIER} = 0 THEN {DEAR_FACTOR} ELSE 1 END AS")
+_DEAR_FULL = f"TRY_CAST({_DEAR_AMT} AS DECIMAL(13,6))"
+ORACLES["charge_overflow_tagged"] = f"""
+SELECT {', '.join(CHARGE_PRIMARY_KEY)}, convenience_charge_amount, convenience_charge_amount_full, failed_rules FROM (
+  SELECT *, row_number() OVER (PARTITION BY {', '.join(CHARGE_PRIMARY_KEY)}
+                               ORDER BY published_time_utc DESC, convenience_charge_amount DESC NULLS LAST,
+                                        convenience_charge_amount_full DESC NULLS LAST) AS rn
+  FROM (
+    SELECT CASE l_linenumber % 4 WHEN 0 THEN 'ShipmentPreference' WHEN 1 THEN 'GiftPreference'
+             WHEN 2 THEN 'ShipmentPreferenceAdjustment' ELSE 'GiftPreferenceAdjustment' END AS convenience_charge_type,
+      'INV' || l_orderkey || '-' || l_suppkey AS invoice_id, 'FLAG_' || l_returnflag AS convenience_charge_category,
+      'line-' || l_linenumber AS convenience_charge_name,
+      CAST({_DEAR_AMT} AS DECIMAL(13,2)) AS convenience_charge_amount, {_DEAR_FULL} AS convenience_charge_amount_full,
+      o_orderdate AS published_time_utc,
+      concat_ws(',', CASE WHEN CAST({_DEAR_AMT} AS DECIMAL(13,2)) > 0 THEN NULL ELSE 'charge_amount_positive' END,
+                CASE WHEN {_DEAR_FULL} IS NULL THEN 'charge_values_fit' END) AS failed_rules
+    {_LINES}))
+WHERE rn = 1"""

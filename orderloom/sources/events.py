@@ -175,31 +175,36 @@ def stocked_skus(part: DataFrame) -> DataFrame:
 # Invoice events (orders header + four preference sections from lineitem)
 # ---------------------------------------------------------------------------
 
-def _charge_item(r) -> Column:
-    """Charge + tax pair built from one raw lineitem element ``r``."""
-    def l(name):
-        return r[name]
-    amount = _dec_text(l("l_extendedprice")) * _dec_text(l("l_discount"))
-    tax = amount * _dec_text(l("l_tax"))
+def _line_amount(r) -> Column:
+    return _dec_text(r["l_extendedprice"]) * _dec_text(r["l_discount"])
+
+
+def _charge(r) -> Column:
+    """Charge built from one raw lineitem element ``r``."""
+    amount = _line_amount(r).cast("string")
     return F.struct(
-        F.pmod(l("l_linenumber"), F.lit(4)).alias("kind"),
-        F.struct(
-            F.concat(F.lit("line-"), l("l_linenumber")).alias("chargeName"),
-            F.concat(F.lit("FLAG_"), l("l_returnflag")).alias("chargeCategory"),
-            amount.cast("string").alias("chargeAmount"),
-            amount.cast("string").alias("chargeAmountLong"),
-        ).alias("charge"),
-        F.struct(
-            F.lit("SALES").alias("taxCategory"),
-            F.concat(F.lit("line-"), l("l_linenumber")).alias("taxChargeName"),
-            amount.cast("string").alias("taxable"),
-            amount.cast("string").alias("taxableLong"),
-            F.concat(F.lit("TAX_"), l("l_linestatus")).alias("taxName"),
-            (_dec_text(l("l_tax")) * 100).cast("string").alias("percent"),
-            (_dec_text(l("l_tax")) * 100).cast("string").alias("percentLong"),
-            tax.cast("string").alias("taxAmount"),
-            tax.cast("string").alias("taxAmountLong"),
-        ).alias("tax"),
+        F.concat(F.lit("line-"), r["l_linenumber"]).alias("chargeName"),
+        F.concat(F.lit("FLAG_"), r["l_returnflag"]).alias("chargeCategory"),
+        amount.alias("chargeAmount"),
+        amount.alias("chargeAmountLong"),
+    )
+
+
+def _tax(r) -> Column:
+    """Tax on the charge of one raw lineitem element ``r``."""
+    amount = _line_amount(r)
+    tax = (amount * _dec_text(r["l_tax"])).cast("string")
+    percent = (_dec_text(r["l_tax"]) * 100).cast("string")
+    return F.struct(
+        F.lit("SALES").alias("taxCategory"),
+        F.concat(F.lit("line-"), r["l_linenumber"]).alias("taxChargeName"),
+        amount.cast("string").alias("taxable"),
+        amount.cast("string").alias("taxableLong"),
+        F.concat(F.lit("TAX_"), r["l_linestatus"]).alias("taxName"),
+        percent.alias("percent"),
+        percent.alias("percentLong"),
+        tax.alias("taxAmount"),
+        tax.alias("taxAmountLong"),
     )
 
 
@@ -213,9 +218,9 @@ def _instruction(kind: str) -> Column:
 
 
 def _section_arrays(k: int) -> tuple[Column, Column]:
-    mine = F.filter(F.col("lines"), lambda x: x["kind"] == k)
-    return (F.transform(mine, lambda x: x["charge"]).alias("convenienceCharges"),
-            F.transform(mine, lambda x: x["tax"]).alias("convenienceTaxes"))
+    mine = F.filter("lines", lambda r: F.pmod(r["l_linenumber"], F.lit(4)) == k)
+    return (F.transform(mine, _charge).alias("convenienceCharges"),
+            F.transform(mine, _tax).alias("convenienceTaxes"))
 
 
 def _gift_section(k: int) -> Column:
@@ -264,11 +269,10 @@ def invoice_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     at 23:30 the next day (so its local date and UTC instant disagree, K7),
     ``publishedTime`` five minutes later with milliseconds.
     """
-    raw = nest_children(
+    lines = nest_children(
         lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
                         "l_returnflag", "l_linestatus", F.col("l_suppkey").alias("_node")),
-        ["l_orderkey", "_node"], "raw")
-    lines = raw.select("l_orderkey", "_node", F.transform("raw", _charge_item).alias("lines"))
+        ["l_orderkey", "_node"], "lines")
     o = orders.select(*_ORDER_COLUMNS)
     ev = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
     invoiced = F.col("o_orderdate") + F.expr("INTERVAL 47 HOURS 30 MINUTES")

@@ -45,10 +45,13 @@ def invoice_rules(section: str) -> list[dq.Rule]:
             ("charges_present", F.size(d[section]["convenienceCharges"]) > 0)]
 
 
-def charge_rules() -> list[dq.Rule]:
+def charge_rules(retyped: bool = False) -> list[dq.Rule]:
+    """``retyped``: rows come from arrays that were re-typed on the way, and
+    ``charge_lost`` tells which lost a value (K18)."""
     return [("invoice_id_present", F.col("invoice_id").isNotNull()),
             ("published_time_present", F.col("published_time").isNotNull()),
-            ("charge_amount_positive", F.col("charge.amount") > 0)]
+            ("charge_amount_positive", F.col("charge.amount") > 0),
+            *([("charge_values_fit", ~F.col("charge_lost"))] if retyped else [])]
 
 
 def _stream(spark: SparkSession, cfg: JobConfig, i: int) -> DataFrame:

@@ -7,6 +7,8 @@ at a time besides the batch itself.
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -173,6 +175,43 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(range_hashes(prefix_hashes(LOWER_VALUES[data]), start, end) + (end - start).astype(U64))
 
 
+_LONG_WORD = 256
+_lower_bytes = np.arange(256, dtype=np.uint8)
+_lower_bytes[65:91] += 32
+# Masks that keep the first 0 to 8 bytes of a little-endian number.
+_FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)
+
+
+def mixed_word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each word with A-Z lower-cased, mixed after every eight bytes,
+    so that no two texts collide by their structure as they can under a
+    polynomial; long words are hashed by BLAKE2."""
+    low = np.concatenate([_lower_bytes[data], np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", low, strides=(1,))
+    size = end - start
+    out = mix(size.astype(U64) + U64(0xD1B54A32D192ED03))
+    todo = np.flatnonzero(size <= _LONG_WORD)
+    at, left = start[todo], size[todo]
+    while len(todo):
+        out[todo] = mix((out[todo] ^ (eight[at] & _FIRST_BYTES[np.minimum(left, 8)])) * U64(0x9FB21C651E98DF25))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _LONG_WORD).tolist():
+        digest = hashlib.blake2b(low[start[i]:end[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, "<u8")[0]
+    return out
+
+
+def release_memory() -> None:
+    """Give back what a Python worker has freed, so that workers that wait
+    for their next task hold little."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 # ------------------------------------------------------------ groups in tasks
 
 def run_starts(*columns: np.ndarray) -> np.ndarray:

@@ -47,7 +47,7 @@ SYMBOLS = CHUNKS * CHUNK_SYMBOLS
 RADIUS = CHUNKS * (CHUNK_ERRORS + 1) - 1
 FAR = 24
 # Members of a bucket that one task compares with as many others.
-GROUP = 1024
+GROUP = 512
 # Ids of this many bytes at most are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -60,7 +60,7 @@ _LEFT_OUT = [np.array(x) for x in combinations(range(CHUNK_SYMBOLS), CHUNK_ERROR
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each document of a slice."""
     start, end, first = C.words(data, offsets, C.SPACE_WORDS)
-    h = C.word_hashes(data, start, end)
+    h = C.mixed_word_hashes(data, start, end)
     n = max(0, len(h) - width + 1)
     rolled = h[:n].copy()
     for t in range(1, width):
@@ -121,6 +121,7 @@ def features(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(count, pa.int64()), _long(ab[:, 0]), _long(ab[:, 1]),
                  pa.array(sigs, pa.binary())], names=schema.names)
+        C.release_memory()
 
     return rows.mapInArrow(run, schema)
 
@@ -172,6 +173,7 @@ def _node_sets(docs: DataFrame, nodes: DataFrame, width: int, id_col: str, text_
             for i, j in C.slices(off):
                 out += [s.tobytes() for s in shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i], width)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["node", "shingles"])
+        C.release_memory()
 
     return rows.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
@@ -194,6 +196,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_co
                 common = int((q[at] == p).sum())
                 keep.append(100 * common >= percent * (len(p) + len(q) - common))
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        C.release_memory()
 
     return both.select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
@@ -279,6 +282,7 @@ def _links_apart(members: DataFrame, nodes: DataFrame, roots: DataFrame, docs: D
         for b, s, _, _, pairs in _buckets(batches):
             if pairs.any():
                 yield b.slice(s.start, s.stop - s.start).filter(pa.array(pairs.any(axis=0) | pairs.any(axis=1)))
+        C.release_memory()
 
     schema = ("key long, x int, y int, slot int, first long, block int, node long, root long, sig binary")
     asks = C.stored(rooted.select(*_BUCKET).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
@@ -303,6 +307,7 @@ def _links_apart(members: DataFrame, nodes: DataFrame, roots: DataFrame, docs: D
                     us.append(node[i])
                     vs.append(node[j])
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+        C.release_memory()
 
     asks = _per_node(asks, ["node", "root"], [c for c in _BUCKET if c not in ("node", "root", "sig")],
                      sets.join(nodes.select("node", "sig"), "node"))
@@ -364,7 +369,7 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    C.ready(spark)
+    C.ready(spark, C.BATCH_BYTES)
     return near_duplicates(C.read_table(spark, sf_dir, "documents"), width=2)
 
 

@@ -9,8 +9,8 @@ replace its own files, and any store that Spark writes to will do.
 The encoder gives the ids of the tokenizers library.  A text is cut where
 the byte-level pre-tokenizer always ends a piece (before a white space that
 follows a word, before the last space of a run, before punctuation after an
-ASCII letter), and each distinct piece is encoded once by a worker.  Texts
-with other white space than ASCII's are encoded whole.
+ASCII letter), and each distinct piece, told from others by its bytes, is
+encoded once by a worker.  Texts with other white space than ASCII's are encoded whole.
 
 Defined cases: null and empty texts are the end id alone; null ids come
 first; rows with equal ids are in order of a hash of their text, equal rows
@@ -24,6 +24,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ from orderloom.llm.wavelet import WaveletMatrix
 from orderloom.session import scratch_path
 
 SHARD_TOKENS = 1 << 20
+# Bytes of text encoded at once.
+ENCODE_BYTES = 4 << 20
 # A worker forgets its pieces beyond this many ids; they are encoded again.
 CACHE_IDS = 8 << 20
 END_ID = 0  # fixed by the contract
@@ -63,23 +66,22 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.first = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.known: dict[bytes, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.first = self.size = np.zeros(0, np.int64)
         self.used = 0
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        for h, e in zip(hashes, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            ids, k = e.ids, len(self.known)
-            if k == len(self.first):
-                self.first, self.size = (np.concatenate([a, np.zeros_like(a)]) for a in (self.first, self.size))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.first[k], self.size[k] = self.used, len(ids)
-            self.used += len(ids)
-            self.known[h] = k
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Encode pieces that are not known yet and keep their ids."""
+        encoded = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        ids = [e.ids for e in encoded]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        first = len(self.flat) + np.cumsum(size) - size
+        self.known.update(zip(pieces, range(len(self.first), len(self.first) + len(pieces)), strict=True))
+        self.flat, self.first, self.size = (np.concatenate(x) for x in (
+            (self.flat, flat), (self.first, first), (self.size, size)))
+        self.used = len(self.flat)
 
     def _starts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Whether a piece starts at each byte."""
@@ -103,15 +105,17 @@ class Encoder:
         if self.used > CACHE_IDS:
             self._forget()
         at = np.flatnonzero(self._starts(data, off)) if len(data) else np.zeros(0, np.int64)
-        end = np.append(at[1:], len(data)) if len(at) else at
-        h = C.mix(C.range_hashes(C.prefix_hashes(C.BYTE_VALUES[data]), at, end) + (end - at).astype(np.uint64))
-        distinct, place, inverse = np.unique(h, return_index=True, return_inverse=True)
-        listed = distinct.tolist()
-        new = [i for i, x in enumerate(listed) if x not in self.known]
+        edges = pa.py_buffer(np.append(at, len(data)).astype(np.int64))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, edges, pa.py_buffer(np.ascontiguousarray(data))])
+        coded = pieces.dictionary_encode()
+        _, edges, raw = coded.dictionary.buffers()
+        edges, raw = np.frombuffer(edges, np.int64)[:len(coded.dictionary) + 1].tolist(), (raw or b"") and raw.to_pybytes()
+        listed = [raw[a:z] for a, z in zip(edges[:-1], edges[1:], strict=True)]
+        known = self.known
+        new = [p for p in listed if p not in known]
         if new:
-            raw = data.tobytes()
-            self._learn([listed[i] for i in new], [raw[at[place[i]]:end[place[i]]].decode() for i in new])
-        index = np.fromiter((self.known[x] for x in listed), np.int64, len(listed))[inverse]
+            self._learn(new)
+        index = np.array(list(map(known.__getitem__, listed)), np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
         size = self.size[index]
         upto = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.repeat(self.first[index] - upto[:-1], size) + np.arange(upto[-1])]
@@ -167,7 +171,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             nulls = np.asarray(b.column(1).is_null()).astype(np.uint8)
             doc_ids = np.asarray(b.column(1).fill_null(0))
             data, off = C.text_buffers(b.column(2))
-            for i, j in C.slices(off):
+            for i, j in C.slices(off, ENCODE_BYTES):
                 ids, counts = enc.encode(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 kept.append((ids, counts, doc_ids[i:j], nulls[i:j]))
                 held += len(ids)
@@ -216,7 +220,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    C.ready(spark)
+    C.ready(spark, C.BATCH_BYTES)
     docs = C.read_table(spark, sf_dir, "documents")
     return read_shards(spark, write_shards(docs, default_tokenizer()))
 

@@ -119,3 +119,32 @@ def test_components(spark):
             root[a] = root[b] = m
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {n: root[n] for n in linked}
+
+
+def doubled(steps=10):
+    """Two words that collide under a polynomial hash modulo 2**64."""
+    word, other = "a", "b"
+    for _ in range(steps):
+        word, other = word + other, other + word
+    return word, other
+
+
+def test_words_that_collide_under_polynomials(spark):
+    a, b = doubled()
+    docs = spark.createDataFrame([(1, a), (2, b), (3, f"x {a} y"), (4, f"x {b} y"), (5, a[:200]), (6, b[:200]), (7, a)],
+                                 "doc_id long, text string")
+    check(docs, 2)
+    assert {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs).collect()} == {
+        1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 6, 7: 1}
+
+
+def test_word_hashes_tell_words_apart():
+    rng = random.Random(2)
+    texts = [bytes(rng.choice(b"abAB\xc3") for _ in range(rng.randrange(1, 300))) for _ in range(3000)] + [b"a\0", b"a", b"A"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    end = np.cumsum([len(t) for t in texts])
+    h = C.mixed_word_hashes(data, end - [len(t) for t in texts], end)
+    lower = [bytes(c + 32 if 65 <= c <= 90 else c for c in t) for t in texts]
+    for t, x in zip(lower, h.tolist(), strict=True):
+        assert all(y == x for u, y in zip(lower[:50] + lower[-3:], h[:50].tolist() + h[-3:].tolist(), strict=True) if u == t)
+    assert len(set(h.tolist())) == len(set(lower))

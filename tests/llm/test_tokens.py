@@ -79,3 +79,13 @@ def test_wide_ids():
     ids = np.array([0, 70000, 3, 70000, 99999], np.uint32)
     w = WaveletMatrix.from_bytes(WaveletMatrix.of(ids, 17, [1], [0], [5]).to_bytes())
     assert w.decode().tolist() == ids.tolist() and w.count(70000) == 2 and w.select(70000, 1) == 3
+
+
+def test_pieces_that_collide_under_polynomials():
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    import pyarrow as pa
+    texts = [a, b, f"x {a} y", f"x {b} y"]
+    ids, counts = T.Encoder(T.default_tokenizer()).encode(*C.text_buffers(pa.array(texts)))
+    assert [g.tolist() for g in np.split(ids, np.cumsum(counts)[:-1])] == reference(texts)

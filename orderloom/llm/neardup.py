@@ -360,12 +360,14 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str
     rows = found.join(known, ["set_a", "set_b"], "left")
     chosen = (rows.where("n_shingles > 0").groupBy("root")
               .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("m"))
-              .select(F.col("m.row_key").alias("__row_key"), F.lit(False).alias("__all")))
-    empty = found.where("n_shingles = 0").select(F.col("row_key").alias("__row_key"), F.lit(True).alias("__all"))
+              .select("m.row_key", F.lit(False).alias("all_stay")))
+    empty = found.where("n_shingles = 0").select("row_key", F.lit(True).alias("all_stay"))
     stay = C.stored(chosen.union(empty.distinct()), "neardup-stay")
-    kept = docs.withColumn("__row_key", C.row_key(id_col, text_col)).join(stay, "__row_key")
-    empties, rest = kept.where("__all"), kept.where("not __all").dropDuplicates(["__row_key"])
-    return rest.union(empties).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # The caller's columns are packed, so that their names may be any.
+    packed = docs.select(C.row_key(id_col, text_col).alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    kept = packed.join(stay, "row_key")
+    empties, rest = kept.where("all_stay"), kept.where("not all_stay").dropDuplicates(["row_key"])
+    return rest.union(empties).select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

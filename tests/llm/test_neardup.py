@@ -148,3 +148,11 @@ def test_word_hashes_tell_words_apart():
     for t, x in zip(lower, h.tolist(), strict=True):
         assert all(y == x for u, y in zip(lower[:50] + lower[-3:], h[:50].tolist() + h[-3:].tolist(), strict=True) if u == t)
     assert len(set(h.tolist())) == len(set(lower))
+
+
+def test_one_of_each_with_columns_of_any_name(docs):
+    named = docs.toDF("doc_id", "text", "row_key", "all_stay")
+    out = neardup.one_of_each(named, width=2)
+    assert out.columns == named.columns
+    assert sorted(r["doc_id"] or 0 for r in out.collect()) == sorted(
+        r["doc_id"] or 0 for r in neardup.one_of_each(docs.toDF("doc_id", "text", "__all", "doc"), width=2).collect())

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import casts
@@ -62,26 +62,24 @@ def stacked_rows(wide: DataFrame) -> DataFrame:
     One scan and two narrow explodes instead of four scans and a union: the
     four (type, array) pairs are exploded first, then each array (inner, K2).
     """
-    lost = all(f"{kind}_charge_lost" in wide.columns for kind, _ in CHARGE_KINDS)
-    pairs = F.array(*[F.struct(F.lit(label).alias("t"), _with_lost(kind, lost).alias("a")) for kind, label in CHARGE_KINDS])
+    pairs = F.array(*[F.struct(F.lit(label).alias("t"), F.col(f"{kind}_convenience_charge").alias("a"))
+                      for kind, label in CHARGE_KINDS])
     by_kind = wide.select(*AUDIT_COLUMNS, "invoice_id", F.explode(pairs).alias("_k"),
                           *CHARGE_SOURCE_TAIL, *DQ_COLUMNS)
-    return by_kind.select(
+    rows = by_kind.select(
         *AUDIT_COLUMNS,
         F.col("_k.t").alias("convenience_charge_type"),
         "invoice_id",
-        F.explode("_k.a").alias("_c"),
+        F.explode("_k.a").alias("charge"),
         *CHARGE_SOURCE_TAIL,
         *DQ_COLUMNS,
-    ).withColumns({"charge": F.col("_c.charge"), **({"charge_lost": F.col("_c.lost")} if lost else {})}).drop("_c")
-
-
-def _with_lost(kind: str, lost: bool) -> Column:
-    """(charge, lost) elements of a charge array."""
-    charges = F.col(f"{kind}_convenience_charge")
-    if not lost:
-        return F.transform(charges, lambda c: F.struct(c.alias("charge")))
-    return F.zip_with(charges, f"{kind}_charge_lost", lambda c, x: F.struct(c.alias("charge"), x.alias("lost")))
+    )
+    published = rows.schema["charge"].dataType
+    if published == CHARGE_ARRAY.elementType:
+        return rows
+    charge = casts.typed("charge", CHARGE_ARRAY.elementType)
+    return rows.withColumns({"charge": charge, "charge_lost": casts.cast_lost(
+        "charge", charge, published, CHARGE_ARRAY.elementType)})
 
 
 def order_keys(customer_order: DataFrame) -> DataFrame:

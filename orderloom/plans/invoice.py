@@ -69,16 +69,11 @@ def charge_sources_flatten(events: DataFrame) -> DataFrame:
 
     One projection of the invoice events feeds all four charge kinds of the
     base+2 table (``charges.stacked_rows``) without scanning them four times.
-    Next to each array goes one that tells which of its charges lost a value
-    in their re-typing (K18).
+    The arrays are as published; each charge is re-typed when it is a row.
     """
-    detail = events.schema["data"].dataType["invoiceEventDetail"].dataType
     mapping = [(f"{_D}.id", "invoice_id")]
-    for section, (prefix, _fields) in SECTIONS.items():
-        source = F.col(f"{_D}.{section}.convenienceCharges")
-        charges = casts.charges(source)
-        lost = casts.lost_elements(source, charges, detail[section].dataType["convenienceCharges"].dataType, CHARGE_ARRAY)
-        mapping += [(charges, f"{prefix}convenience_charge"), (lost, f"{prefix}charge_lost")]
+    mapping += [(f"{_D}.{section}.convenienceCharges", f"{prefix}convenience_charge")
+                for section, (prefix, _fields) in SECTIONS.items()]
     return flatten(events, mapping + _tail())
 
 

@@ -40,12 +40,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of the sources: a row for each time a document is taken, shard
-    by shard in random order; the last one of a source may be cut."""
+    """The mix of the sources: a row for each time a document is taken, whole,
+    shard by shard in random order."""
     C.ready(spark)
     mix = mixing.mix(docs).repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_slot")
-    cut = mix.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mix.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,6 +70,21 @@ def row_key(*cols: str) -> Column:
                       *[F.col(f"`{c}`").isNull() for c in cols])
 
 
+def apart(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named by position, and the new name of each, so
+    that no column of a caller meets an inner name."""
+    names = {c: f"in_{k}" for k, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
+def with_added(df: DataFrame, names: dict[str, str], added: dict[str, Column]) -> DataFrame:
+    """The caller's columns of an ``apart`` table under their own names, then
+    ``added``; an added column replaces one of its name."""
+    taken = {c.lower() for c in added}
+    return df.select(*[F.col(n).alias(c) for c, n in names.items() if c.lower() not in taken],
+                     *[v.alias(c) for c, v in added.items()])
+
+
 # --------------------------------------------------------------- numpy kernels
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -6,15 +6,18 @@ words is one window.  Their hashes are broadcast; every training text is
 scanned once with rolling hashes, each hit is verified on the words
 themselves, and hit words are marked, so that spans or documents can go.
 
-The items are the stated query set: parts of at most ``PART_BYTES`` of item
-text are broadcast one after the other, however many items there are, and
-the hits of the parts are merged by row.
+The items are the stated query set: parts of about ``PART_BYTES`` of item
+text are broadcast one after the other, however many items there are.  The
+runs of hit words of all parts are merged by row before byte spans are taken
+from them, so the number of parts changes nothing; only row numbers and hits
+are shuffled for that, and the texts once.
 
 Defined cases: a null or empty text has no words and no hits; null or empty
-items have no windows and count nowhere; repeated items count once for each
-row, a null item_id hits words but is no id of the list; repeated documents
-are scanned each.  Extra columns are kept by ``without_hits``, whatever
-their names.
+items have no windows and count nowhere; repeated items are one item, items of
+one id and different texts are one id of the list with the windows of all, a
+null item_id hits words but is no id of the list; repeated documents are
+scanned each.  Columns of the documents may have any name; of those that
+``scan`` keeps, one named like an added column is replaced by it.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,103 +105,114 @@ class Windows:
             yield int(b - a), start[a:b] - off[d], end[a:b] - off[d], hit[a:b], items.get(d, set())
 
 
-def _parts(benchmark: DataFrame, id_col: str, text_col: str) -> int:
+def _parts(items: DataFrame) -> int:
     """How many parts of at most about ``PART_BYTES`` the items make."""
-    size = benchmark.agg(F.sum(F.coalesce(F.octet_length(F.col(f"`{text_col}`")), F.lit(0)) + 32)).first()[0] or 0
+    size = items.agg(F.sum(F.coalesce(F.octet_length("t"), F.lit(0)) + 32)).first()[0] or 0
     return max(1, -(-int(size) * 5 // (PART_BYTES * 4)))
 
 
-def _items(benchmark: DataFrame, part: int, parts: int, id_col: str, text_col: str) -> list[tuple]:
-    rows = benchmark.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"))
+def _items(rows: DataFrame, part: int, parts: int) -> list[tuple]:
     if parts > 1:
         rows = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part)
     return sorted(((r["i"], r["t"]) for r in rows.collect()), key=lambda r: (str(r[0]), r[1] or ""))
 
 
-SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+# A run of hit words: their positions, and the bytes from the first to the last.
+RUN = ("start", "end", "first_byte", "end_byte")
+RUNS = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in RUN]))
 
 
 def _scan_part(docs: DataFrame, windows: Windows, keep: list[str], text_col: str) -> DataFrame:
-    """``keep`` columns with __n_words, __hits (word positions as runs),
-    __spans (their byte ranges) and __items (ids as strings)."""
+    """``keep`` columns with n_words, runs and items (ids as strings)."""
     shared = docs.sparkSession.sparkContext.broadcast(windows)  # of PART_BYTES of items at most
     at = docs.columns.index(text_col)
     keep_at = [docs.columns.index(c) for c in keep]
     schema = T.StructType([*[docs.schema.fields[i] for i in keep_at],
-                           T.StructField("__n_words", T.LongType()), T.StructField("__hits", SPAN),
-                           T.StructField("__spans", SPAN), T.StructField("__items", T.ArrayType(T.StringType()))])
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+                           T.StructField("n_words", T.LongType()), T.StructField("runs", RUNS),
+                           T.StructField("items", T.ArrayType(T.StringType()))])
+    runs_type = pa.list_(pa.struct([(c, pa.int64()) for c in RUN]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for b in batches:
             data, off = C.text_buffers(b.column(at))
-            count, hits, spans, items = [], [], [], []
+            count, runs, items = [], [], []
             for i, j in C.slices(off):
                 for n, start, end, hit, found in w.scan(data[off[i]:off[j]], off[i:j + 1] - off[i]):
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-                    runs = [(int(a), int(z)) for a, z in edge.reshape(-1, 2)]
                     count.append(n)
-                    hits.append([{"start": a, "end": z} for a, z in runs])
-                    spans.append([{"start": int(start[a]), "end": int(end[z - 1])} for a, z in runs])
+                    runs.append([dict(zip(RUN, (a, z, int(start[a]), int(end[z - 1])), strict=True))
+                                 for a, z in edge.reshape(-1, 2).tolist()])
                     items.append(sorted({str(w.items[k]) for k in found if w.items[k] is not None}))
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(i) for i in keep_at], pa.array(count, pa.int64()), pa.array(hits, span),
-                 pa.array(spans, span), pa.array(items, pa.list_(pa.string()))], names=schema.names)
+                [*[b.column(i) for i in keep_at], pa.array(count, pa.int64()), pa.array(runs, runs_type),
+                 pa.array(items, pa.list_(pa.string()))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, text_col: str = "text",
-         item_id: str = "item_id", item_text: str = "text", prefix: str = "") -> DataFrame:
-    """``keep`` columns of every row with n_words, n_hit, items (sorted ids),
-    and spans (byte ranges of hit runs of words), each named with the prefix."""
-    parts = _parts(benchmark, item_id, item_text)
+def _found(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int, text_col: str, item_id: str,
+           item_text: str) -> DataFrame:
+    """``keep`` columns of ``docs`` (its columns set apart) with n_words, runs
+    (merged over all items) and items (sorted ids)."""
+    listed = benchmark.select(F.col(f"`{item_id}`").alias("i"), F.col(f"`{item_text}`").alias("t")).distinct()
+    parts = _parts(listed)
     if parts == 1:
-        found = _scan_part(docs, Windows.of(_items(benchmark, 0, 1, item_id, item_text), window), keep, text_col)
-        merged = found
-    else:
-        # One pass over the texts for each part; rows meet by their number.
-        rows = C.stored(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate-rows")
-        found = None
-        for p in range(parts):
-            one = _scan_part(rows, Windows.of(_items(benchmark, p, parts, item_id, item_text), window),
-                             [*keep, "__row"], text_col)
-            found = one if found is None else found.union(one)
-        merged = found.groupBy("__row", *[F.col(f"`{c}`") for c in keep]).agg(
-            F.first("__n_words").alias("__n_words"), *[
-                F.flatten(F.collect_list(c)).alias(c) for c in ("__hits", "__spans")],
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("__items")))).alias("__items"))
-        merged = merged.withColumns({c: _union_runs(c) for c in ("__hits", "__spans")})
-    n_hit = F.aggregate("__hits", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
-    return merged.select(*[F.col(f"`{c}`") for c in keep], F.col("__n_words").alias(f"{prefix}n_words"),
-                         n_hit.alias(f"{prefix}n_hit"), F.col("__items").alias(f"{prefix}items"),
-                         F.col("__spans").alias(f"{prefix}spans"))
-
-
-def _union_runs(col: str):
+        return _scan_part(docs, Windows.of(_items(listed, 0, 1), window), keep, text_col)
+    # One pass over the texts for each part; rows meet by their number.
+    rows = C.stored(docs.withColumn("row", F.monotonically_increasing_id()), "decontaminate-rows")
+    found = None
+    for p in range(parts):
+        one = _scan_part(rows, Windows.of(_items(listed, p, parts), window), ["row"], text_col)
+        found = one if found is None else found.union(one.where(F.size("runs") > 0))
+    merged = found.groupBy("row").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("runs"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return rows.select("row", *keep).join(merged.withColumn("runs", _union_runs("runs")), "row").drop("row")
+
+
+def _union_runs(col: str) -> Column:
     """Sorted runs of a column with overlapping and touching ones merged."""
-    return F.expr(f"""aggregate(array_sort({col}), cast(array() as array<struct<start:bigint,end:bigint>>),
+    return F.expr(f"""aggregate(array_sort({col}), slice({col}, 1, 0),
         (a, x) -> if(size(a) > 0 and element_at(a, -1).end >= x.start,
-            concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start,
-                'end', greatest(element_at(a, -1).end, x.end)))),
+            concat(slice(a, 1, size(a) - 1), array(named_struct(
+                'start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end),
+                'first_byte', element_at(a, -1).first_byte,
+                'end_byte', greatest(element_at(a, -1).end_byte, x.end_byte)))),
             concat(a, array(x))))""")
 
 
+def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, text_col: str = "text",
+         item_id: str = "item_id", item_text: str = "text", prefix: str = "") -> DataFrame:
+    """``keep`` columns of every row with n_words, n_hit, items (sorted ids),
+    and spans (byte ranges of hit runs of words), each named with the prefix."""
+    own, names = C.apart(docs)
+    kept = {c: names[c] for c in keep}
+    found = _found(own, benchmark, list(kept.values()), window, names[text_col], item_id, item_text)
+    return C.with_added(found, kept, {
+        f"{prefix}n_words": F.col("n_words"),
+        f"{prefix}n_hit": F.aggregate("runs", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"]),
+        f"{prefix}items": F.col("items"),
+        f"{prefix}spans": F.transform("runs", lambda x: F.struct(x["first_byte"].alias("start"),
+                                                                 x["end_byte"].alias("end")))})
+
+
 def without_hits(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text_col: str = "text",
-                 window: int = WINDOW) -> DataFrame:
+                 window: int = WINDOW, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` without contaminated rows (``remove="documents"``) or with the
     hit spans cut out of their texts (``remove="spans"``)."""
-    found = scan(docs, benchmark, [*docs.columns], window, text_col, prefix="__")
+    own, names = C.apart(docs)
+    found = _found(own, benchmark, own.columns, window, names[text_col], item_id, item_text)
     if remove == "documents":
-        return found.where("__n_hit = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
-    raw = F.col(f"`{text_col}`").cast("binary")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("__spans", lambda s: s["end"]))
-    starts = F.concat(F.transform("__spans", lambda s: s["start"]), F.array(F.octet_length(raw).cast("long")))
-    kept = F.concat_ws("", F.transform(F.arrays_zip(ends.alias("e"), starts.alias("s")), lambda p: F.substring(
+        return C.with_added(found.where(F.size("runs") == 0), names, {})
+    text = F.col(names[text_col])
+    raw = text.cast("binary")
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("runs", lambda r: r["end_byte"]))
+    starts = F.concat(F.transform("runs", lambda r: r["first_byte"]), F.array(F.octet_length(raw).cast("long")))
+    left = F.concat_ws("", F.transform(F.arrays_zip(ends.alias("e"), starts.alias("s")), lambda p: F.substring(
         raw, p["e"].cast("int") + 1, (p["s"] - p["e"]).cast("int")).cast("string")))
-    return found.withColumn("__cut", F.when(F.size("__spans") > 0, kept).otherwise(F.col(f"`{text_col}`"))).select(
-        *[F.col("__cut").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    cut = found.withColumn(names[text_col], F.when(F.size("runs") > 0, left).otherwise(text))
+    return C.with_added(cut, names, {})
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

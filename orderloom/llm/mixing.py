@@ -6,8 +6,10 @@ stream is cut into blocks of ``BLOCK_WORDS`` words; a splitting tree of
 multivariate hypergeometric draws shares the sources' exact block quotas
 among output shards of ``SHARD_BLOCKS`` blocks, each shard takes its disjoint
 range of every source's permuted blocks, and its documents are put in random
-order.  A document goes where its first word goes; only the last document of
-a source's quota is taken in part.
+order.  A document goes where its first word goes and is taken whole.  Of the
+document in which a source's quota ends, as much is taken as comes nearer to
+the target: all of it if at least half of its words fit, else nothing, so a
+source's words miss its target by half of one document at most.
 
 A source's prefix sums are taken over ``CELLS`` hashed cells, so a source
 with a third of all rows is spread over as many window partitions.
@@ -15,8 +17,8 @@ with a third of all rows is spread over as many window partitions.
 Defined cases: null and empty texts have size 0 and are not taken; a null
 source is a source of its own, last in order; rows that are equal in all
 columns are taken independently; an empty table gives an empty mix.  All
-columns stay; columns of the documents named like the added ones must be
-renamed by the caller through ``prefix``.
+columns stay, whatever their names; one named like an added column (see
+``prefix``) is replaced by it.
 """
 
 from __future__ import annotations
@@ -70,21 +72,18 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, repeats:
         "take", F.round("target").cast("long"))
 
 
-def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = MAX_REPEATS, seed: int = 1,
-         prefix: str = "mix_") -> DataFrame:
-    """``docs`` with size, source_size, target and copies (each named with the
-    prefix): copies lists every time that the row is taken, as (pass, shard,
-    block, words)."""
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float,
+             repeats: int, seed: int) -> DataFrame:
+    """``docs`` (its columns set apart) with size, source_size, target, copies
+    and key."""
     spark = docs.sparkSession
-    p = lambda c: f"{prefix}{c}"
-    source = F.col(f"`{source_col}`")
-    sized = (docs.withColumn(p("size"), word_count(F.col(f"`{text_col}`")))
-             .withColumn(p("sid"), F.xxhash64(source, source.isNull()))
-             .withColumn(p("key"), F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
-             .withColumn(p("cell"), F.pmod(F.xxhash64(F.lit(seed), p("key")), F.lit(CELLS)).cast("int")))
-    cells = C.stored(sized.groupBy(F.col(p("sid")).alias("sid"), F.col(p("cell")).alias("cell"))
-                     .agg(F.min(source).alias("source"), F.sum(p("size")).alias("words")), "mix-cells")
+    source = F.col(source_col)
+    sized = (docs.withColumn("size", word_count(F.col(text_col)))
+             .withColumn("sid", F.xxhash64(source, source.isNull()))
+             .withColumn("key", F.xxhash64(F.lit(seed), id_col, text_col))
+             .withColumn("cell", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(CELLS)).cast("int")))
+    cells = C.stored(sized.groupBy("sid", "cell").agg(F.min(source).alias("source"), F.sum("size").alias("words")),
+                     "mix-cells")
     sources = C.stored(targets(cells.groupBy("sid").agg(F.min("source").alias("source"),
                                                         F.sum("words").alias("words")),
                                weights, share, repeats), "mix-sources")
@@ -124,23 +123,32 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
              .groupBy("sid", "cell").agg(F.array_sort(F.collect_list(F.struct("block", "shard"))).alias("ranges")))
     known = C.stored(placed.join(meets, ["sid", "cell"], "left"), "mix-places")
     # Each row's place in its cell; then its words in each pass.
-    order = Window.partitionBy(p("sid"), p("cell")).orderBy(p("key"), p("size")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    rows = sized.withColumn(p("in_cell"), F.coalesce(F.sum(p("size")).over(order), F.lit(0))).join(
-        known.select(*[F.col(c).alias(p(c)) for c in known.columns]), [p("sid"), p("cell")])
-    size, ranges = F.col(p("size")), F.col(p("ranges"))
+    order = Window.partitionBy("sid", "cell").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = sized.withColumn("in_cell", F.coalesce(F.sum("size").over(order), F.lit(0))).join(known, ["sid", "cell"])
 
     def copy(k: Column) -> Column:
-        lo = k * F.col(p("source_size")) + F.col(p("offset")) + F.col(p("in_cell"))
+        lo = k * F.col("source_size") + F.col("offset") + F.col("in_cell")
         block = F.floor(lo / BLOCK_WORDS)
-        words = F.greatest(F.lit(0).cast("long"), F.least(size, F.col(p("take")) - lo))
-        shard = F.element_at(F.filter(ranges, lambda r: r["block"] <= block), -1)["shard"]
+        fits = F.col("take") - lo
+        # Whole or not at all, whichever is nearer to the quota.
+        words = F.when((fits > 0) & (2 * fits >= F.col("size")), F.col("size")).otherwise(F.lit(0).cast("long"))
+        shard = F.element_at(F.filter("ranges", lambda r: r["block"] <= block), -1)["shard"]
         return F.struct(k.alias("pass"), F.when(words > 0, shard).alias("shard"), block.alias("block"),
                         words.alias("words"))
 
     copies = F.filter(F.transform(passes, copy), lambda c: c["words"] > 0)
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], p("size"), p("source_size"), p("target"),
-                       copies.alias(p("copies")), p("key"))
+    return rows.select(*docs.columns, "size", "source_size", "target", copies.alias("copies"), "key")
+
+
+def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, repeats: int = MAX_REPEATS, seed: int = 1,
+         prefix: str = "mix_") -> DataFrame:
+    """``docs`` with size, source_size, target and copies (each named with the
+    prefix): copies lists every time that the row is taken, as (pass, shard,
+    block, words)."""
+    own, names = C.apart(docs)
+    rows = _planned(own, names[id_col], names[text_col], names[source_col], weights, share, repeats, seed)
+    return C.with_added(rows, names, {f"{prefix}{c}": F.col(c) for c in ("size", "source_size", "target", "copies")})
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -148,21 +156,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         prefix: str = "mix_") -> DataFrame:
     """The mixed documents: a row for each copy, with its shard, its slot in
     the shard's random order, its pass and its number of words."""
-    p = lambda c: f"{prefix}{c}"
-    copies = plan(docs, id_col, text_col, source_col, weights, share, repeats, seed, prefix).withColumn(
-        p("copy"), F.explode(p("copies")))
-    words, text = F.col(p("copy"))["words"], F.col(f"`{text_col}`")
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0)),
-                               F.lit(1), words.cast("int")), "")
-    shard = F.col(p("copy"))["shard"]
-    mixed = copies.select(
-        *[F.when(words < F.col(p("size")), cut).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`")
-          for c in docs.columns],
-        shard.alias(p("shard")), F.col(p("copy"))["pass"].alias(p("pass")), words.alias(p("words")),
-        F.xxhash64(F.lit(seed), F.lit("slot"), p("key"), F.col(p("copy"))["pass"]).alias(p("order")))
-    # A shard holds SHARD_BLOCKS * BLOCK_WORDS words, so its window is bounded.
-    in_shard = Window.partitionBy(p("shard")).orderBy(p("order"))
-    return mixed.withColumn(p("slot"), F.row_number().over(in_shard) - 1).drop(p("order"))
+    own, names = C.apart(docs)
+    rows = _planned(own, names[id_col], names[text_col], names[source_col], weights, share, repeats, seed)
+    copies = rows.select(*own.columns, "key", F.explode("copies").alias("copy")).select(*own.columns, "key", "copy.*")
+    # A shard holds SHARD_BLOCKS * BLOCK_WORDS words (and the ends of its last
+    # documents), so its window is bounded.
+    in_shard = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit("slot"), "key", "pass"))
+    added = {c: F.col(c) for c in ("shard", "pass", "words")} | {"slot": F.row_number().over(in_shard) - 1}
+    return C.with_added(copies, names, {f"{prefix}{c}": v for c, v in added.items()})
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

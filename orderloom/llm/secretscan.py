@@ -14,7 +14,8 @@ code points, end exclusive.
 Defined cases: null and empty texts are one blob without findings; repeated
 rows and copies share a blob; paths with a null id get their findings too;
 an empty table scans nothing; the ledger may be missing, empty or hold other
-versions of rules.  Other columns of the documents stay.
+versions of rules.  Other columns of the documents stay, whatever their
+names; one named like the added column is replaced by it.
 """
 
 from __future__ import annotations
@@ -110,8 +111,9 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...
     (by default a new one under the shared folder)."""
     spark = docs.sparkSession
     path = ledger_path or scratch_path(spark, "secret-ledger")
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    addressed = docs.withColumn("__blob", F.sha2(text.cast("binary"), 256))
+    own, names = C.apart(docs)
+    text = F.coalesce(F.col(names[text_col]), F.lit(""))
+    addressed = own.withColumn("__blob", F.sha2(text.cast("binary"), 256))
     blobs = addressed.select(F.col("__blob").alias("blob"), text.alias("text")).groupBy("blob").agg(
         F.first("text").alias("text"))
     # The ledger's files are added in one commit: a failed scan adds none.
@@ -122,17 +124,16 @@ def scan(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...
     asked = F.array(*[F.lit(r.key) for r in rules])
     known = spark.read.schema(LEDGER).parquet(path).where(F.size("spans") > 0)
     # A ledger row of several rules may hold other versions: keep ours.
-    names = F.transform(F.array_intersect("rules", asked), lambda k: F.substring_index(k, "@", 1))
-    own = F.filter("spans", lambda s: F.array_contains(names, s["kind"]))
-    ranked = F.transform(own, lambda s: F.struct(
+    kinds = F.transform(F.array_intersect("rules", asked), lambda k: F.substring_index(k, "@", 1))
+    asked_spans = F.filter("spans", lambda s: F.array_contains(kinds, s["kind"]))
+    ranked = F.transform(asked_spans, lambda s: F.struct(
         s["start"].alias("start"), F.array_position(wanted, s["kind"]).cast("int").alias("rank"),
         s["kind"].alias("kind"), s["end"].alias("end")))
     findings = known.select(F.col("blob").alias("__found"), ranked.alias("s")).groupBy("__found").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("s")))).alias("__spans")).where(F.size("__spans") > 0)
     findings = C.stored(findings, "secret-findings")
     joined = addressed.join(findings, F.col("__blob") == F.col("__found"), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns],
-                         F.coalesce("__spans", F.array().cast(SPAN)).alias(out_col))
+    return C.with_added(joined, names, {out_col: F.coalesce("__spans", F.array().cast(SPAN))})
 
 
 def listing(spans: Column) -> Column:

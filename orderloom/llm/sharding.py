@@ -16,8 +16,8 @@ neither a cell nor a shard is ever sorted by one task.
 Defined cases: a null text has no bytes; null ids and repeated rows are
 placed like any row (equal rows may trade places, which changes nothing);
 groups of equal texts are spread like other rows, since the law fixes counts;
-an empty table gives no rows.  Other columns stay, and columns named like the
-added ones must be renamed by the caller through ``prefix``.
+an empty table gives no rows.  Other columns stay, whatever their names; one
+named like an added column (see ``prefix``) is replaced by it.
 """
 
 from __future__ import annotations
@@ -37,9 +37,10 @@ LAW = "rows"
 def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", seed: int = 1,
            cells: int = CELLS, sub_cells: int = SUB_CELLS, prefix: str = "") -> DataFrame:
     """``docs`` with {prefix}shard and {prefix}slot (gapless from 0)."""
-    key = f"__{prefix}key"
+    key = "__key"
+    own, names = C.apart(docs)
     cell = F.pmod(F.xxhash64(F.lit(seed), F.lit("cell"), key), F.lit(cells)).cast("int")
-    rows = docs.withColumn(key, C.row_key(id_col, text_col)).withColumn("__cell", cell)
+    rows = own.withColumn(key, C.row_key(names[id_col], names[text_col])).withColumn("__cell", cell)
     counts = C.stored(rows.groupBy("__cell").agg(F.count(F.lit(1)).alias("n")), "shard-cells")
     spark = docs.sparkSession
     leaves = C.stored(spark.range(cells).join(counts, F.col("id") == F.col("__cell"), "left").select(
@@ -64,8 +65,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_c
     base = subs.select("__shard", "__sub", F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__base"))
     in_sub = Window.partitionBy("__shard", "__sub").orderBy(F.xxhash64(F.lit(seed), F.lit("second"), key), key)
     placed = (dealt.withColumn("__s", F.row_number().over(in_sub) - 1).join(base, ["__shard", "__sub"]))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("__shard").alias(f"{prefix}shard"),
-                         (F.col("__base") + F.col("__s")).cast("long").alias(f"{prefix}slot"))
+    return C.with_added(placed, names, {f"{prefix}shard": F.col("__shard"),
+                                        f"{prefix}slot": (F.col("__base") + F.col("__s")).cast("long")})
 
 
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import pytest
 
@@ -59,6 +60,24 @@ def test_items_in_parts(tables, monkeypatch):
     assert rows_of(D.scan(docs, items, ["doc_id"])) == brute(d, i)
 
 
+def test_parts_change_no_span_and_no_text(tables, monkeypatch):
+    docs, items, *_ = tables
+    spans = lambda: Counter((r["doc_id"], r["n_hit"], tuple(r["items"]), tuple(r["spans"]))
+                            for r in D.scan(docs, items, ["doc_id"]).collect())
+    cut = lambda: Counter(D.without_hits(docs, items, "spans").collect())
+    kept = lambda: Counter(D.without_hits(docs, items).collect())
+    one = spans(), cut(), kept()
+    for size in (40, 100):
+        monkeypatch.setattr(D, "PART_BYTES", size)
+        assert (spans(), cut(), kept()) == one
+
+
+def test_one_id_of_several_texts(spark):
+    docs = spark.createDataFrame([(1, "some alpha beta here"), (2, "gamma delta")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "alpha beta"), (5, "gamma"), (5, "gamma")], "item_id long, text string")
+    assert rows_of(D.scan(docs, items, ["doc_id"])) == [(1, 4, 2, ["5"]), (2, 2, 1, ["5"])]
+
+
 def test_empty_tables(tables):
     docs, items, d, _ = tables
     assert D.scan(docs.limit(0), items, ["doc_id"]).count() == 0

@@ -135,39 +135,56 @@ def _ordered(table: pa.Table) -> pa.Table:
     return table.sort_by("n")
 
 
+def _places(new: np.ndarray, goes_on: bool, seen: int) -> np.ndarray:
+    """The place of each row in its run; the first run may go on from ``seen``
+    earlier rows."""
+    head = np.flatnonzero(new)
+    sizes = np.diff(np.append(head, len(new)))
+    k = np.arange(len(new)) - np.repeat(head, sizes)
+    if goes_on:
+        k[:sizes[0]] += seen
+    return k
+
+
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (part, cid, late, role, text) of one range with k: the place
-    among the rows of the range of equal (cid, late)."""
-    before, seen = None, 0
+    """Sorted (part, cid, late, role, text) of one range with k and place: the
+    places among the rows of the range of equal (cid, late) and of equal cid."""
+    before = last_late = None
+    seen = [0, 0]
     for b in batches:
         if not len(b):
             continue
         late = np.asarray(b.column(2).to_numpy(zero_copy_only=False), bool)
-        head = C.run_starts(np.asarray(b.column(1).dictionary_encode().indices), late)
-        sizes = np.diff(np.append(head, len(b)))
-        k = np.arange(len(b)) - np.repeat(head, sizes)
-        if before == (b.column(1)[0].as_py(), bool(late[0])):
-            k[:sizes[0]] += seen
-        before, seen = (b.column(1)[-1].as_py(), bool(late[-1])), int(k[-1]) + 1
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(k, pa.int64())], names=[*b.schema.names, "k"])
+        cid = np.asarray(b.column(1).dictionary_encode().indices)
+        same = before == b.column(1)[0].as_py()
+        new_cid, new = np.zeros(len(b), bool), np.zeros(len(b), bool)
+        new_cid[C.run_starts(cid)] = new[C.run_starts(cid, late)] = True
+        k = _places(new, same and last_late == bool(late[0]), seen[0])
+        place = _places(new_cid, same, seen[1])
+        before, last_late, seen = b.column(1)[-1].as_py(), bool(late[-1]), [int(k[-1]) + 1, int(place[-1]) + 1]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(k, pa.int64()), pa.array(place, pa.int64())],
+                                         names=[*b.schema.names, "k", "place"])
 
 
 def _positions(rows: DataFrame) -> DataFrame:
-    """(cid, chunk, n, role, text) of (cid, at, role, text)."""
+    """(cid, chunk, n, place, role, text) of (cid, at, role, text)."""
     order = ["cid", "at", "role", "text", "drawn"]
     late = (F.col("at") >= LATE).alias("late")
     ranged = (rows.withColumn("drawn", F.monotonically_increasing_id()).repartitionByRange(*order)
               .sortWithinPartitions(*order))
     numbered = C.stored(ranged.select(F.spark_partition_id().alias("part"), "cid", late, "role", "text").mapInArrow(
-        _numbered, "part int, cid string, late boolean, role string, text string, k long"), "chat-numbered")
+        _numbered, "part int, cid string, late boolean, role string, text string, k long, place long"), "chat-numbered")
     # At most one conversation of a range has rows in earlier ones.
     earlier = Window.partitionBy("cid", "late").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier_parts = Window.partitionBy("cid").orderBy("part").rangeBetween(Window.unboundedPreceding, -1)
     base = (numbered.groupBy("cid", "late", "part").agg(F.count(F.lit(1)).alias("rows"))
-            .select("cid", "late", "part", F.sum("rows").over(earlier).alias("base")).where("base > 0"))
+            .select("cid", "late", "part", F.sum("rows").over(earlier).alias("base"),
+                    F.sum("rows").over(earlier_parts).alias("before")).where("base > 0 or before > 0"))
     at = F.coalesce("base", F.lit(0)) + F.col("k")
     return (numbered.join(F.broadcast(base), ["cid", "late", "part"], "left").withColumn("position", at).select(
         "cid", (F.expr(f"position div {CHUNK}") + F.when(F.col("late"), LATE_CHUNK).otherwise(0)).alias("chunk"),
-        (F.col("position") % CHUNK).cast("int").alias("n"), "role", "text"))
+        (F.col("position") % CHUNK).cast("int").alias("n"),
+        (F.coalesce("before", F.lit(0)) + F.col("place")).alias("place"), "role", "text"))
 
 
 def _composed(ms: str) -> Column:
@@ -226,8 +243,8 @@ def _borders(costs: DataFrame) -> DataFrame:
 
 def repair(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text") -> DataFrame:
-    """(cid, chunk, n, state, how, text, closes, total): every turn with its
-    legal role.
+    """(cid, chunk, n, place, state, how, text, closes, total): every turn with
+    its place in its conversation and its legal role.
 
     ``state`` is the automaton state after the turn, ``how`` what was
     inserted before it or that it merges into the turn before; ``closes``
@@ -240,7 +257,8 @@ def repair(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "t
     costs = C.stored(rows.groupBy("cid", "chunk").applyInArrow(
         _chunk_costs, "cid string, chunk long, turns long, costs array<double>"), "chat-costs")
     return rows.join(_borders(costs), ["cid", "chunk"]).groupBy("cid", "chunk").applyInArrow(
-        _trace_chunk, "cid string, chunk long, n int, state int, how array<string>, text string, closes boolean, total long")
+        _trace_chunk, "cid string, chunk long, n int, place long, state int, how array<string>, text string, "
+        "closes boolean, total long")
 
 
 def _trace_chunk(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -250,7 +268,7 @@ def _trace_chunk(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     k = len(steps)
     return pa.table({
         "cid": pa.array([key[0].as_py()] * k, pa.string()), "chunk": pa.array([key[1].as_py()] * k, pa.int64()),
-        "n": pa.array(range(k), pa.int32()), "state": pa.array([s for s, _ in steps], pa.int32()),
+        "n": pa.array(range(k), pa.int32()), "place": table["place"], "state": pa.array([s for s, _ in steps], pa.int32()),
         "how": pa.array([list(h) for _, h in steps], pa.list_(pa.string())), "text": table["text"].cast(pa.string()),
         "closes": table["closes"], "total": table["total"]})
 
@@ -274,14 +292,12 @@ def render_chunks(turns: DataFrame) -> DataFrame:
 
 
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row a chunk: conversations of at most ``CHUNK`` turns are one row."""
+    """One row for each ``CHUNK`` turns of a conversation, cut by place alone
+    (chunk: from 0), so at any length a conversation is its rows in order."""
     C.ready(spark)
     turns = repair(C.read_table(spark, sf_dir, "conversations"))
-    # Turns without a number start a chunk; a short conversation joins it to the one before.
-    after = F.when(F.col("chunk") >= LATE_CHUNK, CHUNK).otherwise(0)
-    short = F.col("total") <= CHUNK
-    turns = turns.withColumns({"n": F.when(short, F.col("n") + after).otherwise(F.col("n")),
-                               "chunk": F.when(short, F.lit(0).cast("long")).otherwise(F.col("chunk"))})
+    turns = turns.withColumns({"chunk": F.expr(f"place div {CHUNK}"), "n": F.expr(f"place % {CHUNK}"),
+                               "closes": F.col("place") == F.col("total") - 1})
     end = (F.when(F.col("state") == USER, F.lit(TEMPLATE["assistant"].format("")))
            .when(F.col("state") == SYSTEM, F.lit(TEMPLATE["user"].format("") + TEMPLATE["assistant"].format("")))
            .otherwise(""))

@@ -149,3 +149,17 @@ def test_short_conversations_are_one_row(spark, tmp_path):
     assert H.op4_chat(spark, str(tmp_path)).count() == 3
     for c in (1, 2, None):
         assert got[c] == rendered_alone([(r, x) for i, _, r, x in rows if i == c])
+
+
+def test_one_grain_at_every_length(spark, tmp_path, monkeypatch):
+    """Chunks are cut by position alone: a conversation is its rows in order,
+    and turns without a number follow the others in the same chunk."""
+    monkeypatch.setattr(H, "CHUNK", 4)
+    long = [(1, k, ("user", "assistant")[k % 2], f"t{k}") for k in range(9)] + [(1, None, "assistant", "late")]
+    short = [(2, 0, "user", "a"), (2, None, "assistant", "b")]
+    spark.createDataFrame(long + short, "conv_id long, turn int, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    got = H.op4_chat(spark, str(tmp_path)).orderBy("conv_id", "chunk").collect()
+    assert [(r["conv_id"], r["chunk"], r["n_turns"]) for r in got] == [(1, 0, 4), (1, 1, 4), (1, 2, 2), (2, 0, 2)]
+    turns = [(r, t) for _, _, r, t in long]
+    assert "".join(r["rendered"] for r in got[:3]) == "".join(H.TEMPLATE[r].format(t) for r, t in turns)

@@ -11,8 +11,10 @@ document in which a source's quota ends, as much is taken as comes nearer to
 the target: all of it if at least half of its words fit, else nothing, so a
 source's words miss its target by half of one document at most.
 
-A source's prefix sums are taken over ``CELLS`` hashed cells, so a source
-with a third of all rows is spread over as many window partitions.
+A source's prefix sums are taken over hashed cells (``CELLS``, or as many
+more as leave about ``CELL_ROWS`` rows each), so a source with a third of all
+rows is spread over as many window partitions; rows repeated more often than
+four even cells hold are told apart first (``repeats``).
 
 Defined cases: null and empty texts have size 0 and are not taken; a null
 source is a source of its own, last in order; rows that are equal in all
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import common as C
 from orderloom.llm.hypergeometric import split
+from orderloom.llm.repeats import cell_count, limit, told_apart
 
 # Fixed by the contract.
 WEIGHTS = (3, 1, 2)
@@ -78,12 +81,22 @@ def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     and key."""
     spark = docs.sparkSession
     source = F.col(source_col)
+    n = docs.count()
+    cell_number = cell_count(n, CELLS)
     sized = (docs.withColumn("size", word_count(F.col(text_col)))
              .withColumn("sid", F.xxhash64(source, source.isNull()))
-             .withColumn("key", F.xxhash64(F.lit(seed), id_col, text_col))
-             .withColumn("cell", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(CELLS)).cast("int")))
-    cells = C.stored(sized.groupBy("sid", "cell").agg(F.min(source).alias("source"), F.sum("size").alias("words")),
-                     "mix-cells")
+             .withColumn("key", F.xxhash64(F.lit(seed), id_col, text_col)))
+
+    def placed_in_cells(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = rows.withColumn("cell", F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(cell_number)).cast("int"))
+        return rows, C.stored(rows.groupBy("sid", "cell").agg(
+            F.min(source).alias("source"), F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "mix-cells")
+
+    sized, cells = placed_in_cells(sized)
+    apart = told_apart(sized, ["sid", "key"], "key", "cell", cells.groupBy("cell").agg(F.sum("n").alias("n")),
+                       limit(n, cell_number))
+    if apart is not None:
+        sized, cells = placed_in_cells(apart.drop("cell"))
     sources = C.stored(targets(cells.groupBy("sid").agg(F.min("source").alias("source"),
                                                         F.sum("words").alias("words")),
                                weights, share, repeats), "mix-sources")

@@ -1,8 +1,8 @@
 """Uniform sharding by a hypergeometric communication matrix (operator 8),
 DataFrame functions only.
 
-Rows lie in ``CELLS`` hashed cells (the logical input partitions).  The
-matrix of exact cell-to-shard counts is drawn as a uniform shuffle would give
+Rows lie in hashed cells (the logical input partitions), ``CELLS`` or, beyond
+67 million rows, as many as leave about ``CELL_ROWS`` rows each.  The matrix of exact cell-to-shard counts is drawn as a uniform shuffle would give
 it, by a splitting tree of multivariate hypergeometric draws; each cell's
 rows are permuted and dealt out by their cell's row of the matrix, exchanged,
 and permuted again inside their shard.  Shard sizes are exact: row counts
@@ -10,8 +10,10 @@ differ by one at most (law ``rows``).  Cells come from hashes of the row's
 values, not from where Spark happens to read it, so reruns and recomputed
 tasks agree.
 
-The second permutation works on ``SUB_CELLS`` hashed parts of each shard, so
-neither a cell nor a shard is ever sorted by one task.
+The second permutation works on hashed parts of each shard (``SUB_CELLS`` or
+more, by the same rule), so a task sorts a cell or a part of a shard, never a
+shard.  Rows repeated more often than four even cells hold are told apart
+first (``repeats``), so that no cell outgrows the others.
 
 Defined cases: a null text has no bytes; null ids and repeated rows are
 placed like any row (equal rows may trade places, which changes nothing);
@@ -27,21 +29,41 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import common as C
 from orderloom.llm.hypergeometric import split
+from orderloom.llm.repeats import cell_count, limit, told_apart
 
 SHARDS = 40
 CELLS = 1024
 SUB_CELLS = 64
+PROBES = 1 << 16  # finer than cells, to find keys of many rows
 LAW = "rows"
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", seed: int = 1,
-           cells: int = CELLS, sub_cells: int = SUB_CELLS, prefix: str = "") -> DataFrame:
-    """``docs`` with {prefix}shard and {prefix}slot (gapless from 0)."""
+           cells: int | None = None, sub_cells: int | None = None, prefix: str = "") -> DataFrame:
+    """``docs`` with {prefix}shard and {prefix}slot (gapless from 0).
+
+    ``cells`` and ``sub_cells`` follow from the number of rows where they are
+    not given; the result depends on them.
+    """
     key = "__key"
     own, names = C.apart(docs)
-    cell = F.pmod(F.xxhash64(F.lit(seed), F.lit("cell"), key), F.lit(cells)).cast("int")
-    rows = own.withColumn(key, C.row_key(names[id_col], names[text_col])).withColumn("__cell", cell)
-    counts = C.stored(rows.groupBy("__cell").agg(F.count(F.lit(1)).alias("n")), "shard-cells")
+    n = docs.count()
+    cells = cells or cell_count(n, CELLS)
+    sub_cells = sub_cells or cell_count(-(-n // shards), SUB_CELLS)
+    probes = max(PROBES, cells)
+    probe = F.pmod(F.xxhash64(F.lit(seed), F.lit("cell"), key), F.lit(probes)).cast("int")
+
+    def counted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        rows = rows.withColumn("__probe", probe)
+        return rows, C.stored(rows.groupBy("__probe").agg(F.count(F.lit(1)).alias("n")), "shard-probes")
+
+    rows, sizes = counted(own.withColumn(key, C.row_key(names[id_col], names[text_col])))
+    apart = told_apart(rows, [key], key, "__probe", sizes, limit(n, cells))
+    if apart is not None:
+        rows, sizes = counted(apart)
+    cell = F.pmod(F.col("__probe"), F.lit(cells)).alias("__cell")
+    counts = sizes.groupBy(cell).agg(F.sum("n").alias("n"))
+    rows = rows.select("*", cell).drop("__probe")
     spark = docs.sparkSession
     leaves = C.stored(spark.range(cells).join(counts, F.col("id") == F.col("__cell"), "left").select(
         F.col("id").alias("leaf"), F.coalesce("n", F.lit(0)).cast("long").alias("n")), "shard-leaves")

@@ -136,6 +136,7 @@ def _fit_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = [_pieces(data[off[i]:off[i + 1]].tobytes()) for i in range(len(off) - 1)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.binary()))],
                                          names=["_id", "_hash", "pieces"])
+    C.release_memory()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -198,6 +199,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", out_col:
                          float).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m.score(x), pa.float64())],
                                              names=[*b.schema.names, out_col])
+        C.release_memory()
 
     return docs.mapInArrow(run, schema)
 

@@ -38,8 +38,9 @@ from orderloom.session import scratch_path
 SHARD_TOKENS = 1 << 20
 # Bytes of text encoded at once.
 ENCODE_BYTES = 4 << 20
-# A worker forgets its pieces beyond this many ids; they are encoded again.
-CACHE_IDS = 8 << 20
+# A worker forgets its pieces beyond this many ids, and at the end of a task;
+# they are encoded again.
+CACHE_IDS = 2 << 20
 END_ID = 0  # fixed by the contract
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -63,9 +64,9 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat = np.zeros(0, np.uint32)
         self.first = self.size = np.zeros(0, np.int64)
@@ -103,7 +104,7 @@ class Encoder:
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, each with the end id, and their counts."""
         if self.used > CACHE_IDS:
-            self._forget()
+            self.forget()
         at = np.flatnonzero(self._starts(data, off)) if len(data) else np.zeros(0, np.int64)
         edges = pa.py_buffer(np.append(at, len(data)).astype(np.int64))
         pieces = pa.Array.from_buffers(pa.large_binary(), len(at), [None, edges, pa.py_buffer(np.ascontiguousarray(data))])
@@ -148,8 +149,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-files")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    arranged = (rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    # Repeated rows are spread over ranges by a drawn number.
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("drawn", F.monotonically_increasing_id())
+    arranged = (rows.repartitionByRange("doc_id", "tie", "drawn").sortWithinPartitions("doc_id", "tie")
                 .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,6 +182,10 @@ def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                     kept, held, shard = [], 0, shard + 1
         if kept:
             yield flush()
+        # The worker may wait or serve other stages next: it keeps the tokenizer alone.
+        kept = []
+        enc.forget()
+        C.release_memory()
 
     # Few shards a file: a reader holds the files of one split at once.
     (arranged.mapInArrow(run, "part int, shard int, n_ids long, file binary")
@@ -204,6 +210,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
                      pa.array(w.doc_ids, pa.int64(), mask=w.doc_nulls.astype(bool)), pa.array(upto[:-1], pa.int64()),
                      pa.array(w.counts, pa.int64()), pa.array(crc, pa.int64())],
                     names=["part", "shard", "doc_id", "in_shard", "n_tokens", "ids_crc32"])
+        C.release_memory()
 
     docs = table.select("part", "shard", "file").mapInArrow(
         run, "part int, shard int, doc_id long, in_shard long, n_tokens long, ids_crc32 long")

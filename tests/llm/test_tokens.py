@@ -89,3 +89,15 @@ def test_pieces_that_collide_under_polynomials():
     texts = [a, b, f"x {a} y", f"x {b} y"]
     ids, counts = T.Encoder(T.default_tokenizer()).encode(*C.text_buffers(pa.array(texts)))
     assert [g.tolist() for g in np.split(ids, np.cumsum(counts)[:-1])] == reference(texts)
+
+
+def test_an_encoder_forgets_its_pieces():
+    """After ``forget`` nothing of the texts is held, and ids are the same."""
+    import pyarrow as pa
+    enc = T.Encoder(T.default_tokenizer())
+    data, off = C.text_buffers(pa.array(["some words, more words", "", "other words"]))
+    first = enc.encode(data, off)
+    enc.forget()
+    assert not enc.known and not len(enc.flat) and enc.used == 0
+    again = enc.encode(data, off)
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))

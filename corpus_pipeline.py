@@ -43,7 +43,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of the sources: a row for each time a document is taken, whole,
     shard by shard in random order."""
     C.ready(spark)
-    mix = mixing.mix(docs).repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_slot")
+    # The slots' window has brought each shard's rows together.
+    mix = mixing.mix(docs).sortWithinPartitions("mix_shard", "mix_slot")
     return mix.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

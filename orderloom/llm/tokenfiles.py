@@ -38,9 +38,8 @@ from orderloom.session import scratch_path
 SHARD_TOKENS = 1 << 20
 # Bytes of text encoded at once.
 ENCODE_BYTES = 4 << 20
-# A worker forgets its pieces beyond this many ids, and at the end of a task;
-# they are encoded again.
-CACHE_IDS = 2 << 20
+# A worker forgets its pieces beyond this many ids; they are encoded again.
+CACHE_IDS = 8 << 20
 END_ID = 0  # fixed by the contract
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -140,9 +139,12 @@ def default_tokenizer() -> str:
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 path: str | None = None) -> str:
+                 path: str | None = None, forget: bool = False) -> str:
     """Write all documents in ascending id order; returns the table's path.
 
+    ``forget``: workers, which may serve other stages next, drop their pieces
+    at the end of each task (less memory, more time).
+
     Columns: part, shard (in part), n_ids, file.  (part, shard) is the order
     of the shards.
     """
@@ -182,9 +184,9 @@ def write_shards(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                     kept, held, shard = [], 0, shard + 1
         if kept:
             yield flush()
-        # The worker may wait or serve other stages next: it keeps the tokenizer alone.
         kept = []
-        enc.forget()
+        if forget:
+            enc.forget()
         C.release_memory()
 
     # Few shards a file: a reader holds the files of one split at once.

@@ -51,7 +51,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the token files hold of each document of the mix."""
     C.ready(spark, C.BATCH_BYTES)
-    return tokenfiles.read_shards(spark, tokenfiles.write_shards(docs, tokenfiles.default_tokenizer()))
+    path = tokenfiles.write_shards(docs, tokenfiles.default_tokenizer(), forget=True)
+    return tokenfiles.read_shards(spark, path)
 
 
 STAGES = [

@@ -100,9 +100,7 @@ def cast_rules(events: DataFrame, section: str) -> list:
     out = []
     for field, target, rid in (("convenienceCharges", CHARGE_ARRAY, "charge_values_fit"),
                                ("convenienceTaxes", TAX_ARRAY, "tax_values_fit")):
-        src = F.col(f"{base}.{field}")
-        lost = casts.cast_lost(src, casts.typed(src, target), sec[field].dataType, target)
-        out.append((rid, ~lost))
+        out.append((rid, ~casts.elements_lost(f"{base}.{field}", sec[field].dataType, target)))
     return out
 
 

@@ -5,8 +5,8 @@ row's key places it in one of ``RANGES`` ranges of the hash's space, and each
 range in as many subranges.  A range's checksum is its row count and two sums
 of row hashes, which do not depend on order and are combined in every task.
 Only ranges whose checksums differ are looked into: first their subranges,
-then the rows of the subranges that differ are shuffled by key and compared
-in a full outer join.  What is broadcast is the list of differing ranges,
+then the rows of the subranges that differ, of both sides together, are
+shuffled by key and compared.  What is broadcast is the list of differing ranges,
 at most ``RANGES``, then that of subranges, while their number is within
 ``MAX_SUBRANGES``; with more, the rows of the differing ranges are compared.
 """
@@ -71,11 +71,21 @@ def differing_rows(source: DataFrame, target: DataFrame, keys: Sequence[str],
     return a, b
 
 
-def _per_key(rows: DataFrame, keys: Sequence[str], values: Sequence[str], side: str) -> DataFrame:
-    """Row count and a checksum of each value column, by key."""
-    sums = [F.sum(_hash([F.col(c)], 4).cast("decimal(20,0)")).alias(f"_{side}_{i}") for i, c in enumerate(values)]
-    whole = F.sum(F.col("_h1").cast("decimal(20,0)")).alias(f"_{side}_row")
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{side}_rows"), *sums, whole)
+def _per_key(source: DataFrame, target: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Row counts and checksums of each value column of both sides, by key.
+
+    Rows of both sides go to their key in one shuffle and as they are: the
+    sums, which few rows share, are wider than the values."""
+    columns = [*keys, *values]
+    both = (source.select(*columns, F.lit(True).alias("_source"))
+            .unionByName(target.select(*columns, F.lit(False).alias("_source"))))
+    aggs = []
+    for side, mine in (("source", F.col("_source")), ("target", ~F.col("_source"))):
+        aggs.append(F.count(F.when(mine, 1)).alias(f"{side}_rows"))
+        hashes = {**{f"_{side}_{i}": _hash([F.col(c)], 4) for i, c in enumerate(values)},
+                  f"_{side}_row": _hash([F.col(c) for c in columns], 2)}
+        aggs += [F.sum(F.when(mine, h.cast("decimal(20,0)"))).alias(name) for name, h in hashes.items()]
+    return both.repartition(*keys).groupBy(*keys).agg(*aggs)
 
 
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -90,17 +100,10 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], values:
     combined otherwise, is changed with no column listed.
     """
     a, b = differing_rows(source, target, keys, values)
-    left = _per_key(a, keys, values, "source")
-    right = _per_key(b, keys, values, "target").withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    same_key = F.lit(True)
-    for k in keys:
-        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    j = left.join(right, same_key, "full_outer")
-    status = (F.when(F.col("target_rows").isNull(), "missing").when(F.col("source_rows").isNull(), "extra")
+    j = _per_key(a, b, keys, values)
+    status = (F.when(F.col("target_rows") == 0, "missing").when(F.col("source_rows") == 0, "extra")
               .when((F.col("source_rows") != F.col("target_rows")) | (F.col("_source_row") != F.col("_target_row")), "changed"))
     changed = [F.when(F.col(f"_source_{i}") != F.col(f"_target_{i}"), F.lit(c)) for i, c in enumerate(values)]
-    there = F.col("source_rows").isNotNull()
-    out = j.select(*[F.when(there, F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys], status.alias("status"),
-                   F.coalesce("source_rows", F.lit(0)).alias("source_rows"),
-                   F.coalesce("target_rows", F.lit(0)).alias("target_rows"), F.concat_ws(",", *changed).alias("changed_columns"))
+    out = j.select(*keys, status.alias("status"), "source_rows", "target_rows",
+                   F.concat_ws(",", *changed).alias("changed_columns"))
     return out.where("status is not null")

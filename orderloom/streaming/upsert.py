@@ -50,6 +50,9 @@ NBUCKETS_COL = "_n_buckets"
 # gets that many times the buckets.
 ROWS_PER_BUCKET = 1 << 20
 GROWTH = 4
+# Folders that a table has at most; beyond, its buckets grow with it.  Each
+# upsert of random keys writes to every folder.
+MAX_BUCKETS = 1024
 LAYOUT = "_layout"
 _LAYOUT_SCHEMA = "gen int, folder string"
 
@@ -83,9 +86,10 @@ def bucket_count(spark: SparkSession, path: str) -> int | None:
 
 
 def buckets_for(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """The power of ``GROWTH`` that gives buckets of at most so many rows."""
+    """The power of ``GROWTH`` that gives buckets of at most so many rows, or
+    ``MAX_BUCKETS``."""
     n = 1
-    while n * rows_per_bucket < rows:
+    while n < MAX_BUCKETS and n * rows_per_bucket < rows:
         n *= GROWTH
     return n
 

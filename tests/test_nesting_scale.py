@@ -1,5 +1,8 @@
 """Nested events: rows are shuffled before arrays of them are begun."""
 
+import pytest
+
+from orderloom.plans import catalog
 from orderloom.sources import events as ev
 
 
@@ -13,6 +16,10 @@ def test_arrays_are_not_begun_before_the_shuffle(spark):
     assert got == {(k, n): [v for v in range(40) if (v % 7, v % 2) == (k, n)] for k in range(7) for n in range(2)}
 
 
+# Rows of each query on ``_orders_and_lines``.
+ROWS = {"release_line_counts": 5, "array_flatten_distinct": 5}
+
+
 def _orders_and_lines(spark):
     """Orders 1 (twice) and 2 with lines, 3 without; order 4 and the null key have lines only."""
     orders = spark.range(1, 4).union(spark.range(1, 2)).selectExpr(
@@ -40,3 +47,16 @@ def test_events_of_orders_and_nodes(spark):
         f"{d}.id", f"transform({d}.releaseItems, x -> x.releaseLineNumber)").collect()
     want = [("R1-7", ["1", "2"]), ("R1-8", ["3"])] * 2 + [("R2-7", ["1"]), ("R3-0", None)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("name", [
+    "release_line_counts",
+    "array_flatten_distinct",
+])
+def test_a_query_shuffles_lines_once(spark, tmp_dir, name):
+    for table, df in zip(("orders", "lineitem"), _orders_and_lines(spark), strict=True):
+        df.write.parquet(f"{tmp_dir}/{table}.parquet")
+    spark.sql("SELECT 10L AS p_partkey, 'STANDARD' AS p_type").write.parquet(f"{tmp_dir}/part.parquet")
+    out = catalog.query(name)(spark, tmp_dir)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 2
+    assert out.count() == ROWS[name]

@@ -17,7 +17,8 @@ def test_arrays_are_not_begun_before_the_shuffle(spark):
 
 
 # Rows of each query on ``_orders_and_lines``.
-ROWS = {"release_line_counts": 5, "array_flatten_distinct": 5, "array_transform": 5, "release_item_explode": 7, "release_item_sku_join": 7}
+ROWS = {"release_line_counts": 5, "array_flatten_distinct": 5, "array_transform": 5, "release_item_explode": 7,
+        "release_item_sku_join": 7, "description_array_cast": 14}
 
 
 def _orders_and_lines(spark):
@@ -55,6 +56,7 @@ def test_events_of_orders_and_nodes(spark):
     "array_transform",
     "release_item_explode",
     "release_item_sku_join",
+    "description_array_cast",
 ])
 def test_a_query_shuffles_lines_once(spark, tmp_dir, name):
     for table, df in zip(("orders", "lineitem"), _orders_and_lines(spark), strict=True):
